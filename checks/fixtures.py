@@ -78,59 +78,51 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _text_of(key: Column, customer: Column) -> Column:
-    texts = F.array(*[F.lit(text) for text in TEXTS])
-    at = key % len(TEXTS)
-    text = F.element_at(texts, (at + 1).cast("int"))
-    numbered = F.when(text.isin(*NUMBERED), F.concat_ws(" ", text, customer.cast("string"))).otherwise(text)
-    return F.when(key % 101 != 0, numbered)
-
-
-def _date_text(key: Column, day: Column) -> Column:
-    layouts = ["yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy"]
-    text = F.date_format(day, "MM-dd-yyyy")
-    for at, layout in enumerate(layouts):
-        text = F.when(key % 5 == at, F.date_format(day, layout)).otherwise(text)
-    return F.when(key % 103 == 0, None).when(key % 107 == 0, "not a date").otherwise(text)
-
-
-def _amount_text(key: Column, price: Column) -> Column:
-    value = price.cast("decimal(18,2)").cast("string")
-    return (
-        F.when(key % 109 == 0, None)
-        .when(key % 113 == 0, "PENDING")
-        .when(key % 127 == 0, F.concat(F.lit("$"), value))
-        .when(key % 7 < 4, F.concat(F.lit("-"), value))
-        .when(key % 7 == 4, F.concat(F.lit("("), value, F.lit(")")))
-        .when(key % 7 == 5, F.concat(F.lit(" "), value, F.lit(" ")))
-        .otherwise(value)
-    )
-
-
-def account_columns(customer: Column) -> dict[str, Column]:
-    at = customer % 5
-    return {
-        "account_name": F.concat(F.lit("acct_"), at.cast("string")),
-        "account_type": F.when(at < 2, "checking").otherwise("credit_card"),
-        "sign_rule": F.when(at < 2, KEEP).when(at == 2, FLIP).otherwise(FORCE),
-    }
+def _listed(values) -> str:
+    return ", ".join('"' + value.replace('"', '\\"') + '"' for value in values)
+
+
+# Texts of an order, with faults of every kind spread over all orders; no order is left out.
+_BASE = f"element_at(array({_listed(TEXTS)}), CAST(o_orderkey % {len(TEXTS)} AS INT) + 1)"
+_DESCRIPTION = f"""
+CASE WHEN o_orderkey % 101 = 0 THEN NULL
+     WHEN base IN ({_listed(NUMBERED)}) THEN concat(base, " ", o_custkey) ELSE base END"""
+_DATE_TEXT = """
+CASE WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 107 = 0 THEN "not a date"
+     ELSE date_format(o_orderdate, CASE o_orderkey % 5 WHEN 0 THEN "yyyy-MM-dd" WHEN 1 THEN "yyyy/MM/dd"
+       WHEN 2 THEN "MM/dd/yyyy" WHEN 3 THEN "M/d/yyyy" ELSE "MM-dd-yyyy" END) END"""
+_AMOUNT_TEXT = """
+CASE WHEN o_orderkey % 109 = 0 THEN NULL WHEN o_orderkey % 113 = 0 THEN "PENDING"
+     WHEN o_orderkey % 127 = 0 THEN concat("$", price) WHEN o_orderkey % 7 < 4 THEN concat("-", price)
+     WHEN o_orderkey % 7 = 4 THEN concat("(", price, ")") WHEN o_orderkey % 7 = 5 THEN concat(" ", price, " ")
+     ELSE price END"""
+
+
+def account_columns(customer: str) -> list[str]:
+    return [
+        f"concat('acct_', {customer} % 5) AS account_name",
+        f"CASE WHEN {customer} % 5 < 2 THEN 'checking' ELSE 'credit_card' END AS account_type",
+        f"CASE WHEN {customer} % 5 < 2 THEN '{KEEP}' WHEN {customer} % 5 = 2 THEN '{FLIP}' ELSE '{FORCE}' END AS sign_rule",
+    ]
 
 
 def rows(spark: SparkSession, folder: str) -> DataFrame:
     """Statement rows as texts, one per order, with the account attached."""
-    orders = table(spark, folder, "orders")
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    texts = orders.select(
-        F.concat(F.lit("cust_"), customer.cast("string"), F.lit(".csv")).alias("file"),
-        F.lit(0).cast("bigint").alias("block"),
-        (key + 100).alias("pos"),
-        _date_text(key, F.to_date("o_orderdate")).alias("date_text"),
-        _text_of(key, customer).alias("description"),
-        _amount_text(key, F.col("o_totalprice")).alias("amount_text"),
-        "o_custkey",
-        "o_orderstatus",
+    return (
+        table(spark, folder, "orders")
+        .selectExpr("*", f"{_BASE} AS base", "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS price")
+        .selectExpr(
+            "concat('cust_', o_custkey, '.csv') AS file",
+            "0L AS block",
+            "o_orderkey + 100 AS pos",
+            f"{_DATE_TEXT} AS date_text",
+            f"{_DESCRIPTION} AS description",
+            f"{_AMOUNT_TEXT} AS amount_text",
+            "o_custkey",
+            "o_orderstatus",
+            *account_columns("o_custkey"),
+        )
     )
-    return texts.withColumns(account_columns(F.col("o_custkey")))
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,66 +134,46 @@ def ledger(spark: SparkSession, folder: str) -> DataFrame:
     return classify(raw(spark, folder))
 
 
+_HEAD = r"""
+CASE style WHEN 0 THEN 'Date,Description,Amount,Running Bal.'
+  WHEN 1 THEN 'Transaction Date,Post Date,Description,Category,Amount (USD),Memo'
+  WHEN 2 THEN concat('Description:,', c_name, '\nGenerated:,07/15/2026\n,,,\ndate,"memo",amt')
+  WHEN 3 THEN '\uFEFFTrans. Date,Payee,Charge,Updated'
+  WHEN 4 THEN 'Date,Description,Deposits,Withdrawals' ELSE 'When,What,How much' END"""
+_PLACES = f"IF(o_orderstatus = 'F', array(pos, pos + {LATER}), array(pos))"
+_DATE_CELL, _AMOUNT_CELL = "coalesce(date_text, '')", "coalesce(amount_text, '')"
+_TEXT_CELL = """concat('"', replace(coalesce(description, ''), '"', '""'), '"')"""
+_CELLS = f"{_DATE_CELL}, {_TEXT_CELL}, {_AMOUNT_CELL}"
+_BODY = f"""
+CASE o_custkey % 6
+  WHEN 1 THEN concat_ws(',', {_DATE_CELL}, {_DATE_CELL}, {_TEXT_CELL}, 'x', {_AMOUNT_CELL}, '')
+  WHEN 2 THEN concat_ws(',', {_CELLS}) WHEN 3 THEN concat_ws(',', {_CELLS}, 'z', '')
+  WHEN 4 THEN concat_ws(',', {_CELLS}, '') ELSE concat_ws(',', {_CELLS}, '1.00') END"""
+
+
 def statement_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Statement files as lines, one file per customer, in six header styles.
 
     Style 4 has split amounts and style 5 no header; both are to be rejected. Style 2 opens
     with a preamble and style 3 with a byte order mark.
     """
-    customers = table(spark, folder, "customer").select(
-        F.concat(F.lit("cust_"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("file"),
-        (F.col("c_custkey") % 6).alias("style"),
-        "c_name",
+    heads = (
+        table(spark, folder, "customer")
+        .selectExpr("concat('cust_', c_custkey, '.csv') AS file", "c_custkey % 6 AS style", "c_name")
+        .selectExpr("file", f"posexplode(split({_HEAD}, '\n')) AS (pos, line)")
     )
-    style = F.col("style")
-    heads = customers.select(
-        "file",
-        F.posexplode(
-            F.array_compact(
-                F.array(
-                    F.when(style == 2, F.concat(F.lit("Description:,"), F.col("c_name"))),
-                    F.when(style == 2, "Generated:,07/15/2026"),
-                    F.when(style == 2, ",,,"),
-                    F.when(style == 0, "Date,Description,Amount,Running Bal.")
-                    .when(style == 1, "Transaction Date,Post Date,Description,Category,Amount (USD),Memo")
-                    .when(style == 2, 'date,"memo",amt')
-                    .when(style == 3, "﻿Trans. Date,Payee,Charge,Updated")
-                    .when(style == 4, "Date,Description,Deposits,Withdrawals")
-                    .otherwise("When,What,How much"),
-                )
-            )
-        ).alias("pos", "line"),
-    )
-    quoted = F.concat(
-        F.lit('"'), F.replace(F.coalesce("description", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')
-    )
-    style_of_order = F.col("o_custkey") % 6
-    day, text, amount = F.coalesce("date_text", F.lit("")), quoted, F.coalesce("amount_text", F.lit(""))
-    parts = {
-        1: [day, day, text, F.lit("x"), amount, F.lit("")],
-        2: [day, text, amount],
-        3: [day, text, amount, F.lit("z"), F.lit("")],
-        4: [day, text, amount, F.lit("")],
-    }
-    line = F.concat_ws(",", day, text, amount, F.lit("1.00"))
-    for at, cells in parts.items():
-        line = F.when(style_of_order == at, F.concat_ws(",", *cells)).otherwise(line)
-    # Some rows hold more values than their header has columns.
-    line = F.when(F.col("pos") % 89 == 0, F.concat(line, F.lit(",7,8,9"))).otherwise(line)
     # Filled orders are exported a second time, further down the same file.
-    places = F.when(F.col("o_orderstatus") == "F", F.array("pos", F.col("pos") + LATER)).otherwise(F.array("pos"))
-    bodies = rows(spark, folder).select("file", F.explode(places).alias("pos"), line.alias("line"))
-    every = heads.select("file", F.col("pos").cast("bigint"), "line").unionByName(bodies)
-    return every.select("file", F.lit(0).cast("bigint").alias("block"), "pos", "line")
+    bodies = rows(spark, folder).selectExpr(
+        "file", f"explode({_PLACES}) AS pos", f"concat({_BODY}, IF(pos % 89 = 0, ',7,8,9', '')) AS line"
+    )
+    every = heads.selectExpr("file", "CAST(pos AS BIGINT) AS pos", "line").unionByName(bodies)
+    return every.selectExpr("file", "0L AS block", "pos", "line")
 
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Account of each statement file."""
     customers = table(spark, folder, "customer")
-    return customers.select(
-        F.concat(F.lit("cust_"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("file_name"),
-        *[column.alias(name) for name, column in account_columns(F.col("c_custkey")).items()],
-    )
+    return customers.selectExpr("concat('cust_', c_custkey, '.csv') AS file_name", *account_columns("c_custkey"))
 
 
 def trip_texts(spark: SparkSession, folder: str, per: str = "nation") -> DataFrame:

@@ -15,7 +15,7 @@ from tallyfold.operators import ingest as ing
 from tallyfold.operators import labels as lab
 from tallyfold.operators import reports as rep
 from tallyfold.operators import tables as tab
-from tallyfold.session import scratch_path
+from tallyfold.session import scratch_path, tune
 from tallyfold.sources import sidecars, statements
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,17 +32,21 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+def register(name: str, source: Query, then: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    QUERIES[name] = lambda spark, folder: plain(then(source(tune(spark), folder)))
+
+
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = lambda spark, folder: plain(function(spark, folder))
+    register(function.__name__, function)
     return function
 
 
 def on_ledger(name: str, report: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plain(report(fx.ledger(spark, folder)))
+    register(name, fx.ledger, report)
 
 
 def on_labelled(name: str, report: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, folder: plain(report(fx.labelled(spark, folder)))
+    register(name, fx.labelled, report)
 
 
 def trips(spark, folder):
@@ -187,7 +191,7 @@ def _axis(name: str) -> None:
     def axis(spark, folder):
         return fx.ledger(spark, folder).select("transaction_id", "raw_description", name)
 
-    QUERIES[f"{name}_axis"] = axis
+    register(f"{name}_axis", axis)
 
 
 for _name in ("merchant_name", "category", "sub_category", "channel"):
@@ -274,19 +278,15 @@ def _master(mode: str = "auto") -> Query:
     )
 
 
-def _register(name: str, source: Query, then: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
-    QUERIES[name] = lambda spark, folder: plain(then(source(spark, folder)))
-
-
-_register("ledger_with_trips", _travelled())
-_register("ledger_with_trips_shuffled", _travelled("days"))
-_register("ledger_with_first_trip", _travelled(on_overlap="first"))
-_register("master_ledger", _master())
-_register("master_ledger_shuffled", _master("days"))
-_register("travel_rows", _travelled(), ctx.travel_rows)
-_register("business_expenses", _master(), ctx.business_expenses)
-_register("monthly_burn", _travelled(), rep.monthly_burn)
-_register("latest_burn_months", _travelled(), lambda df: rep.monthly_burn(df, last=6))
+register("ledger_with_trips", _travelled())
+register("ledger_with_trips_shuffled", _travelled("days"))
+register("ledger_with_first_trip", _travelled(on_overlap="first"))
+register("master_ledger", _master())
+register("master_ledger_shuffled", _master("days"))
+register("travel_rows", _travelled(), ctx.travel_rows)
+register("business_expenses", _master(), ctx.business_expenses)
+register("monthly_burn", _travelled(), rep.monthly_burn)
+register("latest_burn_months", _travelled(), lambda df: rep.monthly_burn(df, last=6))
 
 
 @query

@@ -1,7 +1,6 @@
 """Labelling transactions on four axes, and the work-list of what stays unknown."""
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,28 +17,33 @@ _DEFAULTS = {
 }
 
 
-def matches(lowered: Column, pattern: str) -> Column:
-    """Case-insensitive LIKE over a text that is already in lower case.
+def _quoted(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def match_text(pattern: str, text: str) -> str:
+    """SQL test: a lower-cased text fits a LIKE pattern, whatever the pattern's case.
 
     Catalyst turns one-sided patterns into contains / startsWith. A pattern with inner
     wildcards stays a regular expression, so plain contains tests on its pieces go first.
     """
-    lowered_pattern = pattern.lower()
-    tests = [lowered.like(lowered_pattern.replace("\\", "\\\\"))]
-    pieces = [piece for piece in re.split("[%_]+", lowered_pattern) if piece]
-    if not re.fullmatch("%?[^%_]*%?", lowered_pattern):
-        tests = [lowered.contains(piece) for piece in pieces] + tests
-    return reduce(Column.__and__, tests)
+    lowered = pattern.lower()
+    tests = [f"{text} LIKE {_quoted(lowered.replace(chr(92), chr(92) * 2))}"]
+    if not re.fullmatch("%?[^%_]*%?", lowered):
+        pieces = [piece for piece in re.split("[%_]+", lowered) if piece]
+        tests = [f"contains({text}, {_quoted(piece)})" for piece in pieces] + tests
+    return "(" + " AND ".join(tests) + ")"
 
 
-def compile_axis(lowered: Column | str, rules: tuple[tuple[str, ...], ...], default: str) -> Column:
-    """One CASE expression: the first rule with a matching pattern gives the label."""
-    text = as_column(lowered)
-    branches = F
-    for value, *patterns in rules:
-        fires = reduce(Column.__or__, [matches(text, pattern) for pattern in patterns])
-        branches = branches.when(fires, value)
-    return branches.otherwise(default) if rules else F.lit(default)
+def compile_axis(rules: tuple[tuple[str, ...], ...], default: str, text: str) -> Column:
+    """One CASE expression over a lower-cased text column: the first rule with a matching
+    pattern gives the label."""
+    branches = [
+        f"WHEN {' OR '.join(match_text(pattern, text) for pattern in patterns)} THEN {_quoted(value)}"
+        for value, *patterns in rules
+    ]
+    return F.expr(f"CASE {' '.join(branches)} ELSE {_quoted(default)} END") if branches else F.lit(default)
 
 
 def strip_prefix(
@@ -56,8 +60,8 @@ def strip_prefix(
     return branches.otherwise(None) if prefixes else F.lit(None).cast("string")
 
 
-def label_columns(description: Column, lowered: Column, rules: RuleSet = DEFAULT_RULES) -> dict[str, Column]:
-    labels = {axis: compile_axis(lowered, getattr(rules, axis), default) for axis, default in _DEFAULTS.items()}
+def label_columns(description: str, lowered: str, rules: RuleSet = DEFAULT_RULES) -> dict[str, Column]:
+    labels = {axis: compile_axis(getattr(rules, axis), default, lowered) for axis, default in _DEFAULTS.items()}
     stripped = strip_prefix(description, lowered, rules.prefixes)
     labels["merchant_name"] = F.coalesce(stripped, labels["merchant_name"])
     return labels
@@ -66,13 +70,14 @@ def label_columns(description: Column, lowered: Column, rules: RuleSet = DEFAULT
 def classify(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Classification sweep: raw transactions to ledger rows. Narrow, no shuffle.
 
-    The lower-cased text is made once, in a projection of its own, and all axes read it.
-    It is never NULL, which keeps null checks out of the generated code and the method
-    small enough for the JIT; an absent text matches no rule either way.
+    The lower-cased text is made once per row, by exploding an array of one: filters on
+    labels are then not pushed into its definition, which would lower-case the text again in
+    every branch, while filters on stored columns still reach the scan. It is never NULL,
+    which keeps null checks out of the generated code; an absent text matches no rule anyway.
     """
-    lowered = raw.withColumn("_text", F.coalesce(F.lower("raw_description"), F.lit("")))
-    labelled = lowered.withColumns(label_columns(F.col("raw_description"), F.col("_text"), rules))
-    return labelled.select(*LEDGER.names)
+    lowered = F.coalesce(F.lower("raw_description"), F.lit(""))
+    texts = raw.select("*", F.explode(F.array(lowered)).alias("_text"))
+    return texts.withColumns(label_columns("raw_description", "_text", rules)).select(*LEDGER.names)
 
 
 def unknown_rows(ledger: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.skew import dimension_join, first_by
+from tallyfold.operators.skew import dimension_join, first_by, fits_broadcast
 from tallyfold.schemas import DEFAULT_CHANNEL, MAPPING, MAPPING_CATEGORIES, UNCLASSIFIED, UNKNOWN
 
 # Ledger column, mapping column, value used when the mapping leaves the field out.
@@ -21,7 +21,11 @@ def latest_mapping(mapping: DataFrame) -> DataFrame:
 
 
 def apply_mapping(ledger: DataFrame, mapping: DataFrame, small: bool | None = None) -> DataFrame:
-    """Patch the four labels of rows whose merchant is still unknown and whose text is mapped."""
+    """Patch the four labels of rows whose merchant is still unknown and whose text is mapped.
+
+    The mapping is measured before its duplicates are dropped, which can only make it smaller.
+    """
+    small = fits_broadcast(mapping) if small is None else small
 
     def condition(fact, entry):
         return (fact("raw_description") == entry("raw_description")) & (fact("merchant_name") == UNKNOWN)

@@ -1,8 +1,6 @@
 """Joins and de-duplication that hold up when one key carries a large share of the rows."""
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -15,12 +13,10 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
     Reads at most `max_rows + 1` rows into the count.
     """
-    widths = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in df.columns]
-    width = reduce(Column.__add__, widths, F.lit(16 * len(df.columns)))
-    sized = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    widths = "".join(f" + coalesce(octet_length(CAST(`{name}` AS STRING)), 0) + 16" for name in df.columns)
+    rows, size = (
+        df.limit(max_rows + 1).selectExpr("count(*) AS rows", f"coalesce(sum(0{widths}), 0) AS bytes").first()
     )
-    rows, size = sized.first()
     return rows <= max_rows and size <= max_bytes
 
 

@@ -5,7 +5,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# The method limit is the size up to which the JVM compiles a method to machine code. The
+# labelling CASE with the operators around it can pass it; such a stage is better run as
+# several smaller methods than interpreted.
 _SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,6 +29,13 @@ def build_session(name: str = "tallyfold", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session started elsewhere."""
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
