@@ -78,6 +78,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores when the input is one small split. A large input has more splits
+    than cores already and stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _listed(values) -> str:
     return ", ".join('"' + value.replace('"', '\\"') + '"' for value in values)
 
@@ -109,7 +116,7 @@ def account_columns(customer: str) -> list[str]:
 def rows(spark: SparkSession, folder: str) -> DataFrame:
     """Statement rows as texts, one per order, with the account attached."""
     return (
-        table(spark, folder, "orders")
+        _dealt(table(spark, folder, "orders"))
         .selectExpr("*", f"{_BASE} AS base", "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS price")
         .selectExpr(
             "concat('cust_', o_custkey, '.csv') AS file",

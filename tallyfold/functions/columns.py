@@ -4,9 +4,10 @@ All of them stay in the JVM; source text is only ever cast with `try_` functions
 because ANSI mode would turn one bad cell into a failed job.
 """
 
+import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.schemas import CREDIT_CARD, EXPENSE, INCOME, MONEY
@@ -23,12 +24,41 @@ def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is evaluated once per row, however often it is used.
+
+    Exploding an array of one keeps the optimizer from copying the expression into every
+    filter and projection that refers to it. Filters on other columns still pass.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+_ISO_START = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_SHAPES = {
+    "yyyy": "[0-9]{4}",
+    "yy": "[0-9]{2}",
+    "MMMM": "[A-Za-z]+",
+    "MMM": "[A-Za-z]{3}",
+    "M": "[0-9]{1,2}",
+    "d": "[0-9]{1,2}",
+}
+
+
+def _shape(layout: str) -> str:
+    """Regular expression of the texts a date layout can fit."""
+    return "^" + re.sub("y+|M+|d+", lambda part: _SHAPES[part.group()], layout) + "$"
+
+
 def parse_date(col: Column | str, formats: Iterable[str] = STATEMENT_DATES, generic: bool = True) -> Column:
-    """First layout that fits wins; then the generic date cast; else NULL."""
+    """First layout that fits wins; then the generic date cast; else NULL.
+
+    A layout is tried only on texts of its shape: a failed parse costs an exception, which
+    would be most of the time spent on a column of mixed layouts.
+    """
     text = as_column(col)
-    tries = [F.try_to_date(text, layout) for layout in formats]
+    tries = [F.when(text.rlike(_shape(layout)), F.try_to_date(text, layout)) for layout in formats]
     if generic:
-        tries.append(text.try_cast("date"))
+        tries.append(F.when(text.rlike(_ISO_START), text.try_cast("date")))
     return F.coalesce(*tries)
 
 

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.columns import as_column
+from tallyfold.functions.columns import as_column, computed_once
 from tallyfold.functions.rules import DEFAULT_RULES, RuleSet
 from tallyfold.schemas import DEFAULT_CHANNEL, LEDGER, UNCLASSIFIED, UNKNOWN
 
@@ -70,13 +70,10 @@ def label_columns(description: str, lowered: str, rules: RuleSet = DEFAULT_RULES
 def classify(raw: DataFrame, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
     """Classification sweep: raw transactions to ledger rows. Narrow, no shuffle.
 
-    The lower-cased text is made once per row, by exploding an array of one: filters on
-    labels are then not pushed into its definition, which would lower-case the text again in
-    every branch, while filters on stored columns still reach the scan. It is never NULL,
-    which keeps null checks out of the generated code; an absent text matches no rule anyway.
+    The lower-cased text is made once per row and never NULL, which keeps null checks out of
+    the generated code; an absent text matches no rule anyway.
     """
-    lowered = F.coalesce(F.lower("raw_description"), F.lit(""))
-    texts = raw.select("*", F.explode(F.array(lowered)).alias("_text"))
+    texts = computed_once(raw, "_text", F.coalesce(F.lower("raw_description"), F.lit("")))
     return texts.withColumns(label_columns("raw_description", "_text", rules)).select(*LEDGER.names)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.columns import (
     as_column,
+    computed_once,
     content_key,
     direction,
     normalize_sign,
@@ -28,8 +29,9 @@ ARRIVAL = ["file", "block", "pos"]
 
 def valid_rows(rows: DataFrame, paren_negative: bool = False) -> DataFrame:
     """Rows with a date text and an amount that is a number, with `parsed` holding it."""
-    parsed = rows.withColumn("parsed", parse_amount("amount_text", paren_negative))
-    return parsed.where(F.col("date_text").isNotNull() & F.col("parsed").isNotNull())
+    given = rows.where(F.col("date_text").isNotNull() & F.col("amount_text").isNotNull())
+    parsed = computed_once(given, "parsed", parse_amount("amount_text", paren_negative))
+    return parsed.where(F.col("parsed").isNotNull())
 
 
 def base_name(file: Column | str) -> Column:

@@ -132,7 +132,8 @@ def truncate_all(spark: SparkSession, tables: Iterable[str]) -> list[str]:
     emptied = []
     for name in tables:
         if spark.catalog.tableExists(name):
-            spark.sql(f"TRUNCATE TABLE {name}")
+            empty = spark.createDataFrame([], spark.table(name).schema)
+            empty.write.insertInto(name, overwrite=True)
             emptied.append(name)
     return emptied
 

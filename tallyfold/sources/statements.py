@@ -7,8 +7,8 @@ work. All files of a load go through one scan; nothing loops over files.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.functions.columns import as_column
-from tallyfold.operators.skew import BROADCAST_ROWS, dimension_join
+from tallyfold.functions.columns import as_column, computed_once
+from tallyfold.operators.skew import BROADCAST_ROWS, dimension_join, fits_broadcast
 
 # Header names that mark a column's role.
 DATE_ALIASES = ("date", "trans. date", "transaction date", "post date")
@@ -42,23 +42,31 @@ def read_statement_lines(spark: SparkSession, paths: str | list[str]) -> DataFra
 
 
 def split_cells(line: Column | str) -> Column:
-    """CSV cells of one line as an array, any width: empty cells are NULL, quotes undone."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), as_column(line)), F.lit(_CELL), 1)
+    """CSV cells of one line as an array, any width: empty cells are NULL, quotes undone.
 
-    def clean(cell: Column) -> Column:
-        inner = F.concat(
+    Only lines that hold a quote need the regular expression.
+    """
+    text = as_column(line)
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(_CELL), 1)
+
+    def unquote(cell: Column) -> Column:
+        whole = cell.endswith('"') & (F.length(cell) > 1)
+        inner = F.replace(F.substr(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        odd = F.concat(
             F.replace(F.regexp_extract(cell, _QUOTED, 1), F.lit('""'), F.lit('"')),
             F.regexp_extract(cell, _QUOTED, 2),
         )
-        return F.nullif(F.when(cell.startswith('"') & cell.rlike(_QUOTED), inner).otherwise(cell), F.lit(""))
+        return F.when(~cell.startswith('"'), cell).when(whole, inner).when(cell.rlike(_QUOTED), odd).otherwise(cell)
 
-    return F.transform(raw, clean)
+    empty = F.lit("")
+    return F.when(
+        text.contains('"'), F.transform(quoted, lambda cell: F.nullif(unquote(cell), empty))
+    ).otherwise(F.transform(F.split(text, ","), lambda cell: F.nullif(cell, empty)))
 
 
 def statement_cells(lines: DataFrame) -> DataFrame:
     """Lines with their cells. A byte order mark and a trailing carriage return are dropped."""
-    text = F.rtrim(F.regexp_replace("line", r"^\x{FEFF}", ""), F.lit("\r"))
-    return lines.withColumn("cells", split_cells(text))
+    return computed_once(lines, "cells", _cells_of("line"))
 
 
 def read_statement_cells(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -106,7 +114,7 @@ def discover_headers(lines: DataFrame) -> DataFrame:
 
 
 def _cells_of(line: str) -> Column:
-    return split_cells(F.rtrim(F.regexp_replace(line, r"^\x{FEFF}", ""), F.lit("\r")))
+    return split_cells(F.rtrim(F.ltrim(line, F.lit("\ufeff")), F.lit("\r")))
 
 
 def _holds_alias(name: Column, aliases: tuple[str, ...]) -> Column:
@@ -170,6 +178,8 @@ def raise_on_rejects(columns: DataFrame) -> None:
 
 def _body(lines: DataFrame, columns: DataFrame, small: bool | None) -> DataFrame:
     """Non-blank lines behind the header of usable files, with the file's column positions."""
+    if small is None:
+        small = fits_broadcast(lines.select("file").distinct())
     usable = columns.where(F.col("reject_reason").isNull()).select(
         "file", "header_pos", "width", "date_ix", "desc_ix", "amt_ix"
     )
@@ -178,12 +188,11 @@ def _body(lines: DataFrame, columns: DataFrame, small: bool | None) -> DataFrame
         behind = (line("block") > 0) | (line("pos") > head("header_pos"))
         return (line("file") == head("file")) & behind
 
-    joined = dimension_join(
-        lines.where(F.trim("line") != ""), usable, condition, "pos", "inner", small
-    )
-    return joined.select(
+    joined = dimension_join(lines.where(F.trim("line") != ""), usable, condition, "pos", "inner", small)
+    kept = joined.select(
         "facts.file", "facts.block", "facts.pos", "facts.line", "width", "date_ix", "desc_ix", "amt_ix"
-    ).withColumn("cells", _cells_of("line"))
+    )
+    return computed_once(kept, "cells", _cells_of("line"))
 
 
 def _too_wide() -> Column:
