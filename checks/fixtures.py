@@ -232,63 +232,31 @@ def cash_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _label(text: str, merchant: str, category: str, sub_category: str, channel: str, at: int) -> str:
+    return f"""named_struct('raw_description', {text}, 'merchant', {merchant}, 'category', {category},
+      'sub_category', {sub_category}, 'channel', {channel}, 'seq', c_custkey * 10 + {at})"""
+
+
+_SHOP = "concat('CORNER SHOP ', c_custkey)"
+_LABELS = f"""filter(array(
+  {_label(_SHOP, "concat('Corner Shop ', c_custkey)", "IF(c_mktsegment = 'MACHINERY', 'Gadgets', 'Groceries')",
+          "IF(c_mktsegment = 'HOUSEHOLD', NULL, 'Convenience')", "IF(c_mktsegment = 'FURNITURE', NULL, 'pos')", 0)},
+  {_label("concat('RIVERSIDE APTS LLC ', c_custkey)", "IF(c_mktsegment = 'HOUSEHOLD', NULL, 'Riverside Apartments')",
+          "'Transfer'", "'Rent Payment'", "'ach'", 1)},
+  {_label("concat('WIRE TO FRIEND ', c_custkey)", "'Zelle'", "IF(c_mktsegment = 'BUILDING', 'Cash', 'Transfer')",
+          "'Person to Person Payment'", "'p2p'", 2)},
+  {_label("'SWEETGREEN SOMA'", "'Never used'", "'Meals'", "'Salad'", "'pos'", 3)},
+  IF(c_mktsegment = 'AUTOMOBILE',
+     {_label(_SHOP, "concat('Corner Shop No. ', c_custkey)", "'Shopping'", "'Corner'", "'online'", 4)}, NULL)
+), entry -> entry IS NOT NULL)"""
+
+
 def mapping(spark: SparkSession, folder: str) -> DataFrame:
     """Labels for the numbered texts of each customer; one segment is labelled twice.
 
     It also holds a text that rules already label, absent fields and a category that is not allowed.
     """
-    customers = table(spark, folder, "customer")
-    key = F.col("c_custkey")
-    number = key.cast("string")
-    segment = F.col("c_mktsegment")
-    labels = F.array(
-        F.struct(
-            F.concat(F.lit("CORNER SHOP "), number).alias("raw_description"),
-            F.concat(F.lit("Corner Shop "), number).alias("merchant"),
-            F.when(segment == "MACHINERY", "Gadgets").otherwise("Groceries").alias("category"),
-            F.when(segment != "HOUSEHOLD", "Convenience").alias("sub_category"),
-            F.when(segment != "FURNITURE", "pos").alias("channel"),
-            (key * 10).alias("seq"),
-        ),
-        F.struct(
-            F.concat(F.lit("RIVERSIDE APTS LLC "), number).alias("raw_description"),
-            F.when(segment != "HOUSEHOLD", "Riverside Apartments").alias("merchant"),
-            F.lit("Transfer").alias("category"),
-            F.lit("Rent Payment").alias("sub_category"),
-            F.lit("ach").alias("channel"),
-            (key * 10 + 1).alias("seq"),
-        ),
-        F.struct(
-            F.concat(F.lit("WIRE TO FRIEND "), number).alias("raw_description"),
-            F.lit("Zelle").alias("merchant"),
-            F.when(segment == "BUILDING", "Cash").otherwise("Transfer").alias("category"),
-            F.lit("Person to Person Payment").alias("sub_category"),
-            F.lit("p2p").alias("channel"),
-            (key * 10 + 2).alias("seq"),
-        ),
-        F.struct(
-            F.lit("SWEETGREEN SOMA").alias("raw_description"),
-            F.lit("Never used").alias("merchant"),
-            F.lit("Meals").alias("category"),
-            F.lit("Salad").alias("sub_category"),
-            F.lit("pos").alias("channel"),
-            (key * 10 + 3).alias("seq"),
-        ),
-    )
-    again = F.when(
-        segment == "AUTOMOBILE",
-        F.array(
-            F.struct(
-                F.concat(F.lit("CORNER SHOP "), number).alias("raw_description"),
-                F.concat(F.lit("Corner Shop No. "), number).alias("merchant"),
-                F.lit("Shopping").alias("category"),
-                F.lit("Corner").alias("sub_category"),
-                F.lit("online").alias("channel"),
-                (key * 10 + 4).alias("seq"),
-            )
-        ),
-    ).otherwise(F.slice(labels, 1, 0))
-    return customers.select(F.inline(F.concat(labels, again)))
+    return table(spark, folder, "customer").selectExpr(f"inline({_LABELS})")
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,6 +15,7 @@ from tallyfold.operators import ingest as ing
 from tallyfold.operators import labels as lab
 from tallyfold.operators import reports as rep
 from tallyfold.operators import tables as tab
+from tallyfold.schemas import P2P
 from tallyfold.session import scratch_path, tune
 from tallyfold.sources import sidecars, statements
 
@@ -304,6 +305,12 @@ def loan_tracking(spark, folder):
 
 # Reports
 
+
+def _lent(ledger):
+    """Person-to-person payments labelled as cash: too few to fill every month."""
+    return ledger.where((F.col("category") == "Cash") & (F.col("sub_category") == P2P))
+
+
 on_ledger("ledger_status", rep.ledger_status)
 on_labelled("tax_summary", rep.tax_summary)
 on_labelled("tax_export", rep.tax_export)
@@ -316,7 +323,7 @@ on_labelled("account_category", rep.account_category)
 on_labelled("account_groceries", lambda df: rep.account_category(df).where(F.col("category") == "Groceries"))
 on_labelled("monthly_resample", lambda df: rep.resample(df, "month_end"))
 on_labelled("weekly_resample", lambda df: rep.resample(df, "week_sunday"))
-on_labelled("sparse_resample", lambda df: rep.resample(cl.rows_for_merchant(df, "Corner Shop 7"), "month_end"))
+on_labelled("sparse_resample", lambda df: rep.resample(_lent(df), "month_end"))
 on_labelled("category_channel", rep.category_channel)
 on_ledger("platform_analysis", rep.platform_analysis)
 on_ledger("row_count", tab.row_count)

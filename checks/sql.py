@@ -475,7 +475,7 @@ ORACLE["weekly_resample"] = M + _resample(
     "week",
     "CAST(t + INTERVAL 6 DAY AS DATE)",
 )
-ORACLE["sparse_resample"] = M + _resample(*_MONTH_END, "AND merchant_name = 'Corner Shop 7'")
+ORACLE["sparse_resample"] = M + _resample(*_MONTH_END, "AND category = 'Cash' AND sub_category = 'Person to Person Payment'")
 ORACLE["category_channel"] = M + f"""
 SELECT category, channel, {_sum()} AS total_spent, count(*) AS txn_count FROM labelled GROUP BY ALL
 """

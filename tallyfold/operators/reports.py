@@ -4,6 +4,8 @@ Every grouping here is on a small set of keys, so tasks pre-aggregate and only p
 are shuffled. Sums run on decimals; orderings name their NULL order.
 """
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from tallyfold.functions.columns import money, month_of
 from tallyfold.schemas import (
     EXPENSE,
     FIXED_CATEGORIES,
+    MONEY,
     NOT_SPENDING,
     RENT,
     TRANSFER,
@@ -28,7 +31,7 @@ def _sum(value: Column | str = "amount") -> Column:
 
 
 def _sum_if(condition: Column, value: Column) -> Column:
-    return money(F.sum(F.when(condition, value).otherwise(F.lit(0).cast("decimal(18,2)"))))
+    return money(F.sum(F.when(condition, value).otherwise(F.lit(0).cast(MONEY))))
 
 
 def _expenses(ledger: DataFrame) -> DataFrame:
@@ -68,6 +71,16 @@ def export_tax(ledger: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def _month() -> Column:
+    """First day of the month. Grouping on a date is cheap; only result rows are formatted."""
+    return F.trunc("transaction_date", "MM")
+
+
+def _newest_months_first(grouped: DataFrame, name: str) -> DataFrame:
+    labelled = grouped.withColumn("_month", month_of("_month")).withColumnRenamed("_month", name)
+    return labelled.orderBy(F.desc_nulls_last(name))
+
+
 def monthly_burn(travelled: DataFrame, last: int | None = None) -> DataFrame:
     """Fixed, variable and total spending per month, newest first.
 
@@ -76,12 +89,12 @@ def monthly_burn(travelled: DataFrame, last: int | None = None) -> DataFrame:
     size = F.abs("amount")
     category, sub_category = F.col("category"), F.col("sub_category")
     rent = sub_category == RENT
-    burn = travelled.groupBy(month_of("transaction_date").alias("monthly_period")).agg(
+    burn = travelled.groupBy(_month().alias("_month")).agg(
         _sum_if(category.isin(*FIXED_CATEGORIES) | ((category == TRANSFER) & rent), size).alias("fixed_overhead"),
         _sum_if(category.isin(*VARIABLE_CATEGORIES), size).alias("variable_lifestyle"),
         _sum_if(~category.isin(*NOT_SPENDING) | rent, size).alias("total_operational_spend"),
     )
-    newest = burn.orderBy(F.desc_nulls_last("monthly_period"))
+    newest = _newest_months_first(burn, "monthly_period")
     return newest if last is None else newest.limit(last)
 
 
@@ -92,18 +105,32 @@ def merchant_history(ledger: DataFrame, term: str) -> DataFrame:
     """
     pattern = f"%{term}%".replace("\\", "\\\\")
     hits = ledger.where(F.col("merchant_name").ilike(pattern) | F.col("raw_description").ilike(pattern))
-    months = hits.groupBy(month_of("transaction_date").alias("month")).agg(
+    months = hits.groupBy(_month().alias("_month")).agg(
         _count().alias("transactions"), _sum(F.abs("amount")).alias("total_spent")
     )
-    return months.orderBy(F.desc_nulls_last("month"))
+    return _newest_months_first(months, "month")
 
 
 def latest_months(ledger: DataFrame, n: int = 2) -> list[str]:
     """The newest n months that occur, newest first."""
-    months = ledger.where(F.col("transaction_date").isNotNull()).select(
-        month_of("transaction_date").alias("month")
-    )
-    return [row.month for row in months.distinct().orderBy(F.desc("month")).limit(n).collect()]
+    months = ledger.where(F.col("transaction_date").isNotNull()).select(_month().alias("month")).distinct()
+    return [f"{row.month:%Y-%m}" for row in months.orderBy(F.desc("month")).limit(n).collect()]
+
+
+def _first_day(month: str) -> Column:
+    return F.lit(datetime.date.fromisoformat(f"{month}-01"))
+
+
+def _within(first: Column, end: Column) -> Column:
+    """A plain date range, which reaches the scan as a filter."""
+    return (F.col("transaction_date") >= first) & (F.col("transaction_date") < end)
+
+
+def _month_columns(months: list[str], value: Column, absent: Column) -> list[Column]:
+    """A column per month: conditional sums, so a known list of months needs one grouping only."""
+    return [
+        money(F.sum(F.when(_month() == _first_day(month), value).otherwise(absent))).alias(month) for month in months
+    ]
 
 
 def compare_months(ledger: DataFrame, months: list[str] | None = None) -> DataFrame | None:
@@ -115,17 +142,9 @@ def compare_months(ledger: DataFrame, months: list[str] | None = None) -> DataFr
     if len(months) < 2:
         return None
     current, last = months[:2]
-    month = month_of("transaction_date")
-    chosen = _expenses(ledger).where(_between_months(last, current) & month.isin(last, current))
-    table = chosen.withColumn("month", month).groupBy("category").pivot("month", [last, current])
-    return table.agg(_sum(F.abs("amount"))).na.fill(0)
-
-
-def _between_months(first: str, last: str) -> Column:
-    """A plain date range over whole months, which reaches the scan as a filter."""
-    start = F.to_date(F.lit(f"{first}-01"))
-    end = F.add_months(F.to_date(F.lit(f"{last}-01")), 1)
-    return (F.col("transaction_date") >= start) & (F.col("transaction_date") < end)
+    either = _month().isin(_first_day(last), _first_day(current))
+    chosen = _expenses(ledger).where(_within(_first_day(last), F.add_months(_first_day(current), 1)) & either)
+    return chosen.groupBy("category").agg(*_month_columns([last, current], F.abs("amount"), F.lit(0).cast(MONEY)))
 
 
 def category_direction(ledger: DataFrame) -> DataFrame:
@@ -138,17 +157,10 @@ def category_direction(ledger: DataFrame) -> DataFrame:
 
 def monthly_pivot(ledger: DataFrame, start: str, end: str) -> DataFrame:
     """Net amount per category, one column per month that occurs in [start, end)."""
-    day = F.col("transaction_date")
-    chosen = ledger.where((day >= F.lit(start).cast("date")) & (day < F.lit(end).cast("date")))
-    months = [
-        row.month
-        for row in chosen.select(month_of(day).alias("month")).distinct().orderBy("month").collect()
-    ]
-    if not months:
-        return chosen.select("category").distinct()
-    return chosen.groupBy("category", month_of(day).alias("month")).agg(F.sum("amount").alias("total")).groupBy(
-        "category"
-    ).pivot("month", months).agg(_sum("total"))
+    chosen = ledger.where(_within(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    found = chosen.select(_month().alias("month")).distinct().orderBy("month").collect()
+    columns = _month_columns([f"{row.month:%Y-%m}" for row in found], F.col("amount"), F.lit(None).cast(MONEY))
+    return chosen.groupBy("category").agg(*columns) if columns else chosen.select("category").distinct()
 
 
 def high_spenders(ledger: DataFrame, threshold: float = -500, k: int = 10) -> DataFrame:
@@ -216,7 +228,7 @@ def resample(ledger: DataFrame, freq: str = "month_end") -> DataFrame:
         steps = F.coalesce((F.datediff("following", "period") / 7).cast("int"), F.lit(1))
         nth = F.date_add(F.col("period"), F.col("step") * 7)
     filled = gaps.withColumn("step", F.explode(F.sequence(F.lit(0), steps - 1)))
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast(MONEY)
     return filled.select(
         nth.alias("period"), F.when(F.col("step") == 0, F.col("total")).otherwise(zero).alias("total")
     )
@@ -236,54 +248,39 @@ def running_balance(ledger: DataFrame, account: str | None = None, id_prefix: in
         "transaction_id",
         "merchant_name",
         "amount",
+        F.coalesce("account_name", F.lit("")).alias("_account"),
         F.coalesce("transaction_date", F.lit("9999-12-31").cast("date")).alias("_day"),
-        F.substring("transaction_id", 1, id_prefix).alias("_slot"),
-    )
-    opening = _opening_balances(rows).alias("opening")
-    rows = rows.alias("rows")
-    same_slot = (
-        F.col("rows.account_name").eqNullSafe(F.col("opening.account_name"))
-        & (F.col("rows._day") == F.col("opening._day"))
-        & (F.col("rows._slot") == F.col("opening._slot"))
+        F.coalesce(F.substring("transaction_id", 1, id_prefix), F.lit("")).alias("_slot"),
     )
-    in_slot = (
-        W.partitionBy("rows.account_name", "rows._day", "rows._slot")
-        .orderBy("rows.transaction_id")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    balance = F.col("opening._before") + F.sum("rows.amount").over(in_slot)
-    return rows.join(opening, same_slot).select(
-        "rows.account_name",
-        "rows.transaction_date",
-        "rows.transaction_id",
-        "rows.merchant_name",
-        "rows.amount",
+    in_slot = W.partitionBy(*_SLOT).orderBy("transaction_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    balance = F.col("_before") + F.sum("amount").over(in_slot)
+    return rows.join(_opening_balances(rows), _SLOT).select(
+        "account_name",
+        "transaction_date",
+        "transaction_id",
+        "merchant_name",
+        "amount",
         balance.alias("running_balance"),
     )
 
 
+# Never NULL, so that the join and the window share one partitioning of the rows.
+_SLOT = ["_account", "_day", "_slot"]
+
+
 def _opening_balances(rows: DataFrame) -> DataFrame:
     """Balance before each slot: all earlier days, plus earlier slots of the same day."""
-    zero = F.lit(0).cast("decimal(38,2)")
-    before = lambda window: F.coalesce(
-        F.sum("_sum").over(window.rowsBetween(W.unboundedPreceding, -1)), zero
-    )
-    slots = rows.groupBy("account_name", "_day", "_slot").agg(F.sum("amount").alias("_sum"))
-    in_day = slots.withColumn("_earlier", before(W.partitionBy("account_name", "_day").orderBy("_slot")))
-    days = slots.groupBy("account_name", "_day").agg(F.sum("_sum").alias("_sum"))
-    by_day = days.select(
-        "account_name", "_day", before(W.partitionBy("account_name").orderBy("_day")).alias("_days_before")
-    )
-    left, right = in_day.alias("slot"), by_day.alias("day")
-    same_day = F.col("slot.account_name").eqNullSafe(F.col("day.account_name")) & (
-        F.col("slot._day") == F.col("day._day")
-    )
-    return left.join(right, same_day).select(
-        "slot.account_name",
-        "slot._day",
-        "slot._slot",
-        (F.col("slot._earlier") + F.col("day._days_before")).alias("_before"),
-    )
+
+    def before(window) -> Column:
+        earlier = F.sum("_sum").over(window.rowsBetween(W.unboundedPreceding, -1))
+        return F.coalesce(earlier, F.lit(0).cast("decimal(38,2)"))
+
+    slots = rows.groupBy(*_SLOT).agg(F.sum("amount").alias("_sum"))
+    in_day = slots.withColumn("_earlier", before(W.partitionBy("_account", "_day").orderBy("_slot")))
+    days = slots.groupBy("_account", "_day").agg(F.sum("_sum").alias("_sum"))
+    by_day = days.select("_account", "_day", before(W.partitionBy("_account").orderBy("_day")).alias("_days_before"))
+    both = in_day.join(by_day, ["_account", "_day"])
+    return both.select(*_SLOT, (F.col("_earlier") + F.col("_days_before")).alias("_before"))
 
 
 def last_n(df: DataFrame, keys: list[str], n: int) -> DataFrame:
