@@ -15,6 +15,7 @@ from tallyfold.operators import ingest as ing
 from tallyfold.operators import labels as lab
 from tallyfold.operators import reports as rep
 from tallyfold.operators import tables as tab
+from tallyfold.operators.skew import fits_broadcast
 from tallyfold.schemas import P2P
 from tallyfold.session import scratch_path, tune
 from tallyfold.sources import sidecars, statements
@@ -109,7 +110,14 @@ def statement_rows(spark, folder):
 
 @query
 def ingest_statements(spark, folder):
-    return ing.ingest_lines(fx.statement_lines(spark, folder), fx.accounts(spark, folder))
+    accounts = fx.accounts(spark, folder)
+    one_file_each = fits_broadcast(accounts)
+    return ing.ingest_lines(fx.statement_lines(spark, folder), accounts, small=one_file_each)
+
+
+@query
+def ingest_statements_shuffled(spark, folder):
+    return ing.ingest_lines(fx.statement_lines(spark, folder), fx.accounts(spark, folder), small=False)
 
 
 @query
@@ -172,7 +180,7 @@ def valid_rows(spark, folder):
 def attached_accounts(spark, folder):
     rows = fx.rows(spark, folder).select("file", "pos")
     named = fx.accounts(spark, folder).drop("sign_rule")
-    return ing.with_account(rows, named)
+    return ing.with_account(rows, named, spread="pos")
 
 
 @query

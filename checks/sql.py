@@ -252,6 +252,7 @@ FROM raw WHERE pos % 89 <> 0 AND CAST(regexp_extract(file, '[0-9]+') AS BIGINT)
 WINDOW w AS (PARTITION BY transaction_id)
 """
 
+ORACLE["ingest_statements_shuffled"] = ORACLE["ingest_statements"]
 ORACLE["trips_sidecar"] = _with(_trips("trips", "customer", "c_custkey", "c_name")) + "SELECT * FROM trips"
 
 ORACLE["cash_sidecar"] = _with(_CASH) + """

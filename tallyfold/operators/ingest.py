@@ -13,7 +13,7 @@ from tallyfold.functions.columns import (
     parse_date,
     sign_rule,
 )
-from tallyfold.operators.skew import dimension_join, first_by
+from tallyfold.operators.skew import dimension_join, first_by, fits_broadcast
 from tallyfold.schemas import RAW_TRANSACTIONS
 from tallyfold.sources.statements import (
     discover_headers,
@@ -38,9 +38,12 @@ def base_name(file: Column | str) -> Column:
     return F.element_at(F.split(as_column(file), "/"), -1)
 
 
-def with_account(rows: DataFrame, accounts: DataFrame, small: bool | None = None) -> DataFrame:
+def with_account(
+    rows: DataFrame, accounts: DataFrame, small: bool | None = None, spread: str = "file"
+) -> DataFrame:
     """Attach account_name, account_type and sign_rule by the file's base name.
 
+    Works on a frame of files as well as of rows; `spread` tells rows of one file apart.
     `accounts` has (file_name, account_name, account_type) and may give its own sign_rule.
     """
     rule = sign_rule("account_type", "account_name", "file_name")
@@ -50,7 +53,7 @@ def with_account(rows: DataFrame, accounts: DataFrame, small: bool | None = None
         rows,
         dim,
         lambda row, account: base_name(row("file")) == account("file_name"),
-        "pos",
+        spread,
         "inner",
         small,
     )
@@ -96,13 +99,16 @@ def ingest_lines(
 ) -> DataFrame:
     """Statement lines to raw transactions, each content key once (first arrival wins).
 
-    Files that cannot be mapped are left out, or raise with `strict`.
+    Files that cannot be mapped are left out, or raise with `strict`. Accounts are attached to
+    files, so the lines are joined once. `small` says whether one row per file can be
+    broadcast, for callers who know how many files there are; else they are counted.
     """
     columns = map_columns(discover_headers(lines))
     if strict:
         raise_on_rejects(columns)
-    rows = valid_rows(statement_rows(lines, columns, small), paren_negative)
-    typed = to_transactions(with_account(rows, accounts), key_scope)
+    files = with_account(columns, accounts, small)
+    rows = valid_rows(statement_rows(lines, files, small), paren_negative)
+    typed = to_transactions(rows, key_scope)
     return first_by(typed, ["transaction_id"], ARRIVAL).select(*RAW_TRANSACTIONS.names)
 
 
@@ -111,4 +117,5 @@ def ingest_files(
 ) -> DataFrame:
     """Statement files of any number of accounts to raw transactions, in one pass over all files."""
     lines = read_statement_lines(spark, paths)
-    return ingest_lines(lines, accounts, strict, small=few_files(lines), **options)
+    small = few_files(lines) and fits_broadcast(accounts)
+    return ingest_lines(lines, accounts, strict, small=small, **options)

@@ -94,10 +94,9 @@ def discover_headers(lines: DataFrame) -> DataFrame:
     header-like line are kept. `header` is NULL for a file without such a line.
     """
     maybe = F.lower("line").contains("date")
+    head = computed_once(lines.where(F.col("block") == 0), "cells", F.when(maybe, _cells_of("line")))
     parsed = (
-        lines.where(F.col("block") == 0)
-        .withColumn("cells", F.when(maybe, _cells_of("line")))
-        .withColumn("at", F.when(_is_header(F.col("cells")), F.col("pos")))
+        head.withColumn("at", F.when(_is_header(F.col("cells")), F.col("pos")))
         .select("file", "pos", "at", F.when(F.col("at").isNotNull(), F.col("cells")).alias("cells"))
     )
     found = parsed.groupBy("file").agg(
@@ -181,7 +180,7 @@ def _body(lines: DataFrame, columns: DataFrame, small: bool | None) -> DataFrame
     if small is None:
         small = fits_broadcast(lines.select("file").distinct())
     usable = columns.where(F.col("reject_reason").isNull()).select(
-        "file", "header_pos", "width", "date_ix", "desc_ix", "amt_ix"
+        "file", "header_pos", "width", "date_ix", "desc_ix", "amt_ix", *_account_of(columns)
     )
 
     def condition(line, head):
@@ -190,11 +189,17 @@ def _body(lines: DataFrame, columns: DataFrame, small: bool | None) -> DataFrame
 
     joined = dimension_join(lines.where(F.trim("line") != ""), usable, condition, "pos", "inner", small)
     kept = joined.select(
-        "facts.file", "facts.block", "facts.pos", "facts.line", "width", "date_ix", "desc_ix", "amt_ix"
+        *[F.col(f"facts.{name}") for name in ("file", "block", "pos", "line")],
+        *usable.columns[2:],
     )
     return computed_once(kept, "cells", _cells_of("line"))
 
 
+def _account_of(columns: DataFrame) -> list[str]:
+    """Account columns, where the files have been given theirs already."""
+    return [name for name in ("account_name", "account_type", "sign_rule") if name in columns.columns]
+
+
 def _too_wide() -> Column:
     """A row with a value beyond the header's last column; empty extra cells are harmless."""
     extra = F.slice("cells", F.col("width") + 1, F.greatest(F.size("cells") - F.col("width"), F.lit(0)))
@@ -214,6 +219,7 @@ def statement_rows(lines: DataFrame, columns: DataFrame, small: bool | None = No
         F.get("cells", F.col("date_ix")).alias("date_text"),
         F.get("cells", F.col("desc_ix")).alias("description"),
         F.get("cells", F.col("amt_ix")).alias("amount_text"),
+        *_account_of(columns),
     )
 
 
