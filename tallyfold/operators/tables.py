@@ -8,10 +8,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyfold.functions.columns import month_of
 from tallyfold.operators.skew import first_by
-from tallyfold.schemas import LABELS
+from tallyfold.schemas import LABELS, LEDGER
 
 KEY = "transaction_id"
 
@@ -80,9 +81,17 @@ def write_monthly(df: DataFrame, path: str, mode: str, date: str = "transaction_
     )
 
 
-def read_monthly(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
+def create_monthly(spark: SparkSession, path: str, schema: StructType = LEDGER) -> None:
+    """Make an empty stored table; one that is there already is left as it is."""
+    write_monthly(spark.createDataFrame([], schema), path, "append")
+
+
+def read_monthly(
+    spark: SparkSession, path: str, months: list[str] | None = None, schema: StructType = LEDGER
+) -> DataFrame:
     """The stored table, or only some months of it (pruned before anything is read)."""
-    table = spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+    stored = StructType([*schema.fields, StructField("month", StringType())])
+    table = spark.read.schema(stored).parquet(path)
     if months is not None:
         table = table.where(F.col("month").isin(months))
     return table.drop("month")
