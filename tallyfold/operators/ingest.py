@@ -113,9 +113,14 @@ def ingest_lines(
 
 
 def ingest_files(
-    spark: SparkSession, paths: str | list[str], accounts: DataFrame, strict: bool = False, **options
+    spark: SparkSession,
+    paths: str | list[str],
+    accounts: DataFrame,
+    strict: bool = False,
+    multiline: bool = False,
+    **options,
 ) -> DataFrame:
     """Statement files of any number of accounts to raw transactions, in one pass over all files."""
-    lines = read_statement_lines(spark, paths)
+    lines = read_statement_lines(spark, paths, multiline)
     small = few_files(lines) and fits_broadcast(accounts)
     return ingest_lines(lines, accounts, strict, small=small, **options)

@@ -20,25 +20,55 @@ NO_HEADER = "no header row with a date and a description column"
 NO_ROLES = "date or description column not mapped"
 NO_AMOUNT = "amount column not mapped"
 TOO_WIDE = "more cells than the header"
+RECORD_CELLS = 64
+_BLANKS = " \t\n\r\f\v\u00a0"
 
 # One cell after its comma: quoted (doubled quotes inside) or plain.
 _CELL = r',("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 _QUOTED = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
 
 
-def read_statement_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def _placed(text: DataFrame, line: Column) -> DataFrame:
+    """File, block and position of each line. Paths are given as they are on disk, not as URIs."""
+    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return text.select(
+        F.url_decode(path).alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        line.alias("line"),
+    )
+
+
+def read_statement_lines(spark: SparkSession, paths: str | list[str], multiline: bool = False) -> DataFrame:
     """All lines as (file, block, pos, line).
 
     `pos` goes up by one per line inside a block (file split); blocks are ordered by offset.
-    Together with the file they give every line a place.
+    Together with the file they give every line a place. With `multiline`, a quoted cell may
+    hold line breaks and a `line` is a whole record; such files cannot be split, so leave it
+    off where it is not needed.
     """
-    lines = spark.read.text(paths, recursiveFileLookup=True)
-    return lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        F.col("value").alias("line"),
+    if multiline:
+        return _read_records(spark, paths)
+    return _placed(spark.read.text(paths, recursiveFileLookup=True), F.col("value"))
+
+
+def _read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Records that may span lines, written out again as one line each with all cells quoted."""
+    names = [f"c{at}" for at in range(RECORD_CELLS)]
+    schema = ", ".join(f"{name} string" for name in [*names, "_whole"])
+    table = spark.read.schema(schema).csv(
+        paths,
+        multiLine=True,
+        escape='"',
+        columnNameOfCorruptRecord="_whole",
+        recursiveFileLookup=True,
     )
+    record = f"""
+      aggregate(array({", ".join(names)}), named_struct('n', 0, 'last', 0),
+        (at, cell) -> named_struct('n', at.n + 1, 'last', IF(cell IS NULL, at.last, at.n + 1)),
+        at -> concat_ws(',', transform(slice(array({", ".join(names)}), 1, at.last),
+          cell -> concat('"', replace(coalesce(cell, ''), '"', '""'), '"'))))"""
+    return _placed(table, F.coalesce(F.col("_whole"), F.expr(record)))
 
 
 def split_cells(line: Column | str) -> Column:
@@ -75,7 +105,7 @@ def read_statement_cells(spark: SparkSession, paths: str | list[str]) -> DataFra
 
 def _names(cells: Column) -> Column:
     """Header names as they are compared: trimmed, in lower case, absent ones empty."""
-    return F.transform(cells, lambda name: F.lower(F.trim(F.coalesce(name, F.lit("")))))
+    return F.transform(cells, lambda name: F.lower(F.btrim(F.coalesce(name, F.lit("")), F.lit(_BLANKS))))
 
 
 def _is_header(cells: Column) -> Column:

@@ -124,6 +124,23 @@ def test_cells(spark, line, cells):
     assert statements.statement_cells(lines).first().cells == cells
 
 
+def test_records_over_several_lines(spark, tmp_path):
+    path = tmp_path / "my card + more.csv"
+    wide = "2026-01-04,WIDE,-4.00" + ",x" * 80
+    path.write_text(
+        'note\nDate,Description,Amount,"Extended\nDetails"\n2026-01-02,"SHELL\nPUMP ""4""",-1.50,"a\nb"\n'
+        f"2026-01-03,,-2.00,\n{wide}\n"
+    )
+    accounts = spark.createDataFrame(
+        [(path.name, "card", "checking")], "file_name string, account_name string, account_type string"
+    )
+    found = ingest_files(spark, str(path), accounts, multiline=True).collect()
+    assert {(r.raw_description, float(r.amount)) for r in found} == {('SHELL\nPUMP "4"', -1.5), (None, -2.0)}
+    lines = statements.read_statement_lines(spark, str(path), multiline=True)
+    columns = statements.map_columns(statements.discover_headers(lines))
+    assert [r.line for r in statements.wide_rows(lines, columns).collect()] == [wide]
+
+
 def test_second_load_adds_nothing(spark, folder, accounts):
     once = ingest_files(spark, folder, accounts)
     assert tables.insert_if_absent(once, once).count() == once.count()
