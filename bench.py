@@ -35,7 +35,7 @@ HEADLINE = [
     "weekly_resample",
     "running_balance",
 ]
-WARM_RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+WARM_RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def timed(spark: SparkSession, folder: str, name: str) -> float:
