@@ -32,8 +32,8 @@ END = 1
 PARTNERS = 4  # triples enumerated per length
 SWEEPS = 30
 WASTE = WINDOW // 128  # places a combination of the residual may leave open
-REMEMBERED = 600_000  # words whose ids a worker keeps
-_FLUSH = 16 << 20  # bytes of ids in an output batch
+REMEMBERED = 800_000  # words whose ids a worker keeps
+_TEXTS = 4 << 20  # characters tokenized at a time
 
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 _POINTS = b".,;:!?"
@@ -55,12 +55,10 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         points = {bytes([c]) for c in _POINTS}
         split = {w for w in words if len(w) > 1 and w[-1:] in points and w[-2:-1].isalpha()}
-        new = ({w[:-1] for w in split} | {w[-1:] for w in split} | (words - split)) - self.known.keys()
-        self._encode(list(new))
+        parts = {w[:-1] for w in split} | {w[-1:] for w in split} | (words - split)
+        self._encode([w for w in parts if w not in self.known])
         for w in split:
             self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
 
@@ -76,12 +74,18 @@ class WordIds:
             for word, a, b in zip(new[at : at + 4096], cuts[:-1], cuts[1:], strict=True):
                 self.known[word] = ids[a:b].tobytes()
 
-    def read(self, text: str) -> bytes:
-        words = text.encode().lower().split()  # A-Z only; the tokenizer lowers all letters anyway
-        missing = set(words) - self.known.keys()
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self.known.__getitem__, words))
+    def read(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; words not met before are learnt together."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        # A-Z only; the tokenizer lowers all letters anyway.
+        words = [text.encode().lower().split() for text in texts]
+        found = [list(map(self.known.get, each)) for each in words]
+        new = {w for each, ids in zip(words, found, strict=True) if None in ids for w, x in zip(each, ids, strict=True) if x is None}
+        self._learn(new)
+        return [
+            b"".join(map(self.known.__getitem__, each) if None in ids else ids) for each, ids in zip(words, found, strict=True)
+        ]
 
 
 _WORKER: dict[str, WordIds] = {}
@@ -94,22 +98,29 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
         [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())]
     )
 
+    def packed_rows(words: WordIds, ids: list[int], texts: list[str]) -> pa.RecordBatch:
+        rows = []
+        for doc_id, found in zip(ids, words.read(texts), strict=True):
+            whole = found + last
+            n = len(whole) // 4
+            for start in range(0, n, window):
+                part = whole[4 * start : 4 * (start + window)]
+                rows.append((doc_id, start, len(part) // 4, n, part))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WORKER.setdefault(tokenizer, WordIds(tokenizer)) if tokenizer not in _WORKER else _WORKER[tokenizer]
+        words = _WORKER.get(tokenizer) or _WORKER.setdefault(tokenizer, WordIds(tokenizer))
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = words.read(text.as_py() or "") + last
-                n = len(ids) // 4
-                for start in range(0, n, window):
-                    part = ids[4 * start : 4 * (start + window)]
-                    rows.append((doc_id, start, len(part) // 4, n, part))
-                held += len(ids)
-                if held > _FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            ids, texts, held = [], [], 0
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                ids.append(doc_id.as_py())
+                texts.append(text.as_py() or "")
+                held += len(texts[-1])
+                if held > _TEXTS:
+                    yield packed_rows(words, ids, texts)
+                    ids, texts, held = [], [], 0
+            if ids:
+                yield packed_rows(words, ids, texts)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _PIECES)
 
