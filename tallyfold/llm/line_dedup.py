@@ -58,27 +58,26 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"))
         .agg(F.array_sort(F.collect_set("place")).alias("_places"))
     )
-    carried = [c for c in docs.columns if c not in ("n_lines", "n_removed", "text")]
-    split = docs.select(*carried, F.xxhash64("text").alias("_own"), _lines(F.col("text")).alias("_lines"))
-    on = split["doc_id"].eqNullSafe(spans["_id"]) & (split["_own"] == spans["_copy"])
+    carried = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    rows = F.struct(*[c for c in carried if c != "text"]).alias("_row")
+    split = docs.select(rows, F.xxhash64("text").alias("_own"), _lines(F.col("text")).alias("_lines"))
+    on = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_copy"))
+    n_lines = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))
+    # What stands between two removed windows is kept; a window covers its own three lines.
+    between = F.zip_with(
+        F.concat(F.array(F.lit(-WINDOW)), "_places"),
+        F.concat("_places", F.array(F.size("_lines"))),
+        lambda a, b: F.struct((a + WINDOW + 1).alias("start"), (b - a - WINDOW).alias("length")),
+    )
     joined = split.join(spans, on, "left").select(
-        *carried,
-        "_lines",
-        F.coalesce(F.size("_lines"), F.lit(0)).alias("n_lines"),
-        # What stands between two removed windows is kept; a window covers its own three lines.
-        F.filter(
-            F.zip_with(
-                F.concat(F.array(F.lit(-WINDOW)), "_places"),
-                F.concat("_places", F.array(F.size("_lines"))),
-                lambda a, b: F.struct((a + WINDOW + 1).alias("start"), (b - a - WINDOW).alias("length")),
-            ),
-            lambda x: x["length"] > 0,
-        ).alias("_kept"),
+        "_row", "_lines", n_lines.alias("_n"), F.filter(between, lambda x: x["length"] > 0).alias("_kept")
     )
-    total = F.aggregate("_kept", F.lit(0), lambda acc, x: acc + x["length"])
     pieces = F.transform("_kept", lambda x: F.array_join(F.slice("_lines", x["start"], x["length"]), "\n"))
-    text = F.when(F.col("_kept").isNull(), F.array_join("_lines", "\n")).otherwise(F.array_join(pieces, "\n"))
-    removed = F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - total)
-    order = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    cleaned = joined.withColumn("text", text)
-    return cleaned.select(*order, F.greatest("n_lines", F.lit(0)).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    text = F.array_join(F.coalesce(pieces, F.col("_lines")), "\n")
+    left = F.aggregate("_kept", F.lit(0), lambda total, x: total + x["length"])
+    removed = F.coalesce(F.col("_n") - left, F.lit(0))
+    return joined.select(
+        *[text.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in carried],
+        F.col("_n").cast("long").alias("n_lines"),
+        removed.cast("long").alias("n_removed"),
+    )

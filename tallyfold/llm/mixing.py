@@ -14,7 +14,7 @@ result. Only doc_id, source and text are read, so names of other columns cannot
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import bucketed_running, global_running, staged, word_count
@@ -112,13 +112,11 @@ def mixed_documents(docs: DataFrame, seed: int = 0, **settings) -> DataFrame:
     picked = mix(docs.where("doc_id IS NOT NULL"), seed=seed, **settings).select(
         F.col("doc_id").alias("_id"), "served", "size"
     )
-    joined = docs.join(picked, docs["doc_id"] == picked["_id"])
-    # As many words as were served, with the white space before them.
-    cut = F.when(F.col("served") >= F.col("size"), F.col("text")).otherwise(_first_words(F.col("text"), F.col("served")))
-    text = cut.alias("text")
-    return joined.select(
-        *[text if c == "text" else F.length(cut).cast("long").alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    )
+    joined = docs.select(F.struct(*docs.columns).alias("_row")).join(picked, F.col("_row.doc_id") == F.col("_id"))
+    whole = F.col("_row.text")
+    text = F.when(F.col("served") >= F.col("size"), whole).otherwise(_first_words(whole, F.col("served")))
+    own = {"text": text, "n_chars": F.length(text).cast("long")}
+    return joined.select(*[own.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def _first_words(text, n):

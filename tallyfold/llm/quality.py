@@ -24,13 +24,13 @@ REPEAT_WINDOW = 8
 BASE_FAILED = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-# Signal: expression, and the least value its fence can take. A group whose documents are all
+# Signal: a count by another one, and the least value its fence can take. A group whose documents are all
 # alike has no spread, and its fence would reject the first one that differs a little.
 SIGNALS = {
-    "symbol_ratio": ("n_symbols / n_words", 0.15),
-    "dup_line_ratio": ("n_dup_lines / n_lines", 0.35),
-    "repeat_ratio": ("n_repeat_words / n_words", 0.2),
-    "mean_word": ("word_chars / n_words", 7.5),
+    "symbol_ratio": ("n_symbols", "n_words", 0.15),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.35),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.2),
+    "mean_word": ("word_chars", "n_words", 7.5),
 }
 ACCURACY = 1.02  # ratio of neighbouring bucket bounds
 SPREADS = 3.0  # how many inter-quartile ranges above the upper quartile the fence stands
@@ -95,8 +95,14 @@ def _counts(texts: pd.Series) -> pd.DataFrame:
 
 def with_signals(docs: DataFrame) -> DataFrame:
     """The documents with the counts of each text and the verdict of the base rules."""
-    plain = docs.drop(*COUNTS, "base_failed", "_counts").withColumn("_counts", _counts("text"))
-    return plain.select("*", "_counts.*").drop("_counts").withColumn("base_failed", F.expr(BASE_FAILED))
+    carried = [c for c in docs.columns if c not in (*COUNTS, "base_failed")]
+    counted = docs.select(F.struct(*carried).alias("row"), _counts("text").alias("counts"))
+    return counted.select("row.*", "counts.*").withColumn("base_failed", F.expr(BASE_FAILED))
+
+
+def _signal(name: str, row: str = ""):
+    part, whole, _ = SIGNALS[name]
+    return F.try_divide(F.col(f"{row}{part}").cast("double"), F.col(f"{row}{whole}").cast("double"))
 
 
 def _key(name: str):
@@ -109,8 +115,8 @@ def sketches(signals: DataFrame) -> DataFrame:
     log = math.log(ACCURACY)
     values = F.array(
         *[
-            F.struct(F.lit(name).alias("signal"), F.expr(f"CAST({expression} AS DOUBLE)").alias("x"))
-            for name, (expression, _) in SIGNALS.items()
+            F.struct(F.lit(name).alias("signal"), _signal(name).alias("x"))
+            for name in SIGNALS
         ]
     )
     bucket = F.when(F.col("v.x") > 0, F.floor(F.log("v.x") / F.lit(log))).cast("long")
@@ -160,7 +166,7 @@ def fences(signals: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
         .when(F.col("lang_documents") >= least, F.col("lang_fence"))
         .otherwise(F.col("all_fence"))
     )
-    guards = F.create_map(*[x for name, (_, least) in SIGNALS.items() for x in (F.lit(name), F.lit(least))])
+    guards = F.create_map(*[x for name, (_, _, low) in SIGNALS.items() for x in (F.lit(name), F.lit(low))])
     each = (
         own.join(by_language, ["lang", "signal"])
         .join(overall, "signal")
@@ -173,11 +179,10 @@ def fences(signals: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
 def judged(signals: DataFrame, bounds: DataFrame) -> DataFrame:
     """The documents with `kept`: base rules passed and no signal above its group's fence."""
     limits = [f"fence_{name}" for name in SIGNALS]
-    right = bounds.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *limits)
-    left = signals.drop(*limits, "kept").withColumns({"_l": _key("lang"), "_s": _key("source")})
-    joined = left.join(right, (F.col("_l") == F.col("_lang")) & (F.col("_s") == F.col("_source")), "left")
+    left = signals.select(F.struct(*[c for c in signals.columns if c != "kept"]).alias("row"), _key("lang").alias("l"), _key("source").alias("s"))
+    joined = left.join(bounds, (F.col("l") == F.col("lang")) & (F.col("s") == F.col("source")), "left")
     above = F.lit(False)
-    for name, (expression, _) in SIGNALS.items():
-        above = above | F.coalesce(F.expr(f"CAST({expression} AS DOUBLE) > fence_{name}"), F.lit(False))
-    kept = ~F.when(F.col("base_failed"), True).otherwise(above)
-    return joined.withColumn("kept", kept).drop("_l", "_s", "_lang", "_source")
+    for name, limit in zip(SIGNALS, limits, strict=True):
+        above = above | F.coalesce(_signal(name, "row.") > F.col(limit), F.lit(False))
+    kept = ~F.when(F.col("row.base_failed"), True).otherwise(above)
+    return joined.select("row.*", kept.alias("kept"))
