@@ -69,8 +69,8 @@ def search_cell(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, i
     """(query id, id, score) of the best of a block for each query; vectors are rows of integers."""
     dims = queries.shape[1]
     out = []
-    largest = max(np.abs(queries).max(initial=0), 1.0) * max(np.abs(block).max(initial=0), 1.0) * max(dims, 1)
-    if largest >= 2**52:  # sums that doubles don't hold: whole numbers of any size
+    largest = [max(float(np.abs(m).max(initial=0)), 1.0) for m in (queries, block)]
+    if np.log2(largest).sum() + np.log2(max(dims, 1)) >= 52:  # sums that doubles don't hold: whole numbers of any size
         whole = [[int(x) for x in row] for row in block]
         for own, query in zip(query_ids, queries, strict=True):
             q = [int(x) for x in query]
