@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm import line_dedup, mixing, near_copies, packing, quality
-from tallyfold.llm.common import staged, table
+from tallyfold.llm.common import ship, staged, table
 from tallyfold.llm.queries import tokenizer_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that the rules reject go."""
+    ship(spark)
     docs = docs.where("doc_id IS NOT NULL")
     signals = staged(quality.with_signals(docs).select("lang", "source", *quality.COUNTS), "signals")
     judged = quality.judged(quality.with_signals(docs), quality.fences(signals))

@@ -2,10 +2,10 @@
 
 A document is its set of distinct five-word shingles. Several independent trees branch the
 documents by minwise tokens: at each level of a tree, documents that share the minwise token
-chosen there go to the same child node. A node is compared in two steps. Its first and last
-member (by class) are compared with all its members. If it still holds several classes, a
-small node is compared exhaustively in one task, and a large one branches on by the next
-token; members that the comparison with the two has settled stay behind. Trees are repeated
+chosen there go to the same child node. The first and the last
+member of a node (by class) are compared with all its members. If it still holds several
+classes, a small node is compared exhaustively in one task, and a large one branches on by
+the next token; members that the comparison with the two has settled stay behind. Trees are repeated
 so that a pair at the threshold is missed less than once in a million times, and far less
 often above it.
 
@@ -35,11 +35,12 @@ SHINGLE = 5
 PERCENT = 75  # 100 * intersection >= 75 * union
 TREES = 16
 TOKENS = 64  # minwise tokens per document, four levels of 16 trees, then others of the same
-SMALL = 64  # members of a node compared exhaustively
+SMALL = 1024  # members of a node compared exhaustively in one task
 # Equal tokens of 64 a link must show: a pair at the threshold has 48 on average, and fewer
 # than this five standard deviations below that.
 POSSIBLE = 30
 SLACK = 0.12  # error granted to estimated distances when members are left behind
+MANY = 200_000  # candidate pairs from which the likeliest of each document go first
 FEW = 2_000_000  # ids up to which they are sent to all tasks instead of moving the texts
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -134,6 +135,7 @@ class Linker:
         self.spark, self.docs, self.active = spark, docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), active
         self.labels = spark.createDataFrame([], "doc long, class long")
         self.sets: DataFrame | None = None
+        self.refuted: DataFrame | None = None  # pairs (x > y) whose full sets were compared and differ
 
     def with_class(self, rows: DataFrame, doc: str, name: str) -> DataFrame:
         """The class of a document is its own id until it is linked with a smaller one."""
@@ -147,28 +149,36 @@ class Linker:
     def link(self, pairs: DataFrame) -> None:
         """Confirm pairs (x, y, matches) on the full sets and join the classes of those that hold.
 
-        First the likeliest pair of each x; of the others, what still parts two classes then.
+        Of many pairs first the likeliest of each x; of the others, what still parts two
+        classes then.
         """
         pairs = staged(pairs, "pairs")
-        best = pairs.groupBy("x").agg(F.max_by("y", F.struct("matches", "y")).alias("y"))
-        if not self._confirm(best):
-            return
-        rest = pairs.select("x", "y").join(best, ["x", "y"], "left_anti")
-        self._confirm(rest)
+        n = pairs.count()
+        if n > MANY:
+            best = pairs.groupBy("x").agg(F.max_by("y", F.struct("matches", "y")).alias("y"))
+            self._confirm(best)
+            pairs = pairs.join(best, ["x", "y"], "left_anti")
+        if n:
+            self._confirm(pairs)
 
-    def _confirm(self, pairs: DataFrame) -> bool:
-        apart = self.with_class(self.with_class(pairs.select("x", "y").distinct(), "x", "cx"), "y", "cy").where("cx <> cy")
+    def _confirm(self, pairs: DataFrame) -> None:
+        once = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+        if self.refuted is not None:
+            once = once.join(self.refuted, ["x", "y"], "left_anti")
+        apart = self.with_class(self.with_class(once, "x", "cx"), "y", "cy").where("cx <> cy")
         apart = staged(apart.select("x", "y", "cx", "cy"), "apart")
         if apart.isEmpty():
-            return False
+            return
         sets = self._sets_of(apart)
         left = sets.select(F.col("doc").alias("x"), F.col("members").alias("mx"))
         right = sets.select(F.col("doc").alias("y"), F.col("members").alias("my"))
-        whole = apart.join(left, "x").join(right, "y").select("cx", "cy", "mx", "my")
-        links = staged(whole.mapInArrow(_holds, "cx long, cy long").distinct(), "links")
+        whole = apart.join(left, "x").join(right, "y").select("x", "y", "cx", "cy", "mx", "my")
+        compared = staged(whole.mapInArrow(_compared, "x long, y long, cx long, cy long, holds boolean"), "met")
+        differ = compared.where("NOT holds").select("x", "y")
+        self.refuted = differ if self.refuted is None else self.refuted.unionByName(differ)
+        links = compared.where("holds").select("cx", "cy").distinct()
         if not links.isEmpty():
             self._join_classes(links)
-        return True
 
     def _sets_of(self, pairs: DataFrame) -> DataFrame:
         """Full shingle sets of all documents in the pairs; texts not read yet are read now."""
@@ -192,11 +202,8 @@ class Linker:
         added = new.select(F.col("class").alias("doc"), F.col("_root").alias("class")).join(known, "doc", "left_anti")
         self.labels = staged(moved.unionByName(added), "labels")
 
-    def compare_with_ends(self, nodes: DataFrame) -> DataFrame:
-        """Compare the first and the last member of each node with all its members.
-
-        Returns the members with the ends and their matches with each end.
-        """
+    def meet_ends(self, nodes: DataFrame) -> DataFrame:
+        """Members of nodes with the node's first and last member (by class) and the matches with each."""
         member = F.struct("class", "doc")
         ends = self.with_class(nodes, "doc", "class").groupBy("key").agg(
             F.min(member)["doc"].alias("first"), F.max(member)["doc"].alias("last")
@@ -213,19 +220,25 @@ class Linker:
                 _sizes_fit("n_doc", "n_first").alias("f_first"), _sizes_fit("n_doc", "n_last").alias("f_last"),
             )
         )
-        compared = staged(compared, "compared")
-        pair = lambda end: F.struct(F.col(end).alias("y"), F.col(f"m_{end}").alias("matches"), F.col(f"f_{end}").alias("fits"))
-        found = compared.select(F.col("doc").alias("x"), F.explode(F.array(pair("first"), pair("last"))).alias("p"))
-        self.link(
-            found.where(f"p.fits AND p.matches >= {POSSIBLE} AND x <> p.y").select("x", "p.y", "p.matches").distinct()
-        )
-        return compared
+        return staged(compared, "compared")
 
-    def compare_small(self, nodes: DataFrame) -> None:
-        """Compare all members of small nodes that belong to different classes."""
-        rows = nodes.join(self.active.select("doc", "tokens", "n"), "doc").select("key", "doc", "class", "n", "tokens")
-        found = rows.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_exhaust, "x long, y long, matches int")
-        self.link(found.distinct())
+    def within(self, nodes: DataFrame) -> DataFrame:
+        """Pairs of members of different classes in small nodes, if their tokens leave a link possible."""
+        rows = self.with_class(nodes, "doc", "class").join(self.active.select("doc", "tokens", "n"), "doc")
+        rows = rows.select("key", "doc", "class", "n", "tokens").repartition("key").sortWithinPartitions("key", "doc")
+        return rows.mapInArrow(_exhaust, "x long, y long, matches int").distinct()
+
+    def undecided(self, nodes: DataFrame) -> DataFrame:
+        """The rows of nodes whose members belong to several classes."""
+        spread = self.with_class(nodes, "doc", "class").groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        return nodes.join(spread.where("low <> high").select("key"), "key", "left_semi")
+
+
+def _with_ends(compared: DataFrame) -> DataFrame:
+    """Pairs of each member with the two ends, if tokens and sizes leave a link possible."""
+    pair = lambda end: F.struct(F.col(end).alias("y"), F.col(f"m_{end}").alias("matches"), F.col(f"f_{end}").alias("fits"))
+    found = compared.select(F.col("doc").alias("x"), F.explode(F.array(pair("first"), pair("last"))).alias("p"))
+    return found.where(f"p.fits AND p.matches >= {POSSIBLE} AND x <> p.y").select("x", "p.y", "p.matches").distinct()
 
 
 def _sizes_fit(x: str, y: str):
@@ -238,14 +251,15 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
 
 
-def _holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["x", "y", "cx", "cy"]
     for batch in batches:
-        keep = []
+        holds = []
         for x, y in zip(batch["mx"], batch["my"], strict=True):
             a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
             both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        yield batch.select(["cx", "cy"]).filter(pa.array(keep, pa.bool_()))
+            holds.append(100 * both >= PERCENT * (len(a) + len(b) - both))
+        yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(holds, pa.bool_())], [*names, "holds"])
 
 
 def _exhaust(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,22 +302,22 @@ def components(links: DataFrame) -> DataFrame:
     A step hangs neighbours below the smallest neighbour; neighbour lists are never gathered.
     """
     edges = links.select(F.greatest("cx", "cy").alias("u"), F.least("cx", "cy").alias("v")).where("u <> v").distinct()
-    before = None
-    while True:
+    finished = False
+    while not finished:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u <> v").distinct(), "large")
+        large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         edges = staged(small.where("u <> v").distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        # Done when every node has one edge down, and none hangs below a node that does.
+        ends = edges.select("u").groupBy("u").agg(F.count("*").alias("n"))
+        below = edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
+        finished = below.isEmpty() and ends.where("n > 1").isEmpty()
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
@@ -344,15 +358,22 @@ def near_copies(docs: DataFrame) -> DataFrame:
     members = nodes.select("doc").distinct()
     active = sets.where("n > 0").join(members, F.col("doc_id") == F.col("doc")).select("doc", "tokens", "n").dropDuplicates(["doc"])
     linker = Linker(spark, docs, staged(active, "active"))
+    # First the ends of all nodes: they settle most nodes, and most members of large ones.
+    compared = linker.meet_ends(nodes)
+    linker.link(_with_ends(compared))
     level = 0
-    while not nodes.isEmpty():
+    rest = staged(linker.undecided(compared), "undecided")
+    while not rest.isEmpty():
         level += 1
-        compared = linker.compare_with_ends(nodes)
-        labelled = linker.with_class(compared, "doc", "class")
-        undecided = labelled.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-        undecided = staged(compared.join(undecided.select("key"), "key", "left_semi"), "undecided")
-        linker.compare_small(linker.with_class(undecided.where(F.col("size") <= SMALL), "doc", "class"))
-        nodes = staged(_left_to_do(undecided.where(F.col("size") > SMALL), linker, level), "nodes")
+        small = rest.where(F.col("size") <= SMALL)
+        pairs = linker.within(small)
+        if level > 1:
+            pairs = pairs.unionByName(_with_ends(rest.where(F.col("size") > SMALL)))
+        linker.link(pairs)
+        nodes = staged(_left_to_do(rest.where(F.col("size") > SMALL), linker, level), "nodes")
+        if nodes.isEmpty():
+            break
+        rest = linker.meet_ends(linker.undecided(nodes))
     found = classes.join(linker.labels, F.col("first") == F.col("doc"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "first").alias("component_id")
     )
