@@ -135,7 +135,6 @@ class Linker:
         self.spark, self.docs, self.active = spark, docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), active
         self.labels = spark.createDataFrame([], "doc long, class long")
         self.sets: DataFrame | None = None
-        self.refuted: DataFrame | None = None  # pairs (x > y) whose full sets were compared and differ
 
     def with_class(self, rows: DataFrame, doc: str, name: str) -> DataFrame:
         """The class of a document is its own id until it is linked with a smaller one."""
@@ -163,26 +162,19 @@ class Linker:
 
     def _confirm(self, pairs: DataFrame) -> None:
         once = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-        if self.refuted is not None:
-            once = once.join(self.refuted, ["x", "y"], "left_anti")
         apart = self.with_class(self.with_class(once, "x", "cx"), "y", "cy").where("cx <> cy")
         apart = staged(apart.select("x", "y", "cx", "cy"), "apart")
         if apart.isEmpty():
             return
-        sets = self._sets_of(apart)
+        sets = self._sets_of(apart.select(F.explode(F.array("x", "y")).alias("doc")))
         left = sets.select(F.col("doc").alias("x"), F.col("members").alias("mx"))
         right = sets.select(F.col("doc").alias("y"), F.col("members").alias("my"))
-        whole = apart.join(left, "x").join(right, "y").select("x", "y", "cx", "cy", "mx", "my")
-        compared = staged(whole.mapInArrow(_compared, "x long, y long, cx long, cy long, holds boolean"), "met")
-        differ = compared.where("NOT holds").select("x", "y")
-        self.refuted = differ if self.refuted is None else self.refuted.unionByName(differ)
-        links = compared.where("holds").select("cx", "cy").distinct()
-        if not links.isEmpty():
-            self._join_classes(links)
-
-    def _sets_of(self, pairs: DataFrame) -> DataFrame:
-        """Full shingle sets of all documents in the pairs; texts not read yet are read now."""
-        ids = pairs.select(F.explode(F.array("x", "y")).alias("doc")).distinct()
+        whole = apart.join(left, "x").join(right, "y").select("cx", "cy", "mx", "my")
+        self._join_classes(staged(whole.mapInArrow(_holding, "cx long, cy long").distinct(), "links"))
+
+    def _sets_of(self, ids: DataFrame) -> DataFrame:
+        """Full shingle sets of documents, among others; texts not read yet are read now."""
+        ids = ids.distinct()
         if self.sets is not None:
             ids = ids.join(self.sets.select("doc"), "doc", "left_anti")
         ids = staged(ids, "ids")
@@ -195,6 +187,8 @@ class Linker:
         return self.sets
 
     def _join_classes(self, links: DataFrame) -> None:
+        if links.isEmpty():
+            return
         merged = components(links)
         new = merged.select(F.col("node").alias("class"), F.col("root").alias("_root"))
         moved = self.labels.join(new, "class", "left").select("doc", F.coalesce("_root", "class").alias("class"))
@@ -222,11 +216,23 @@ class Linker:
         )
         return staged(compared, "compared")
 
-    def within(self, nodes: DataFrame) -> DataFrame:
-        """Pairs of members of different classes in small nodes, if their tokens leave a link possible."""
-        rows = self.with_class(nodes, "doc", "class").join(self.active.select("doc", "tokens", "n"), "doc")
-        rows = rows.select("key", "doc", "class", "n", "tokens").repartition("key").sortWithinPartitions("key", "doc")
-        return rows.mapInArrow(_exhaust, "x long, y long, matches int").distinct()
+    def settle(self, nodes: DataFrame, level: int) -> None:
+        """Compare all members of small nodes that belong to different classes.
+
+        First on their tokens; the members that may have a link come back with their full
+        sets. What a node gives is links between classes, fewer than it has members.
+        """
+        columns = ["tree", "key", "doc", "small", "class", "n", "tokens"]
+        described = lambda rows: self.with_class(rows, "doc", "class").join(self.active, "doc")
+        dealt = lambda rows: rows.repartition("key").sortWithinPartitions("key", "doc")
+        # The trees in which a document is in a small node, as bits.
+        trees = nodes.groupBy("doc").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("small"))
+        rows = dealt(described(nodes.select("tree", "key", "doc").join(trees, "doc")).select(*columns))
+        suspects = staged(rows.mapInArrow(_suspects(level), "tree int, key long, doc long, small long"), "suspects")
+        if suspects.isEmpty():
+            return
+        whole = described(suspects).join(self._sets_of(suspects.select("doc")), "doc").select(*columns, "members")
+        self._join_classes(staged(dealt(whole).mapInArrow(_settle(level), "cx long, cy long").distinct(), "links"))
 
     def undecided(self, nodes: DataFrame) -> DataFrame:
         """The rows of nodes whose members belong to several classes."""
@@ -251,36 +257,45 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["x", "y", "cx", "cy"]
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
+def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        holds = []
-        for x, y in zip(batch["mx"], batch["my"], strict=True):
-            a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            holds.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(holds, pa.bool_())], [*names, "holds"])
-
-
-def _exhaust(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by node; pairs of one node with enough equal tokens go out."""
-    schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("matches", pa.int32())])
-
-    def compared(table: pa.Table) -> pa.RecordBatch:
-        key, doc, label, n = (table[c].to_numpy() for c in ("key", "doc", "class", "n"))
-        marks = table["tokens"].combine_chunks().flatten().to_numpy().reshape(len(key), TOKENS)
-        edges = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, int)
-        out = []
-        for start, stop in zip(edges, np.append(edges[1:], len(key)), strict=True):
-            for i in range(start, stop - 1):
-                rest = slice(i + 1, stop)
-                equal = (marks[rest] == marks[i]).sum(axis=1)
-                fits = np.minimum(n[rest], n[i]) * 100 >= np.maximum(n[rest], n[i]) * PERCENT
-                hits = np.flatnonzero((equal >= POSSIBLE) & fits & (label[rest] != label[i]))
-                out += [(max(doc[i], doc[i + 1 + j]), min(doc[i], doc[i + 1 + j]), equal[j]) for j in hits]
-        columns = zip(*out, strict=True) if out else ([], [], [])
-        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        sets = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch[side]] for side in ("mx", "my"))
+        holds = [_linked(a, b) for a, b in zip(*sets, strict=True)]
+        yield batch.select(["cx", "cy"]).filter(pa.array(holds, pa.bool_()))
+
+
+class _Node:
+    """The members of a small node, and which pairs of them are to be compared there."""
+
+    def __init__(self, rows: pa.Table, level: int):
+        self.doc, self.label, self.n, self.small = (rows[c].to_numpy() for c in ("doc", "class", "n", "small"))
+        self.marks = rows["tokens"].combine_chunks().flatten().to_numpy().reshape(len(self.doc), TOKENS)
+        self.tree = rows["tree"][0].as_py()
+        self.paths = [[_position(tree, k) for k in range(level)] for tree in range(self.tree + 1)]
+
+    def partners(self, i: int, label: np.ndarray) -> np.ndarray:
+        """Later members of other classes that a link with member i is possible with.
 
+        A pair that shares small nodes in several trees is left to the first of them.
+        """
+        rest = slice(i + 1, None)
+        equal = self.marks[rest] == self.marks[i]
+        fits = np.minimum(self.n[rest], self.n[i]) * 100 >= np.maximum(self.n[rest], self.n[i]) * PERCENT
+        maybe = np.flatnonzero((label[rest] != label[i]) & fits)
+        maybe = maybe[equal[maybe].sum(axis=1) >= POSSIBLE]
+        for tree, path in enumerate(self.paths[:-1]):
+            if self.small[i] >> tree & 1:
+                maybe = maybe[~equal[np.ix_(maybe, path)].all(axis=1)]
+        return maybe + i + 1
+
+
+def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows come sorted by node, a node's rows may be spread over batches; one table per node."""
     held: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
@@ -288,12 +303,48 @@ def _exhaust(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([held, table]) if held is not None else table
         key = table["key"].to_numpy()
-        last = int(np.searchsorted(key, key[-1], side="left"))  # the last node may go on in the next batch
-        held = table.slice(last)
-        if last:
-            yield compared(table.slice(0, last))
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
+        for start, stop in zip(edges, edges[1:]):
+            yield table.slice(start, stop - start)
+        held = table.slice(edges[-1])
     if held is not None:
-        yield compared(held)
+        yield held
+
+
+def _suspects(level: int):
+    """Members of small nodes with a partner to be compared with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_node(batches):
+            node, found = _Node(rows, level), np.zeros(rows.num_rows, bool)
+            for i in range(rows.num_rows - 1):
+                partners = node.partners(i, node.label)
+                found[partners] = True
+                found[i] |= len(partners) > 0
+            if found.any():
+                yield from rows.select(["tree", "key", "doc", "small"]).filter(pa.array(found)).to_batches()
+
+    return run
+
+
+def _settle(level: int):
+    """Links between classes in small nodes, confirmed on full sets; no more than join the classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("cx", pa.int64()), ("cy", pa.int64())])
+        for rows in _by_node(batches):
+            node = _Node(rows, level)
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows["members"]]
+            label, links = node.label.copy(), []
+            for i in range(rows.num_rows - 1):
+                for j in node.partners(i, label):
+                    if label[i] != label[j] and _linked(sets[i], sets[j]):
+                        links.append((label[i], label[j]))
+                        label[label == label[j]] = label[i]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in zip(*links, strict=True)], schema=schema)
+
+    return run
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -358,22 +409,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
     members = nodes.select("doc").distinct()
     active = sets.where("n > 0").join(members, F.col("doc_id") == F.col("doc")).select("doc", "tokens", "n").dropDuplicates(["doc"])
     linker = Linker(spark, docs, staged(active, "active"))
-    # First the ends of all nodes: they settle most nodes, and most members of large ones.
-    compared = linker.meet_ends(nodes)
-    linker.link(_with_ends(compared))
     level = 0
-    rest = staged(linker.undecided(compared), "undecided")
-    while not rest.isEmpty():
+    while not nodes.isEmpty():
         level += 1
-        small = rest.where(F.col("size") <= SMALL)
-        pairs = linker.within(small)
-        if level > 1:
-            pairs = pairs.unionByName(_with_ends(rest.where(F.col("size") > SMALL)))
-        linker.link(pairs)
-        nodes = staged(_left_to_do(rest.where(F.col("size") > SMALL), linker, level), "nodes")
-        if nodes.isEmpty():
-            break
-        rest = linker.meet_ends(linker.undecided(nodes))
+        compared = linker.meet_ends(nodes)
+        # The first ends settle most nodes; later on, small nodes need no ends.
+        linker.link(_with_ends(compared if level == 1 else compared.where(F.col("size") > SMALL)))
+        rest = staged(linker.undecided(compared), "undecided")
+        linker.settle(rest.where(F.col("size") <= SMALL), level)
+        nodes = staged(linker.undecided(_left_to_do(rest.where(F.col("size") > SMALL), linker, level)), "nodes")
     found = classes.join(linker.labels, F.col("first") == F.col("doc"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "first").alias("component_id")
     )

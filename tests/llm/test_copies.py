@@ -98,7 +98,7 @@ def variants(rng, base, n, edits, first):
     return out
 
 
-@pytest.mark.parametrize("small_node", [512, 3])
+@pytest.mark.parametrize("small_node", [1024, 3])
 def test_near_copies_match_plain_version(spark, small, monkeypatch, small_node):
     """With nodes of three members at most compared in one task, the trees have to branch."""
     monkeypatch.setattr(near_copies, "SMALL", small_node)
