@@ -18,6 +18,8 @@ import math
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress, count, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -81,11 +83,12 @@ class WordIds:
         # A-Z only; the tokenizer lowers all letters anyway.
         words = [text.encode().lower().split() for text in texts]
         found = [list(map(self.known.get, each)) for each in words]
-        new = {w for each, ids in zip(words, found, strict=True) if None in ids for w, x in zip(each, ids, strict=True) if x is None}
-        self._learn(new)
-        return [
-            b"".join(map(self.known.__getitem__, each) if None in ids else ids) for each, ids in zip(words, found, strict=True)
-        ]
+        gaps = [list(compress(count(), map(is_, ids, repeat(None)))) for ids in found]
+        self._learn({each[k] for each, missing in zip(words, gaps, strict=True) for k in missing})
+        for each, ids, missing in zip(words, found, gaps, strict=True):
+            for k in missing:
+                ids[k] = self.known[each[k]]
+        return [b"".join(ids) for ids in found]
 
 
 _WORKER: dict[str, WordIds] = {}
