@@ -1,5 +1,6 @@
 """One query per operator, over the given tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tallyfold.operators import labels as lab
 from tallyfold.operators import reports as rep
 from tallyfold.operators import tables as tab
 from tallyfold.operators.skew import fits_broadcast
-from tallyfold.schemas import P2P
+from tallyfold.schemas import P2P, RAW_TRANSACTIONS
 from tallyfold.session import scratch_path, tune
 from tallyfold.sources import sidecars, statements
 
@@ -120,13 +121,39 @@ def ingest_statements_shuffled(spark, folder):
     return ing.ingest_lines(fx.statement_lines(spark, folder), fx.accounts(spark, folder), small=False)
 
 
+@query
+def ingest_from_files(spark, folder):
+    """The statement lines written out as files, one per customer, and ingested from there."""
+    path = fx.statement_files(spark, folder)
+    named = F.regexp_extract("file", "folder=([^/]+)/", 1)
+    files = statements.list_files(spark, path).select("file", named.alias("file_name"))
+    accounts = files.join(fx.accounts(spark, folder), "file_name").drop("file_name")
+    return ing.ingest_files(spark, path, accounts.withColumnRenamed("file", "file_name"))
+
+
+@query
+def rejected_input(spark, folder):
+    """Rejected files and rows by reason; every fourth file has no account."""
+    accounts = fx.accounts(spark, folder).where("CAST(regexp_extract(file_name, '[0-9]+', 0) AS BIGINT) % 4 <> 3")
+    found = ing.load_lines(fx.statement_lines(spark, folder), accounts)
+    files = found.rejected_files.withColumn("kind", F.lit("file"))
+    rows = found.rejected_rows.select("file", "reason").withColumn("kind", F.lit("row"))
+    return files.unionByName(rows).groupBy("file", "kind", "reason").agg(F.count("*").alias("n"))
+
+
 @query
 def file_preview(spark, folder):
     path = scratch_path(spark, "preview")
-    fx.table(spark, folder, "customer").orderBy("c_custkey").write.option("header", True).csv(path)
+    customers = fx.table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
+    customers.orderBy("c_custkey").write.option("header", True).csv(path)
     return statements.preview(spark, path, 5)
 
 
+@query
+def cash_rejects(spark, folder):
+    return sidecars.cash_rejects(fx.spoiled_cash(spark, folder)).select("notes", "reason")
+
+
 @query
 def trips_sidecar(spark, folder):
     return sidecars.parse_trips(fx.trip_texts(spark, folder, "customer"))
@@ -412,19 +439,72 @@ def replaced_table(spark, folder):
     return spark.read.parquet(path)
 
 
+@query
+def upsert_trips(spark, folder):
+    """A second trips file in which ids repeat; the last row of a file counts, whatever its dates."""
+    stored = trips(spark, folder)
+    texts = fx.repeated_trips(spark, folder)
+    return tab.upsert_by_key(stored, sidecars.parse_trips(texts), "trip_id", [sidecars.PLACE]).drop(sidecars.PLACE)
+
+
 @query
 def stored_ledger(spark, folder):
     """Insert-if-absent, relabelling and deletion on a stored, month-partitioned ledger."""
     path = scratch_path(spark, "ledger")
-    filled = cl.classify(_raw_of(spark, folder, "F", "O").drop(*ing.ARRIVAL))
-    tab.write_monthly(filled.where(F.col("direction") == "Expense"), path, "overwrite")
-    tab.append_absent(spark, path, filled)
-    tab.append_absent(spark, path, filled)
+    arrived = _raw_of(spark, folder, "F", "O")
+    filled = cl.classify(arrived.drop(*ing.ARRIVAL))
+    placed = filled.withColumn("pos", F.lit(0))
+    tab.create_monthly(spark, path)
+    tab.append_monthly(spark, path, filled.where(F.col("direction") == "Expense"))
+    tab.append_absent(spark, path, placed, ["pos"])
+    tab.append_absent(spark, path, placed, ["pos"])
     tab.rewrite_labels(spark, path, filled.withColumn("channel", F.upper("channel")))
     tab.delete_rows(spark, path, F.col("account_name") == "acct_3")
     return tab.read_monthly(spark, path)
 
 
+@query
+def stored_raw_transactions(spark, folder):
+    """The landing table: two appends of one batch, an account deleted, then a window of another."""
+    path = scratch_path(spark, "raw_transactions")
+    batch = _raw_of(spark, folder, "F", "O", "P")
+    tab.create_monthly(spark, path, RAW_TRANSACTIONS)
+    tab.append_absent(spark, path, batch, ing.ARRIVAL)
+    tab.append_absent(spark, path, batch, ing.ARRIVAL)
+    tab.delete_rows(spark, path, F.col("account_name") == "acct_1")
+    tab.delete_rows(spark, path, F.col("account_name") == "acct_3", "1996-01-15", "1998-01-20")
+    return tab.read_monthly(spark, path)
+
+
+@query
+def stored_window(spark, folder):
+    """A date window of a stored ledger; only its months are read."""
+    path = scratch_path(spark, "ledger")
+    tab.create_monthly(spark, path)
+    tab.append_monthly(spark, path, fx.ledger(spark, folder))
+    return tab.read_monthly(spark, path, None, "1997-03-10", "1997-11-05")
+
+
+@query
+def truncated_tables(spark, folder):
+    """Two catalog tables filled from given ones and emptied in order; an absent one is skipped."""
+    names = [f"{name}_{uuid.uuid4().hex}" for name in ("first", "second")]
+    counts = []
+    try:
+        for name, source in zip(names, ("customer", "orders"), strict=True):
+            path = scratch_path(spark, name)
+            fx.table(spark, folder, source).write.option("path", path).saveAsTable(name)
+        before = [spark.table(name).agg(F.count("*").alias("n_before")) for name in names]
+        counts = [frame.first()["n_before"] for frame in before]
+        emptied = tab.truncate_all(spark, [names[1], "tally_absent", names[0]])
+        after = [spark.table(name).count() for name in names]
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = [(label, counts[k], after[k], emptied.index(names[k]) + 1) for k, label in enumerate(("customer", "orders"))]
+    return spark.createDataFrame(rows, "source string, n_before bigint, n_after bigint, turn bigint")
+
+
 on_ledger("delete_account", lambda df: tab.delete_where(df, F.col("account_name") == "acct_1"))
 on_ledger("delete_accounts", lambda df: tab.delete_where(df, F.col("account_name").isin("acct_1", "acct_4")))
 on_ledger(

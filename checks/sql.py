@@ -5,8 +5,12 @@ trips by a range join, running balances by one window: other ways to the same re
 """
 
 from checks.fixtures import LATER, NUMBERED, TEXTS
-from tallyfold.functions.rules import DEFAULT_RULES
-from tallyfold.schemas import LABELS, MAPPING_CATEGORIES
+from checks.ladder import LADDER, PREFIXES
+
+LABELS = ("merchant_name", "category", "sub_category", "channel")
+MAPPING_CATEGORIES = (
+    "Shopping", "Groceries", "Meals", "Transport", "Utilities", "Entertainment", "Income", "Transfer", "Medical", "Fees",
+)
 
 ORACLE: dict[str, str] = {}
 
@@ -19,14 +23,6 @@ def _list(values) -> str:
     return ", ".join(_text(value) for value in values)
 
 
-def _rule_values() -> str:
-    rows = []
-    for axis in LABELS:
-        for ordinal, (value, *patterns) in enumerate(getattr(DEFAULT_RULES, axis)):
-            rows += [f"('{axis}', {ordinal}, {_text(value)}, {_text(pattern)})" for pattern in patterns]
-    return ", ".join(rows)
-
-
 _ACCOUNT = """
     'acct_' || {c} % 5 AS account_name,
     CASE WHEN {c} % 5 < 2 THEN 'checking' ELSE 'credit_card' END AS account_type,
@@ -72,11 +68,11 @@ raw AS (
 
 _PREFIX_HIT = " ".join(
     f"WHEN starts_with(upper(d), {_text(prefix)}) THEN substr(d, {len(prefix) + 1})"
-    for prefix in DEFAULT_RULES.prefixes
+    for prefix in PREFIXES
 )
 
 _LEDGER = f"""
-rules(axis, ordinal, label, pattern) AS (VALUES {_rule_values()}),
+rules(axis, ordinal, label, pattern) AS (VALUES {LADDER}),
 described AS (SELECT DISTINCT description AS d FROM rows),
 hits AS (
   SELECT d, axis, arg_min(label, ordinal) AS label
@@ -102,13 +98,13 @@ mapping AS (
     CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'Convenience' END AS sub_category,
     CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'pos' END AS channel, c_custkey * 10 AS seq FROM customer
   UNION ALL
-  SELECT 'RIVERSIDE APTS LLC ' || c_custkey, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'Riverside Apartments' END,
+  SELECT 'HILLTOP FLATS RENTAL ' || c_custkey, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'Hilltop Flats' END,
     'Transfer', 'Rent Payment', 'ach', c_custkey * 10 + 1 FROM customer
   UNION ALL
   SELECT 'WIRE TO FRIEND ' || c_custkey, 'Zelle', CASE WHEN c_mktsegment = 'BUILDING' THEN 'Cash' ELSE 'Transfer' END,
     'Person to Person Payment', 'p2p', c_custkey * 10 + 2 FROM customer
   UNION ALL
-  SELECT 'SWEETGREEN SOMA', 'Never used', 'Meals', 'Salad', 'pos', c_custkey * 10 + 3 FROM customer
+  SELECT 'SWEETGREEN ELM AVE', 'Never used', 'Meals', 'Salad', 'pos', c_custkey * 10 + 3 FROM customer
   UNION ALL
   SELECT 'CORNER SHOP ' || c_custkey, 'Corner Shop No. ' || c_custkey, 'Shopping', 'Corner', 'online',
     c_custkey * 10 + 4 FROM customer WHERE c_mktsegment = 'AUTOMOBILE'),
@@ -142,7 +138,7 @@ _CASH = """
 pending AS (SELECT * FROM orders WHERE o_orderstatus = 'P'),
 cash AS (
   SELECT CAST(o_orderdate AS DATE) AS tx_date, -CAST(o_totalprice AS DECIMAL(18,2)) AS cash_amount,
-    CASE WHEN o_orderkey % 3 <> 0 THEN 'Roommate Split Loan' END AS override_category,
+    CASE WHEN o_orderkey % 3 <> 0 THEN 'Shared flat loan' END AS override_category,
     o_orderkey % 4 <> 0 AS is_loan, 'entry ' || o_orderkey || '/' || copy AS notes
   FROM (SELECT *, 1 AS copy FROM pending
         UNION ALL SELECT *, 2 FROM pending WHERE o_orderpriority = '1-URGENT'))
@@ -212,7 +208,7 @@ SELECT file, pos, CASE style WHEN 1 THEN 6 WHEN 2 THEN 3 WHEN 3 THEN 5 ELSE 4 EN
 FROM cells
 UNION ALL SELECT file, line_no, len(names), names[1], names[2], names[3], names[4] FROM heads
 UNION ALL SELECT file, 0, 2, 'Description:', c_name, NULL, NULL FROM heads WHERE style = 2
-UNION ALL SELECT file, 1, 2, 'Generated:', '07/15/2026', NULL, NULL FROM heads WHERE style = 2
+UNION ALL SELECT file, 1, 2, 'Printed:', '11/30/2021', NULL, NULL FROM heads WHERE style = 2
 UNION ALL SELECT file, 2, 4, NULL, NULL, NULL, NULL FROM heads WHERE style = 2
 """
 
@@ -327,7 +323,7 @@ merchant_map AS (
   SELECT 'SHOP ' || c_custkey AS pattern, 'keyword' AS match_type, c_nationkey AS entity_id,
     CAST(1 + c_custkey % 2 AS INTEGER) AS priority FROM customer
   UNION ALL SELECT '^CORNER SHOP [0-9]*' || r_regionkey || '$', 'regex', r_regionkey + 1, 2 FROM region
-  UNION ALL SELECT 'APTS LLC ' || r_regionkey, 'keyword', r_regionkey + 100000000, 1 FROM region
+  UNION ALL SELECT 'FLATS RENTAL ' || r_regionkey, 'keyword', r_regionkey + 100000000, 1 FROM region
   UNION ALL SELECT substr(r_name, 1, 2), 'keyword', r_regionkey + 2, 3 FROM region)
 """
 ORACLE["entity_match"] = _with(_ROWS, _LEDGER, _RULE_DIM) + """
@@ -557,3 +553,44 @@ ORACLE["delete_account_window"] = L + f"""
 SELECT {_LEDGER_COLUMNS} FROM ledger WHERE NOT (account_name = 'acct_3'
   AND coalesce(transaction_date BETWEEN DATE '1996-01-15' AND DATE '1998-01-20', false))
 """
+ORACLE["stored_raw_transactions"] = R + """
+SELECT * EXCLUDE (o_orderstatus, file, pos) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM raw
+WHERE account_name <> 'acct_1' AND NOT (account_name = 'acct_3'
+  AND coalesce(transaction_date BETWEEN DATE '1996-01-15' AND DATE '1998-01-20', false))
+"""
+ORACLE["stored_window"] = L + f"""
+SELECT {_LEDGER_COLUMNS} FROM ledger WHERE transaction_date BETWEEN DATE '1997-03-10' AND DATE '1997-11-05'
+"""
+ORACLE["truncated_tables"] = """
+SELECT 'customer' AS source, count(*) AS n_before, CAST(0 AS BIGINT) AS n_after, CAST(2 AS BIGINT) AS turn FROM customer
+UNION ALL SELECT 'orders', count(*), 0, 1 FROM orders
+"""
+ORACLE["upsert_trips"] = _with(_TRIPS) + """
+SELECT trip_id, start_date, end_date, trip_type,
+  CASE WHEN CAST(substr(trip_id, 6) AS BIGINT) % 3 <> 0 THEN upper(destination) ELSE destination END AS destination, notes
+FROM trips
+"""
+ORACLE["cash_rejects"] = """
+SELECT 'entry ' || o_orderkey AS notes,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'unrecognized date' ELSE 'amount is not a number' END AS reason
+FROM orders WHERE o_orderstatus = 'P' AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)
+"""
+ORACLE["file_preview"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey
+FROM customer ORDER BY customer.c_custkey LIMIT 5
+"""
+ORACLE["ingest_from_files"] = ORACLE["ingest_statements"]
+_OWNED = "CAST(regexp_extract(file, '[0-9]+') AS BIGINT) % 4 <> 3"
+_REASON = """CASE WHEN wide THEN 'more cells than the header' WHEN date_text IS NULL THEN 'no date'
+  WHEN amount_text IS NULL THEN 'no amount' WHEN parsed IS NULL THEN 'amount is not a number' END"""
+ORACLE["rejected_input"] = S + f"""
+, judged AS (
+  SELECT file, 'file' AS kind, CASE WHEN style = 5 THEN 'no header row with a date and a description column'
+    WHEN style = 4 THEN 'amount column not mapped' ELSE 'no account for the file' END AS reason
+  FROM heads WHERE style >= 4 OR NOT ({_OWNED})
+  UNION ALL SELECT file, 'row', reason FROM (
+    SELECT file, {_REASON} AS reason FROM (
+      SELECT *, TRY_CAST(replace(replace(replace(amount_text, '(', ''), ')', ''), ' ', '') AS DECIMAL(18,2)) AS parsed FROM cells)
+    WHERE style < 4 AND {_OWNED}) WHERE reason IS NOT NULL)
+SELECT file, kind, reason, count(*) AS n FROM judged GROUP BY ALL
+"""

@@ -2,7 +2,8 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.operators.skew import dimension_join
@@ -24,21 +25,52 @@ def _inline_best(description: Column, rules: list) -> Column:
     return branches.otherwise(None)
 
 
+LAST = 2**31 - 1  # where rules without a priority stand: behind all others
+
+
 def _ordered(rows: list) -> list:
     return sorted(rows, key=lambda rule: (rule.priority, -len(rule.pattern), rule.pattern))
 
 
+def _usable(spark: SparkSession, merchant_map: DataFrame) -> DataFrame:
+    """Rules that can fire, with their place in the order made explicit."""
+    given = merchant_map.where(F.col("pattern").isNotNull())
+    bad = [row["pattern"] for row in invalid_rules(spark, given).collect()]
+    usable = given.where(~((F.col("match_type") == "regex") & F.col("pattern").isin(bad))) if bad else given
+    return usable.withColumn("priority", F.coalesce("priority", F.lit(LAST)))
+
+
+def invalid_rules(spark: SparkSession, merchant_map: DataFrame) -> DataFrame:
+    """Rules whose regular expression cannot be compiled; they are left out of the matching.
+
+    The regular expressions of the table come to the driver, as they do for the matching.
+    """
+    rules = merchant_map.where((F.col("match_type") == "regex") & F.col("pattern").isNotNull())
+
+    def broken(pattern: str) -> bool:
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(pattern)
+        except Py4JJavaError:
+            return True
+        return False
+
+    bad = [row["pattern"] for row in rules.select("pattern").distinct().collect() if broken(row["pattern"])]
+    return rules.where(F.col("pattern").isin(bad) if bad else F.lit(False))
+
+
 def match_entities(
     descriptions: DataFrame, merchant_map: DataFrame, entities: DataFrame, inline_rules: int = INLINE_RULES
 ) -> DataFrame:
     """Best entity per distinct description; descriptions without a match are left out.
 
-    Rules are tried by priority, then the longer pattern, then its text. A rule table of
+    Rules are tried by priority (none comes last), then the longer pattern, then its text; rules
+    without a pattern or with an invalid one are not tried. A rule table of
     ordinary size becomes one CASE expression, evaluated where the descriptions lie. Of a
     larger one the keyword rules are found by an equality join, and only its regular
     expressions are evaluated in place.
     """
     texts = descriptions.select("raw_description").where(F.col("raw_description").isNotNull()).distinct()
+    merchant_map = _usable(texts.sparkSession, merchant_map)
     head = merchant_map.limit(inline_rules + 1).collect()
     if len(head) <= inline_rules:
         matched = _match_inline(texts, _ordered(head))

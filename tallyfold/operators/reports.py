@@ -136,12 +136,12 @@ def _month_columns(months: list[str], value: Column, absent: Column) -> list[Col
 def compare_months(ledger: DataFrame, months: list[str] | None = None) -> DataFrame | None:
     """Expenses per category in the two newest months, one column per month.
 
-    `months` is (current, last); by default the newest two. None if there are fewer than two.
+    `months` names the two in any order; by default the newest two. None if there are fewer than two.
     """
     months = latest_months(ledger) if months is None else months
     if len(months) < 2:
         return None
-    current, last = months[:2]
+    last, current = sorted(months[:2])
     either = _month().isin(_first_day(last), _first_day(current))
     chosen = _expenses(ledger).where(_within(_first_day(last), F.add_months(_first_day(current), 1)) & either)
     return chosen.groupBy("category").agg(*_month_columns([last, current], F.abs("amount"), F.lit(0).cast(MONEY)))

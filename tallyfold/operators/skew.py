@@ -1,6 +1,6 @@
 """Joins and de-duplication that hold up when one key carries a large share of the rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -11,12 +11,10 @@ SALTS = 16
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure, not guess: does the frame stay below both the row and the byte bound?
 
-    Reads at most `max_rows + 1` rows into the count.
+    Rows and bytes are added up where they lie; one row per task is sent on.
     """
     widths = "".join(f" + coalesce(octet_length(CAST(`{name}` AS STRING)), 0) + 16" for name in df.columns)
-    rows, size = (
-        df.limit(max_rows + 1).selectExpr("count(*) AS rows", f"coalesce(sum(0{widths}), 0) AS bytes").first()
-    )
+    rows, size = df.selectExpr("count(*) AS rows", f"coalesce(sum(0{widths}), 0) AS bytes").first()
     return rows <= max_rows and size <= max_bytes
 
 
@@ -53,12 +51,11 @@ def _of(side: str):
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str], last: bool = False) -> DataFrame:
-    """One row per key: the first (or last) in `order`.
+    """One row per key: the first (or last) in `order`; NULLs come first.
 
-    An aggregate, not a ranking window: every map task keeps one candidate per key, so a
-    key with very many copies never has to be sorted in one place.
+    A rank of 1 is pruned before the shuffle: every map task sends on one candidate per key,
+    so a key with very many copies never has to be sorted in one place.
     """
-    pick = F.max_by if last else F.min_by
-    whole = F.struct(*[F.col(name) for name in df.columns])
-    kept = df.groupBy(*keys).agg(pick(whole, F.struct(*[F.col(name) for name in order])).alias("_row"))
-    return kept.select("_row.*")
+    by = [F.desc_nulls_last(name) if last else F.asc_nulls_first(name) for name in order]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")

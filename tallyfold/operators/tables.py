@@ -4,6 +4,7 @@ Each operator is a pure function from the present state and a batch to the next
 The writers below them apply the same functions to Parquet tables partitioned by month.
 """
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,29 +14,33 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tallyfold.functions.columns import month_of
 from tallyfold.operators.skew import first_by
 from tallyfold.schemas import LABELS, LEDGER
+from tallyfold.session import scratch_path
 
 KEY = "transaction_id"
 
 
-def new_rows(target: DataFrame, batch: DataFrame, key: str = KEY, order: Iterable[str] = ()) -> DataFrame:
-    """Rows of the batch whose key the target lacks; inside the batch the first arrival wins."""
-    order = list(order)
-    once = first_by(batch, [key], order or [key])
+def new_rows(target: DataFrame, batch: DataFrame, key: str = KEY, *, order: Iterable[str]) -> DataFrame:
+    """Rows of the batch whose key the target lacks; inside the batch the first in `order` wins."""
+    once = first_by(batch, [key], list(order))
     return once.join(target.select(key), key, "left_anti").select(*target.columns)
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, key: str = KEY, order: Iterable[str] = ()) -> DataFrame:
+def insert_if_absent(target: DataFrame, batch: DataFrame, key: str = KEY, *, order: Iterable[str]) -> DataFrame:
     """Next state: existing rows win, new keys are added once."""
-    return target.unionByName(new_rows(target, batch, key, order))
+    return target.unionByName(new_rows(target, batch, key, order=order))
 
 
 def upsert_columns(
-    target: DataFrame, batch: DataFrame, key: str = KEY, columns: Iterable[str] = LABELS
+    target: DataFrame, batch: DataFrame, key: str = KEY, columns: Iterable[str] = LABELS, *, order: Iterable[str]
 ) -> DataFrame:
-    """Next state: a matching key takes only `columns` from the batch, a new key the whole row."""
+    """Next state: a matching key takes only `columns` from the batch, a new key the whole row.
+
+    Of batch rows with one key, the last in `order` counts.
+    """
     replaced = set(columns)
+    once = first_by(batch, [key], list(order), last=True)
     old = target.withColumn("_old", F.lit(True)).alias("old")
-    new = batch.select(*target.columns).withColumn("_new", F.lit(True)).alias("new")
+    new = once.select(*target.columns).withColumn("_new", F.lit(True)).alias("new")
     in_old, in_new = F.col("old._old").isNotNull(), F.col("new._new").isNotNull()
 
     def pick(name: str) -> Column:
@@ -47,9 +52,13 @@ def upsert_columns(
     return joined.select(*[pick(name) for name in target.columns])
 
 
-def upsert_labels(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Re-classification: stored date, amount and direction stay, the four labels change."""
-    return upsert_columns(target, batch, KEY, LABELS)
+def upsert_labels(target: DataFrame, batch: DataFrame, order: Iterable[str] = LABELS) -> DataFrame:
+    """Re-classification: stored date, amount and direction stay, the four labels change.
+
+    Labels follow from the text that the key covers, so batch rows of one key agree as a rule;
+    if they don't, the last in `order` counts.
+    """
+    return upsert_columns(target, batch, KEY, LABELS, order=order)
 
 
 def upsert_by_key(target: DataFrame, batch: DataFrame, key: str, order: Iterable[str]) -> DataFrame:
@@ -68,72 +77,133 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_monthly(df: DataFrame, path: str, mode: str, date: str = "transaction_date") -> None:
-    """Write partitioned by month. Range-partitioned first, so a busy month is spread over
-    several tasks and a quiet one does not become many small files."""
-    stamped = df.withColumn("month", F.coalesce(month_of(date), F.lit("none")))
-    placed = stamped.repartitionByRange("month", KEY)
-    (
-        placed.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(path)
-    )
+_SCHEMA = "_schema"  # an empty file with the table's columns; readers of the table pass it over
+
+
+def _stamped(df: DataFrame, date: str) -> DataFrame:
+    """Range-partitioned by month, so a busy month is spread over several tasks and a quiet one
+    does not become many small files."""
+    return df.withColumn("month", F.coalesce(month_of(date), F.lit("none"))).repartitionByRange("month", KEY)
 
 
 def create_monthly(spark: SparkSession, path: str, schema: StructType = LEDGER) -> None:
     """Make an empty stored table; one that is there already is left as it is."""
-    write_monthly(spark.createDataFrame([], schema), path, "append")
+    if not _exists(spark, f"{path}/{_SCHEMA}"):
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/{_SCHEMA}")
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The columns the table was made with; a stored table may have any."""
+    return spark.read.parquet(f"{path}/{_SCHEMA}").schema
+
+
+def _checked(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """The frame in the table's column order. Other columns or types than the table's are refused."""
+    wanted = stored_schema(spark, path)
+    found, kept = ({f.name: f.dataType for f in x.fields} for x in (df.schema, wanted))
+    if found != kept:
+        raise ValueError(f"columns {found} do not fit the table at {path}, which has {kept}")
+    return df.select(*wanted.names)
+
+
+def append_monthly(spark: SparkSession, path: str, df: DataFrame, date: str = "transaction_date") -> None:
+    """Add rows to a stored table as they are."""
+    _stamped(_checked(spark, path, df), date).write.mode("append").partitionBy("month").parquet(path)
 
 
 def read_monthly(
-    spark: SparkSession, path: str, months: list[str] | None = None, schema: StructType = LEDGER
+    spark: SparkSession,
+    path: str,
+    months: list[str] | None = None,
+    since: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
-    """The stored table, or only some months of it (pruned before anything is read)."""
-    stored = StructType([*schema.fields, StructField("month", StringType())])
+    """The stored table, or only some months of it (pruned before anything is read).
+
+    `since` and `until` are ISO dates. They pick the rows, and the months that can hold them.
+    """
+    stored = StructType([*stored_schema(spark, path).fields, StructField("month", StringType())])
     table = spark.read.schema(stored).parquet(path)
     if months is not None:
         table = table.where(F.col("month").isin(months))
+    if since is not None:
+        table = table.where((F.col("month") >= since[:7]) & (F.col("transaction_date") >= F.lit(since).cast("date")))
+    if until is not None:
+        table = table.where((F.col("month") <= until[:7]) & (F.col("transaction_date") <= F.lit(until).cast("date")))
     return table.drop("month")
 
 
+def stored_months(spark: SparkSession, path: str, last: int | None = None) -> list[str]:
+    """Months of a stored table, newest first, from its folders alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    months = sorted((n.removeprefix("month=") for n in names if n.startswith("month=")), reverse=True)
+    return [m for m in months if m != "none"][:last]
+
+
 def months_in(df: DataFrame, date: str = "transaction_date") -> list[str]:
     """Distinct months of a frame. The calendar bounds the list, whatever the row count."""
     found = df.select(F.coalesce(month_of(date), F.lit("none")).alias("month")).distinct().collect()
     return sorted(row.month for row in found)
 
 
-def append_absent(spark: SparkSession, path: str, batch: DataFrame, order: Iterable[str] = ()) -> None:
+def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The frame written below the shared folder: a lazy batch is worked out once, not at every use."""
+    path = scratch_path(spark, "batch")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def append_absent(spark: SparkSession, path: str, batch: DataFrame, order: Iterable[str]) -> None:
     """Insert-if-absent into a stored table. Running it again adds nothing.
 
     The key covers the date text, so equal keys share a month: only months that occur in the
-    batch are read for the comparison.
+    batch are read for the comparison. Columns that serve `order` only need not be stored.
     """
+    batch = _kept(spark, batch)
     stored = read_monthly(spark, path, months_in(batch))
-    write_monthly(new_rows(stored, batch, order=order), path, "append")
+    append_monthly(spark, path, new_rows(stored, batch, order=order))
 
 
 def rewrite_labels(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Upsert labels in a stored ledger; only months of the batch are rewritten."""
-    stored = read_monthly(spark, path, months_in(batch))
-    write_monthly(upsert_labels(stored, batch), path, "overwrite")
+    batch = _kept(spark, batch)
+    months = months_in(batch)
+    _replace_months(spark, path, upsert_labels(read_monthly(spark, path, months), batch), months)
 
 
-def delete_rows(spark: SparkSession, path: str, predicate: Column) -> None:
+def delete_rows(
+    spark: SparkSession, path: str, predicate: Column, since: str | None = None, until: str | None = None
+) -> None:
     """Delete from a stored table, rewriting only the months that hold such rows.
 
-    A month that loses all its rows is emptied through the file system, as a dynamic
-    overwrite leaves partitions alone that get no rows.
+    Dates given as `since` and `until` narrow the predicate, and spare all other months the reading.
+    """
+    if since is not None:
+        predicate = predicate & (F.col("transaction_date") >= F.lit(since).cast("date"))
+    if until is not None:
+        predicate = predicate & (F.col("transaction_date") <= F.lit(until).cast("date"))
+    touched = months_in(read_monthly(spark, path, None, since, until).where(predicate))
+    if touched:
+        _replace_months(spark, path, delete_where(read_monthly(spark, path, touched), predicate), touched)
+
+
+def _replace_months(spark: SparkSession, path: str, df: DataFrame, months: list[str]) -> None:
+    """Put new versions of some months in the place of the old ones.
+
+    The new version is written whole beside the table first. Then each month is swapped by
+    renaming. A run that dies while writing leaves the table as it was; one that dies while
+    swapping leaves every month whole, either old or new, and can be run again.
     """
-    touched = months_in(read_monthly(spark, path).where(predicate))
-    if not touched:
-        return
-    left = delete_where(read_monthly(spark, path, touched), predicate)
-    remaining = set(months_in(left))
-    write_monthly(left, path, "overwrite")
-    for month in touched:
-        if month not in remaining:
-            _remove(spark, f"{path}/month={month}")
+    beside = f"{path}/_next-{uuid.uuid4().hex}"
+    _stamped(_checked(spark, path, df), "transaction_date").write.partitionBy("month").parquet(beside)
+    for month in months:
+        old, new, gone = f"{path}/month={month}", f"{beside}/month={month}", f"{beside}/_old-{month}"
+        if _exists(spark, old):
+            _rename(spark, old, gone)
+        if _exists(spark, new):
+            _rename(spark, new, old)
+    _remove(spark, beside)
 
 
 def truncate_all(spark: SparkSession, tables: Iterable[str]) -> list[str]:
@@ -151,6 +221,22 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at(path))
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    system, at = _file_system(spark, path)
+    if not system.rename(at(path), at(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
 def _remove(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    system, at = _file_system(spark, path)
+    system.delete(at(path), True)

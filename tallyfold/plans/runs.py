@@ -10,8 +10,9 @@ from tallyfold.operators.context import ledger_with_trips, master_ledger
 from tallyfold.operators.ingest import ingest_files
 from tallyfold.operators.labels import apply_mapping
 from tallyfold.operators.reports import monthly_burn
+from tallyfold.operators.skew import first_by
 from tallyfold.operators.tables import upsert_by_key
-from tallyfold.sources.sidecars import read_cash_log, read_trips
+from tallyfold.sources.sidecars import PLACE, read_cash_log, read_trips
 
 
 def label(raw: DataFrame, mapping: DataFrame | None = None, rules: RuleSet = DEFAULT_RULES) -> DataFrame:
@@ -55,9 +56,11 @@ def sync_sidecars(
 ) -> Context:
     """Read both sidecar files and rebuild the views.
 
-    Trips are upserted by trip_id into `stored_trips`; the cash file replaces the cash log.
+    Trips are upserted by trip_id into `stored_trips`, and of rows with one id the last in the
+    file counts; the cash file replaces the cash log.
     """
-    trips = read_trips(spark, trips_csv)
+    trips = first_by(read_trips(spark, trips_csv), ["trip_id"], [PLACE], last=True)
     if stored_trips is not None:
-        trips = upsert_by_key(stored_trips, trips, "trip_id", trips.columns[1:])
+        trips = upsert_by_key(stored_trips, trips, "trip_id", [PLACE])
+    trips = trips.drop(PLACE)
     return context_views(ledger, trips, read_cash_log(spark, cash_csv))

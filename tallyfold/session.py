@@ -30,9 +30,12 @@ def build_session(name: str = "tallyfold", master: str | None = None, **conf: st
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session started elsewhere."""
-    for key, value in _SETTINGS.items():
-        spark.conf.set(key, value)
+    """Bound the size of compiled methods in a session started elsewhere.
+
+    This changes no result. Time zone and adaptive execution are the caller's to set.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, _SETTINGS[name])
     return spark
 
 

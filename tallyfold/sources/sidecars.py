@@ -7,18 +7,28 @@ from tallyfold.functions.columns import CASH_DATES, SIDECAR_DATES, parse_date
 from tallyfold.schemas import CASH_LOG, MONEY, TRIPS
 
 
+PLACE = "_place"  # order of the rows in a sidecar file
+NO_DATE = "unrecognized date"
+NOT_A_NUMBER = "amount is not a number"
+
+
 def _read_texts(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """CSV columns by header name, all as text; a column the file lacks is NULL."""
     table = spark.read.option("header", True).option("escape", '"').csv(path)
     absent = F.lit(None).cast("string")
-    return table.select(*[F.col(n) if n in table.columns else absent.alias(n) for n in names])
+    texts = table.select(*[F.col(n) if n in table.columns else absent.alias(n) for n in names])
+    return texts.withColumn(PLACE, F.monotonically_increasing_id())
 
 
-def _required(value: Column, text: str) -> Column:
-    message = F.concat(F.lit("unrecognized date: "), F.coalesce(F.col(text), F.lit("(none)")))
+def _required(value: Column, text: str, reason: str = NO_DATE) -> Column:
+    message = F.concat(F.lit(f"{reason}: "), F.coalesce(F.col(text), F.lit("(none)")))
     return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
 
 
+def _placed(texts: DataFrame) -> list[str]:
+    return [PLACE] if PLACE in texts.columns else []
+
+
 def parse_trips(texts: DataFrame, strict: bool = True) -> DataFrame:
     """Typed trips. An unknown date layout is an error, or NULL with `strict=False`."""
 
@@ -27,7 +37,7 @@ def parse_trips(texts: DataFrame, strict: bool = True) -> DataFrame:
         return (_required(value, name) if strict else value).alias(name)
 
     return texts.select(
-        "trip_id", date("start_date"), date("end_date"), "trip_type", "destination", "notes"
+        "trip_id", date("start_date"), date("end_date"), "trip_type", "destination", "notes", *_placed(texts)
     )
 
 
@@ -35,16 +45,37 @@ def read_trips(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
     return parse_trips(_read_texts(spark, path, TRIPS.names), strict)
 
 
-def parse_cash(texts: DataFrame) -> DataFrame:
-    """Typed cash log; dates may be written in mixed layouts, month first."""
+def _cash_date() -> Column:
+    return parse_date("tx_date", CASH_DATES)
+
+
+def _cash_amount() -> Column:
+    return F.col("amount").try_cast(MONEY)
+
+
+def parse_cash(texts: DataFrame, strict: bool = True) -> DataFrame:
+    """Typed cash log; dates may be written in mixed layouts, month first.
+
+    A date or an amount that cannot be read is an error. With `strict=False` such rows are
+    left out; `cash_rejects` gives them with the reason.
+    """
+    day, amount = _cash_date(), _cash_amount()
+    if not strict:
+        texts = texts.where(day.isNotNull() & amount.isNotNull())
     return texts.select(
-        parse_date("tx_date", CASH_DATES).alias("tx_date"),
-        F.col("amount").try_cast(MONEY).alias("amount"),
+        (_required(day, "tx_date") if strict else day).alias("tx_date"),
+        (_required(amount, "amount", NOT_A_NUMBER) if strict else amount).alias("amount"),
         "override_category",
         F.trim("is_loan").try_cast("boolean").alias("is_loan"),
         "notes",
     )
 
 
-def read_cash_log(spark: SparkSession, path: str) -> DataFrame:
-    return parse_cash(_read_texts(spark, path, CASH_LOG.names))
+def cash_rejects(texts: DataFrame) -> DataFrame:
+    """Cash rows that cannot be read, as they are, with a `reason`."""
+    reason = F.when(_cash_date().isNull(), NO_DATE).when(_cash_amount().isNull(), NOT_A_NUMBER)
+    return texts.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def read_cash_log(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    return parse_cash(_read_texts(spark, path, CASH_LOG.names), strict)

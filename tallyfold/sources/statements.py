@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.columns import as_column, computed_once
-from tallyfold.operators.skew import BROADCAST_ROWS, dimension_join, fits_broadcast
+from tallyfold.operators.skew import dimension_join, fits_broadcast
+from tallyfold.session import scratch_path
 
 # Header names that mark a column's role.
 DATE_ALIASES = ("date", "trans. date", "transaction date", "post date")
@@ -20,6 +21,8 @@ NO_HEADER = "no header row with a date and a description column"
 NO_ROLES = "date or description column not mapped"
 NO_AMOUNT = "amount column not mapped"
 TOO_WIDE = "more cells than the header"
+EMPTY = "empty file"
+NO_ACCOUNT = "no account for the file"
 RECORD_CELLS = 64
 _BLANKS = " \t\n\r\f\v\u00a0"
 
@@ -28,28 +31,50 @@ _CELL = r',("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 _QUOTED = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
 
 
-def _placed(text: DataFrame, line: Column) -> DataFrame:
-    """File, block and position of each line. Paths are given as they are on disk, not as URIs."""
-    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+def on_disk(uri: Column | str) -> Column:
+    """A file's path as it is on disk, from the URI Spark gives."""
+    plain = F.url_decode(F.replace(as_column(uri), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:///")
+
+
+def placed(text: DataFrame, line: Column) -> DataFrame:
+    """File, block and position of each line."""
     return text.select(
-        F.url_decode(path).alias("file"),
+        on_disk("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         line.alias("line"),
     )
 
 
+def kept(spark: SparkSession, df: DataFrame, label: str = "lines") -> DataFrame:
+    """The frame written below the shared folder and read back.
+
+    Positions count from where a scan starts, and each scan plans its own splits. Written once,
+    they are the same for all who read them, and the text files are read once only.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """All files with their size in bytes, those without any line included."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return found.select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"), "length")
+
+
 def read_statement_lines(spark: SparkSession, paths: str | list[str], multiline: bool = False) -> DataFrame:
-    """All lines as (file, block, pos, line).
+    """All lines as (file, block, pos, line), read now and kept below the shared folder.
 
     `pos` goes up by one per line inside a block (file split); blocks are ordered by offset.
-    Together with the file they give every line a place. With `multiline`, a quoted cell may
-    hold line breaks and a `line` is a whole record; such files cannot be split, so leave it
-    off where it is not needed.
+    Together with the file they give every line a place, which stays as it is. With
+    `multiline`, a quoted cell may hold line breaks and a `line` is a whole record; such files
+    cannot be split, so leave it off where it is not needed.
     """
     if multiline:
-        return _read_records(spark, paths)
-    return _placed(spark.read.text(paths, recursiveFileLookup=True), F.col("value"))
+        return kept(spark, _read_records(spark, paths))
+    return kept(spark, placed(spark.read.text(paths, recursiveFileLookup=True), F.col("value")))
 
 
 def _read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -68,7 +93,7 @@ def _read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         (at, cell) -> named_struct('n', at.n + 1, 'last', IF(cell IS NULL, at.last, at.n + 1)),
         at -> concat_ws(',', transform(slice(array({", ".join(names)}), 1, at.last),
           cell -> concat('"', replace(coalesce(cell, ''), '"', '""'), '"'))))"""
-    return _placed(table, F.coalesce(F.col("_whole"), F.expr(record)))
+    return placed(table, F.coalesce(F.col("_whole"), F.expr(record)))
 
 
 def split_cells(line: Column | str) -> Column:
@@ -120,25 +145,22 @@ def _literals(values: tuple[str, ...]) -> Column:
 def discover_headers(lines: DataFrame) -> DataFrame:
     """Per file the first of its first 25 lines that names a date and a description column.
 
-    One pre-aggregated pass: per task and file only the first position and the first
-    header-like line are kept. `header` is NULL for a file without such a line.
+    The grouping sees positions only; the cells of the one line found are joined to them.
+    `header` is NULL for a file without such a line.
     """
     maybe = F.lower("line").contains("date")
     head = computed_once(lines.where(F.col("block") == 0), "cells", F.when(maybe, _cells_of("line")))
-    parsed = (
-        head.withColumn("at", F.when(_is_header(F.col("cells")), F.col("pos")))
-        .select("file", "pos", "at", F.when(F.col("at").isNotNull(), F.col("cells")).alias("cells"))
-    )
-    found = parsed.groupBy("file").agg(
-        F.min("pos").alias("first"), F.min("at").alias("at"), F.min_by("cells", "at").alias("cells")
+    found = head.groupBy("file").agg(
+        F.min("pos").alias("first"), F.min(F.when(_is_header(F.col("cells")), F.col("pos"))).alias("at")
     )
-    line_no = F.col("at") - F.col("first")
-    near = line_no < HEADER_WINDOW
-    return found.select(
+    near = F.col("at") - F.col("first") < HEADER_WINDOW
+    found = found.select("file", "first", F.when(near, F.col("at")).alias("header_pos"))
+    texts = head.where(_is_header(F.col("cells"))).select("file", F.col("pos").alias("header_pos"), "cells")
+    return found.join(texts, ["file", "header_pos"], "left").select(
         "file",
-        F.when(near, line_no).alias("header_line"),
-        F.when(near, F.col("at")).alias("header_pos"),
-        F.when(near, F.col("cells")).alias("header"),
+        (F.col("header_pos") - F.col("first")).alias("header_line"),
+        "header_pos",
+        F.col("cells").alias("header"),
     )
 
 
@@ -259,11 +281,8 @@ def wide_rows(lines: DataFrame, columns: DataFrame, small: bool | None = None) -
     return rows.where(_too_wide()).select("file", "block", "pos", "line", F.lit(TOO_WIDE).alias("reason"))
 
 
-def few_files(lines: DataFrame) -> bool:
-    """Is one row per file within the broadcast bound? Known from the file listing, without a job."""
-    return len(lines.inputFiles()) <= BROADCAST_ROWS
-
-
 def preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """First n rows of a CSV file as it is, under its own header."""
-    return spark.read.option("header", True).csv(path).limit(n)
+    """First n rows of a CSV file as it is, under its own header; of a folder, of its first file by name."""
+    names = list_files(spark, path).where("length > 0").where(F.col("file").rlike("/[^_.][^/]*$"))
+    first = names.agg(F.min("file")).first()[0]
+    return spark.read.option("header", True).csv(path if first is None else first).limit(n)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.functions.rules import DEFAULT_RULES, RuleSet
-from tallyfold.operators.ingest import ingest_lines
+from tallyfold.operators.ingest import load_lines
 from tallyfold.operators.tables import append_absent, create_monthly
 from tallyfold.plans.runs import label
+from tallyfold.sources.statements import kept, placed
 
 
 def watch_statements(
@@ -23,23 +24,24 @@ def watch_statements(
     mapping: DataFrame | None = None,
     rules: RuleSet = DEFAULT_RULES,
     once: bool = False,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Start loading new files of a folder. With `once`, take what is there and stop.
 
     A file enters as a whole, in one micro-batch, so its header is found as in a batch load.
+    Rejected files and rows are added to tables below `rejects_path`.
     """
     create_monthly(spark, ledger_path)
     arriving = spark.readStream.text(folder, recursiveFileLookup=True).select("value", "_metadata")
 
     def load(batch: DataFrame, _: int) -> None:
-        lines = batch.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-            F.col("value").alias("line"),
-        )
-        ledger = label(ingest_lines(lines, accounts), mapping, rules)
-        append_absent(batch.sparkSession, ledger_path, ledger)
+        session = batch.sparkSession
+        lines = kept(session, placed(batch, F.col("value")))
+        found = load_lines(lines, accounts)
+        if rejects_path is not None:
+            found.rejected_files.write.mode("append").parquet(f"{rejects_path}/files")
+            found.rejected_rows.write.mode("append").parquet(f"{rejects_path}/rows")
+        append_absent(session, ledger_path, label(found.transactions, mapping, rules), ["transaction_id"])
 
     writer = arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
