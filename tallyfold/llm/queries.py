@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import licenses, line_dedup, mixing, near_copies, packing, quality, secret_scan, sharding, topk, toxicity
 from tallyfold.llm.common import staged, table
+from tallyfold.llm.sql import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -95,4 +98,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
