@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +50,7 @@ def invalid_rules(spark: SparkSession, merchant_map: DataFrame) -> DataFrame:
     def broken(pattern: str) -> bool:
         try:
             spark._jvm.java.util.regex.Pattern.compile(pattern)
-        except Py4JJavaError:
+        except IllegalArgumentException:
             return True
         return False
 

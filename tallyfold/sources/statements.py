@@ -4,6 +4,8 @@ Files are read by line and split by Spark as usual, so a very large file is many
 work. All files of a load go through one scan; nothing loops over files.
 """
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +61,9 @@ def kept(spark: SparkSession, df: DataFrame, label: str = "lines") -> DataFrame:
 
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All files with their size in bytes, those without any line included."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    return found.select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"), "length")
+    """All files by path, those without any line included: the listing that a read starts from."""
+    found = spark.read.text(paths, recursiveFileLookup=True).inputFiles()
+    return spark.createDataFrame([(uri,) for uri in found], "uri string").select(on_disk("uri").alias("file"))
 
 
 def read_statement_lines(spark: SparkSession, paths: str | list[str], multiline: bool = False) -> DataFrame:
@@ -283,6 +285,5 @@ def wide_rows(lines: DataFrame, columns: DataFrame, small: bool | None = None) -
 
 def preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     """First n rows of a CSV file as it is, under its own header; of a folder, of its first file by name."""
-    names = list_files(spark, path).where("length > 0").where(F.col("file").rlike("/[^_.][^/]*$"))
-    first = names.agg(F.min("file")).first()[0]
-    return spark.read.option("header", True).csv(path if first is None else first).limit(n)
+    first = unquote(min(spark.read.text(path).inputFiles(), default=path))
+    return spark.read.option("header", True).csv(first).limit(n)

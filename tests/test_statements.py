@@ -5,7 +5,7 @@ import pytest
 from tallyfold.operators import labels, reports, tables
 from tallyfold.operators.classify import classify, unknown_descriptions, unknown_rows
 from tallyfold.operators.entities import match_entities
-from tallyfold.operators.ingest import ingest_files, ingest_lines
+from tallyfold.operators.ingest import TOO_LARGE, ingest_files, ingest_lines, load_files
 from tallyfold.plans.runs import statements_to_ledger
 from tallyfold.sources import statements
 from tallyfold.sources.seeds import seed_dims
@@ -76,6 +76,61 @@ def test_rejects(spark, folder):
         statements.raise_on_rejects(columns)
 
 
+def _collected(df):
+    return df.collect(), df.schema
+
+
+def test_every_row_is_accounted_for(spark, folder, accounts):
+    """Body rows of usable files = transactions, their copies, and rejected rows; no file is lost."""
+    found = load_files(spark, folder, accounts)
+    files = {r.file.rsplit("/", 1)[1]: r.reason for r in found.rejected_files.collect()}
+    assert files == {
+        "split.csv": statements.NO_AMOUNT,
+        "late.csv": statements.NO_HEADER,
+        "nobody.csv": statements.NO_ACCOUNT,
+        "empty.csv": statements.EMPTY,
+    }
+    reasons = sorted(r.reason for r in found.rejected_rows.collect())
+    assert reasons == sorted(["no date", "no amount", "amount is not a number", TOO_LARGE, statements.TOO_WIDE])
+    body = sum(text.count("\n") for name, text in FILES.items() if name not in files) - 5 - 3 - 24
+    assert found.transactions.count() + len(reasons) == body - 1  # one row stands there twice
+
+
+def test_places_hold_when_the_layout_changes(spark, tmp_path):
+    for n in range(30):
+        rows = "".join(f"2026-02-0{1 + k % 9},FILE {n} ROW {k},-{k}.50\n" for k in range(60))
+        (tmp_path / f"f{n}.csv").write_text("note\n" * (n % 5) + "Date,Description,Amount\n" + rows)
+    accounts = spark.createDataFrame(
+        [(f"f{n}.csv", "a", "checking") for n in range(30)], "file_name string, account_name string, account_type string"
+    )
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, "2048")
+        lines = statements.read_statement_lines(spark, str(tmp_path))
+        columns = spark.createDataFrame(*_collected(statements.map_columns(statements.discover_headers(lines))))
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+        assert statements.statement_rows(lines, columns).count() == 1800
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    assert load_files(spark, str(tmp_path), accounts).transactions.count() == 1800
+
+
+def test_account_by_full_path(spark, tmp_path):
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "same.csv").write_text(f"Date,Description,Amount\n2026-02-01,OF {name},-1.00\n")
+    path = [r.file for r in statements.list_files(spark, str(tmp_path)).collect() if "/two/" in r.file][0]
+    accounts = spark.createDataFrame(
+        [("same.csv", "by name", "checking"), (path, "by path", "checking")], "file_name string, account_name string, account_type string"
+    )
+    found = load_files(spark, str(tmp_path), accounts).transactions.collect()
+    assert {r.raw_description: r.account_name for r in found} == {"OF one": "by name", "OF two": "by path"}
+
+
 def test_options(spark, folder, accounts):
     negative = ingest_files(spark, folder, accounts, paren_negative=True)
     assert float(negative.where("raw_description = 'TENT HIRE'").first().amount) == -62.35

@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators import context, labels, reports, skew, tables
-from tallyfold.schemas import CASH_LOG, LEDGER, MAPPING, TRIPS
+from tallyfold.operators.entities import invalid_rules, match_entities
+from tallyfold.plans.runs import sync_sidecars
+from tallyfold.schemas import CASH_LOG, ENTITIES, LEDGER, MAPPING, MERCHANT_MAP, RAW_TRANSACTIONS, TRIPS
+from tallyfold.sources.sidecars import read_cash_log
 from tallyfold.streaming.incremental import watch_statements
 
 
@@ -134,3 +137,100 @@ def test_report_totals_agree(spark):
     by_month = ledger.where("transaction_date >= '2026-03-01'").agg(F.sum(F.abs("amount"))).first()[0]
     assert compared.agg(F.sum("`2026-03`")).first()[0] == by_month
     assert reports.compare_months(ledger.where("transaction_date < '2026-02-01'")) is None
+
+
+def raw_rows(spark):
+    rows = [(f"k{n}", f"a{n % 3}", "checking", datetime.date(2026, 1 + n % 4, 5), f"T{n}", Decimal(n), "Income") for n in range(24)]
+    return spark.createDataFrame(rows, RAW_TRANSACTIONS)
+
+
+def test_raw_table_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    tables.create_monthly(spark, path, RAW_TRANSACTIONS)
+    tables.append_absent(spark, path, raw_rows(spark), ["transaction_id"])
+    tables.delete_rows(spark, path, F.col("account_name") == "a1")
+    tables.append_absent(spark, path, raw_rows(spark), ["transaction_id"])
+    tables.delete_rows(spark, path, F.col("account_name") == "a2", "2026-01-01", "2026-02-28")
+    left = tables.read_monthly(spark, path)
+    assert left.columns == RAW_TRANSACTIONS.names
+    assert left.where("account_type = 'checking'").count() == left.count() == 24 - 4
+    tables.delete_rows(spark, path, F.col("transaction_date") < "2026-02-01")
+    assert tables.stored_months(spark, path) == ["2026-04", "2026-03", "2026-02"]
+
+
+def test_other_columns_are_refused(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    tables.create_monthly(spark, path)
+    with pytest.raises(ValueError, match="columns"):
+        tables.append_monthly(spark, path, raw_rows(spark))
+    assert tables.read_monthly(spark, path).count() == 0
+
+
+def test_window_prunes_months(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    tables.create_monthly(spark, path, RAW_TRANSACTIONS)
+    tables.append_monthly(spark, path, raw_rows(spark))
+    window = tables.read_monthly(spark, path, None, "2026-02-01", "2026-03-31")
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and window.count() == 12
+
+
+def test_copies_inside_an_upsert(spark):
+    ledger = hot_ledger(spark, 30)
+    one = ledger.limit(1)
+    batch = one.withColumn("category", F.lit("A")).unionByName(one.withColumn("category", F.lit("B")))
+    after = tables.upsert_labels(ledger, batch)
+    assert after.count() == 30 and after.where("category = 'B'").count() == 1
+
+
+def test_watched_folder_with_odd_names_and_rejects(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "my card+1.csv").write_text("Date,Description,Amount\n2026-01-05,HULU WITH ADS,-9.00\n2026-01-06,BAD,x\n")
+    (inbox / "odd.csv").write_text("no header\n")
+    accounts = spark.createDataFrame([("my card+1.csv", "a", "checking")], "file_name string, account_name string, account_type string")
+    path, rejects = str(tmp_path / "ledger"), str(tmp_path / "rejects")
+    watch_statements(spark, str(inbox), accounts, path, str(tmp_path / "c"), once=True, rejects_path=rejects).awaitTermination()
+    assert [r.raw_description for r in tables.read_monthly(spark, path).collect()] == ["HULU WITH ADS"]
+    assert [r.reason for r in spark.read.parquet(f"{rejects}/rows").collect()] == ["amount is not a number"]
+    assert spark.read.parquet(f"{rejects}/files").count() == 1
+
+
+def test_repeated_trip_gives_one_row(spark, tmp_path):
+    day = datetime.date(2026, 3, 3)
+    ledger = hot_ledger(spark, 9).where("account_name = 'one'").limit(1).withColumns({"category": F.lit("Meals")})
+    trips, cash = tmp_path / "trips.csv", tmp_path / "cash.csv"
+    trips.write_text("trip_id,start_date,end_date,trip_type,destination\nT1,2026-03-04,2026-03-09,Business,Oslo\nT1,2026-03-01,2026-03-05,Personal,Bern\n")
+    cash.write_text("tx_date,amount,override_category,is_loan,notes\n")
+    views = sync_sidecars(spark, ledger, str(trips), str(cash))
+    assert [(r.tx_date, r.trip_location) for r in views.master_ledger.collect()] == [(day, "Bern")]
+    stored = spark.createDataFrame([("T1", day, day, "Business", "Rome", None)], TRIPS)
+    again = sync_sidecars(spark, ledger, str(trips), str(cash), stored)
+    assert [r.destination for r in again.trips.collect()] == ["Bern"]
+
+
+def test_bad_cash_rows(spark, tmp_path):
+    cash = tmp_path / "cash.csv"
+    cash.write_text("tx_date,amount,override_category,is_loan,notes\n2026-01-02,5.00,,FALSE,x\nsoon,5.00,,FALSE,y\n2026-01-03,lots,,TRUE,z\n")
+    assert [r.notes for r in read_cash_log(spark, str(cash), strict=False).collect()] == ["x"]
+    with pytest.raises(Exception, match="unrecognized date|amount is not"):
+        read_cash_log(spark, str(cash)).collect()
+
+
+@pytest.mark.parametrize("inline", [300, 1])
+def test_rules_without_priority_or_with_bad_patterns(spark, inline):
+    rules = spark.createDataFrame(
+        [("SHOP", "keyword", 1, None), ("SHOP 7", "keyword", 2, 5), ("[", "regex", 3, 1), (None, "keyword", 3, 1), ("^S.*9$", "regex", 2, None)],
+        MERCHANT_MAP,
+    )
+    entities = spark.createDataFrame([(k, f"e{k}", "c") for k in (1, 2, 3)], ENTITIES)
+    texts = spark.createDataFrame([("SHOP 7",), ("SHOP 8",), ("SHOP 9",)], "raw_description string")
+    found = match_entities(texts, rules, entities, inline_rules=inline).collect()
+    assert {r.raw_description: r.entity_id for r in found} == {"SHOP 7": 2, "SHOP 8": 1, "SHOP 9": 2}
+    assert [r.pattern for r in invalid_rules(spark, rules).collect()] == ["["]
+
+
+def test_months_in_any_order(spark):
+    ledger = hot_ledger(spark, 300)
+    one, two = (reports.compare_months(ledger, m) for m in (["2026-02", "2026-03"], ["2026-03", "2026-02"]))
+    assert same(one, two) and one.count() > 0
