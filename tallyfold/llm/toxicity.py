@@ -31,7 +31,7 @@ SAMPLE = 12_000
 FEATURES = 4096
 BUCKETS = 1 << 20
 FOLDS = 4
-THRESHOLD = 0.5
+LEAST_THRESHOLD, MOST_THRESHOLD = 0.1, 0.5  # bounds of the threshold chosen in training
 
 _READ = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -45,10 +45,11 @@ def word_ids(text: str | None) -> np.ndarray:
 
 @dataclass
 class Chain:
-    """Feature ids, and per category the weights: features, earlier categories, constant."""
+    """Feature ids, per category the weights (features, earlier categories, constant), and the threshold."""
 
     features: np.ndarray
     weights: list[np.ndarray]
+    threshold: float = MOST_THRESHOLD
 
     def __post_init__(self):
         self._at = np.full(BUCKETS, -1, np.int32)
@@ -76,7 +77,7 @@ def _probabilities(rows: np.ndarray, flat: np.ndarray, earlier: np.ndarray, w: n
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit(rows, flat, earlier, target, size, ridge=1.0, steps=300) -> np.ndarray:
+def _fit(rows, flat, earlier, target, size, ridge=0.2, steps=200) -> np.ndarray:
     """Ridge logistic regression by gradient steps scaled per coordinate."""
     n, k = earlier.shape
     w = np.zeros(size + k + 1)
@@ -126,15 +127,25 @@ def fit_chain(texts: list[np.ndarray], toxic: np.ndarray) -> Chain:
     for name in CATEGORIES:
         target = targets[name]
         held_out = np.empty(len(texts))
-        for f in range(FOLDS if name != CATEGORIES[-1] else 0):
+        for f in range(FOLDS):
             inside, outside = fold != f, fold == f
             w = _fit(*_part(rows, flat, earlier, inside), target[inside], len(features))
             held_out[outside] = _probabilities(*_part(rows, flat, earlier, outside), w)
         chain.weights.append(_fit(rows, flat, earlier, target, len(features)))
         earlier = np.column_stack([earlier, held_out])
+    if len(texts):
+        chain.threshold = best_threshold(earlier[:, -1], toxic)
     return chain
 
 
+def best_threshold(held_out: np.ndarray, toxic: np.ndarray) -> float:
+    """The threshold with the best F1 on out-of-fold probabilities, within its bounds."""
+    steps = np.geomspace(LEAST_THRESHOLD, MOST_THRESHOLD, 33)[::-1]
+    found = [(held_out >= t) for t in steps]
+    f1 = [2 * (toxic * hit).sum() / max(toxic.sum() + hit.sum(), 1) for hit in found]
+    return float(steps[int(np.argmax(f1))])
+
+
 def _part(rows, flat, earlier, mask):
     renumbered = np.cumsum(mask) - 1
     use = mask[rows]
@@ -167,8 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     return fit_chain([np.frombuffer(r["words"], np.int32) for r in rows], np.array([r["toxic"] for r in rows], float))
 
 
-def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, chain: Chain, threshold: float | None = None) -> DataFrame:
     """Probability per category and the verdict `toxic`, for every document."""
+    threshold = chain.threshold if threshold is None else threshold
     model = docs.sparkSession.sparkContext.broadcast((chain.features, chain.weights))
     names = [f"p_{c}" for c in CATEGORIES]
     output = "doc_id long, " + ", ".join(f"{n} double" for n in names) + ", toxic boolean"
