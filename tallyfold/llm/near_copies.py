@@ -35,12 +35,13 @@ SHINGLE = 5
 PERCENT = 75  # 100 * intersection >= 75 * union
 TREES = 16
 TOKENS = 64  # minwise tokens per document, four levels of 16 trees, then others of the same
-SMALL = 1024  # members of a node compared exhaustively in one task
+SMALL = 2048  # members of a node compared exhaustively in one task
 # Equal tokens of 64 a link must show: a pair at the threshold has 48 on average, and fewer
 # than this five standard deviations below that.
 POSSIBLE = 30
 SLACK = 0.12  # error granted to estimated distances when members are left behind
 MANY = 200_000  # candidate pairs from which the likeliest of each document go first
+FEW_LINKS = 20_000  # links between classes that one task joins
 FEW = 2_000_000  # ids up to which they are sent to all tasks instead of moving the texts
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -347,11 +348,31 @@ def _settle(level: int):
     return run
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for x, y in zip(batch["cx"].to_pylist(), batch["cy"].to_pylist(), strict=True):
+            x, y = sorted((find(x), find(y)))
+            root[y] = x
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(list(map(find, nodes)), pa.int64())], ["node", "root"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """node and root (smallest node reachable), for links (cx, cy), by alternating star steps.
+    """node and root (smallest node reachable), for links (cx, cy) that have been written.
 
-    A step hangs neighbours below the smallest neighbour; neighbour lists are never gathered.
+    A few links are joined in one task. More are joined by alternating star steps: a step hangs
+    neighbours below the smallest neighbour, and neighbour lists are never gathered.
     """
+    if links.count() <= FEW_LINKS:
+        return staged(links.coalesce(1).mapInArrow(_joined, "node long, root long"), "roots")
     edges = links.select(F.greatest("cx", "cy").alias("u"), F.least("cx", "cy").alias("v")).where("u <> v").distinct()
     finished = False
     while not finished:

@@ -98,7 +98,7 @@ def variants(rng, base, n, edits, first):
     return out
 
 
-@pytest.mark.parametrize("small_node", [1024, 3])
+@pytest.mark.parametrize("small_node", [2048, 3])
 def test_near_copies_match_plain_version(spark, small, monkeypatch, small_node):
     """With nodes of three members at most compared in one task, the trees have to branch."""
     monkeypatch.setattr(near_copies, "SMALL", small_node)
@@ -113,8 +113,10 @@ def test_near_copies_match_plain_version(spark, small, monkeypatch, small_node):
     assert near_of(docs) == plain_components([tuple(r) for r in docs.collect()])
 
 
-def test_near_copies_of_a_chain(spark):
-    """Neighbours are linked, ends are not: one component all the same."""
+@pytest.mark.parametrize("few", [20_000, 0])
+def test_near_copies_of_a_chain(spark, monkeypatch, few):
+    """Neighbours are linked, ends are not: one component all the same, joined in one task or by star steps."""
+    monkeypatch.setattr(near_copies, "FEW_LINKS", few)
     words = [f"w{k}" for k in range(200)]
     rows = [(100 - k, " ".join(words[4 * k : 4 * k + 60])) for k in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
