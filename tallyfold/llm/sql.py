@@ -1,10 +1,12 @@
 """The SQL of the queries that SQL can express, for DuckDB on the same tables.
 
 Mixing depends on a hash of Spark's, packing on a tokenizer, sharding on a search, licences on a
-parser, quality on sketches in doubles and toxicity on a fitted model: those are tested in
-tests/llm against plain versions.
+parser and toxicity on a fitted model: those are tested in tests/llm against plain versions.
 """
 
+import math
+
+from tallyfold.llm.quality import ACCURACY, LEAST_DOCUMENTS, SIGNALS, SPREADS
 from tallyfold.llm.secret_scan import BASE, RULES
 
 ORACLE: dict[str, str] = {}
@@ -93,3 +95,61 @@ reached AS (
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, doc_id = min(y) AS kept
 FROM documents JOIN reached ON doc_id = x LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+_SIGNALS = ", ".join(
+    f"{{'signal': '{name}', 'x': CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)}}"
+    for name, (part, whole, _) in SIGNALS.items()
+)
+_GUARDS = " ".join(f"WHEN '{name}' THEN {least}" for name, (_, _, least) in SIGNALS.items())
+
+
+def _fence(keys: str) -> str:
+    """Fence and documents per group; `keys` ends in a comma, or is empty."""
+    return f"""
+  SELECT {keys} signal, min(v) FILTER (upto >= 0.75 * total) + {SPREADS}
+    * (min(v) FILTER (upto >= 0.75 * total) - min(v) FILTER (upto >= 0.25 * total)) AS fence, any_value(total) AS total
+  FROM (
+    SELECT *, sum(n) OVER (PARTITION BY {keys} signal ORDER BY bucket NULLS FIRST) AS upto,
+      sum(n) OVER (PARTITION BY {keys} signal) AS total, coalesce(pow({ACCURACY}, bucket + 0.5), 0) AS v
+    FROM (SELECT {keys} signal, bucket, count(*) AS n FROM marks GROUP BY ALL))
+  GROUP BY {keys} signal"""
+
+
+ORACLE["op9_quality"] = rf"""
+WITH read AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS lang, coalesce('=' || source, '') AS source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM (
+        SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS x
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM read)))
+    WHERE n > 1) GROUP BY doc_id),
+copies AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM read)
+  WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(copies.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+    CAST(len(string_split(t, chr(10))) AS BIGINT) AS n_lines
+  FROM read LEFT JOIN repeats USING (doc_id) LEFT JOIN copies USING (doc_id)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
+signals AS (SELECT doc_id, lang, source, n_words, unnest([{_SIGNALS}], recursive := true) FROM judged),
+marks AS (
+  SELECT lang, source, signal, CASE WHEN x > 0 THEN CAST(floor(ln(x) / {math.log(ACCURACY)!r}) AS BIGINT) END AS bucket
+  FROM signals WHERE n_words >= 20),
+own AS ({_fence("lang, source,")}),
+by_lang AS ({_fence("lang,")}),
+overall AS ({_fence("")}),
+fences AS (
+  SELECT own.lang, own.source, own.signal, greatest(CASE WHEN own.total >= {LEAST_DOCUMENTS} THEN own.fence
+    WHEN by_lang.total >= {LEAST_DOCUMENTS} THEN by_lang.fence ELSE overall.fence END, CASE own.signal {_GUARDS} END) AS fence
+  FROM own JOIN by_lang ON own.lang = by_lang.lang AND own.signal = by_lang.signal JOIN overall ON own.signal = overall.signal),
+above AS (
+  SELECT DISTINCT doc_id FROM signals JOIN fences USING (lang, source, signal) WHERE x > fence)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM above) AS kept FROM judged
+"""
