@@ -117,12 +117,17 @@ def first_nodes(active: DataFrame) -> DataFrame:
     """The first level of all trees: tree, node key and member, for nodes of two members or more."""
     chosen = F.slice("tokens", 1, TREES)
     rows = active.select("doc", F.posexplode(chosen).alias("tree", "token"))
-    return _shared(rows.select("tree", F.xxhash64("tree", "token").alias("key"), "doc"))
+    rows = rows.select("tree", F.xxhash64("tree", "token").alias("key"), "doc")
+    ends = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("first"), F.max("doc").alias("last"))
+    return rows.join(ends.where("size > 1"), "key")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return rows.join(sizes, "key")
+    """Nodes that hold members of several classes, with their first and last member by class."""
+    member = F.struct("class", "doc")
+    ends = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(member).alias("low"), F.max(member).alias("high"))
+    ends = ends.where("low.class <> high.class").select("key", "size", F.col("low.doc").alias("first"), F.col("high.doc").alias("last"))
+    return rows.drop("class").join(ends, "key")
 
 
 def _matches(x: str, y: str):
@@ -198,17 +203,12 @@ class Linker:
         self.labels = staged(moved.unionByName(added), "labels")
 
     def meet_ends(self, nodes: DataFrame) -> DataFrame:
-        """Members of nodes with the node's first and last member (by class) and the matches with each."""
-        member = F.struct("class", "doc")
-        ends = self.with_class(nodes, "doc", "class").groupBy("key").agg(
-            F.min(member)["doc"].alias("first"), F.max(member)["doc"].alias("last")
-        )
+        """Members of nodes with their matches with the node's first and last member."""
         tokens_of = lambda name: self.active.select(
             F.col("doc").alias(name), F.col("tokens").alias(f"t_{name}"), F.col("n").alias(f"n_{name}")
         )
-        met = nodes.join(ends, "key")
         compared = (
-            met.join(tokens_of("doc"), "doc").join(tokens_of("first"), "first").join(tokens_of("last"), "last")
+            nodes.join(tokens_of("doc"), "doc").join(tokens_of("first"), "first").join(tokens_of("last"), "last")
             .select(
                 "tree", "key", "size", "doc", "first", "last",
                 _matches("t_doc", "t_first").alias("m_first"), _matches("t_doc", "t_last").alias("m_last"),
@@ -409,10 +409,10 @@ def _left_to_do(compared: DataFrame, linker: Linker, level: int) -> DataFrame:
     for end in ("first", "last"):
         near = far(end) + 2 * SLACK < F.coalesce(F.col(f"gap_{end}"), F.lit(9.0)) - (1 - PERCENT / 100)
         settled = settled | (F.col("doc") == F.col(end)) | ((F.col("class") == F.col(f"c_{end}")) & near)
-    stay = rows.join(gaps, "key").where(~settled).select("tree", "key", "doc")
+    stay = rows.join(gaps, "key").where(~settled).select("tree", "key", "doc", "class")
     position = F.pmod(_position(F.col("tree"), level), F.lit(TOKENS)) + 1
     branched = stay.join(linker.active.select("doc", "tokens"), "doc").select(
-        "tree", F.xxhash64("key", F.element_at("tokens", position.cast("int"))).alias("key"), "doc"
+        "tree", F.xxhash64("key", F.element_at("tokens", position.cast("int"))).alias("key"), "doc", "class"
     )
     return _shared(branched)
 
@@ -422,13 +422,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     sets = staged(with_tokens(docs), "tokens")
     same = sets.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"))
-    classes = staged(
-        sets.where("n > 0").join(same, ["a", "b", "n"]).select("doc_id", "n", "first"), "classes"
-    )
-    ids = classes.where("doc_id = first").select(F.col("doc_id").alias("doc")).distinct()
-    nodes = staged(first_nodes(sets.join(ids, F.col("doc_id") == F.col("doc")).select("doc", "tokens").dropDuplicates(["doc"])), "nodes")
-    members = nodes.select("doc").distinct()
-    active = sets.where("n > 0").join(members, F.col("doc_id") == F.col("doc")).select("doc", "tokens", "n").dropDuplicates(["doc"])
+    marks = F.when(F.col("doc_id") == F.col("first"), F.col("tokens")).alias("tokens")
+    classes = staged(sets.where("n > 0").join(same, ["a", "b", "n"]).select("doc_id", "n", "first", marks), "classes")
+    first = classes.where("doc_id = first").select(F.col("doc_id").alias("doc"), "tokens", "n").dropDuplicates(["doc"])
+    nodes = staged(first_nodes(first), "nodes")
+    active = first.join(nodes.select("doc").distinct(), "doc", "left_semi")
     linker = Linker(spark, docs, staged(active, "active"))
     level = 0
     while not nodes.isEmpty():
@@ -438,7 +436,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         linker.link(_with_ends(compared if level == 1 else compared.where(F.col("size") > SMALL)))
         rest = staged(linker.undecided(compared), "undecided")
         linker.settle(rest.where(F.col("size") <= SMALL), level)
-        nodes = staged(linker.undecided(_left_to_do(rest.where(F.col("size") > SMALL), linker, level)), "nodes")
+        nodes = staged(_left_to_do(rest.where(F.col("size") > SMALL), linker, level), "nodes")
     found = classes.join(linker.labels, F.col("first") == F.col("doc"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "first").alias("component_id")
     )
