@@ -6,8 +6,13 @@ chosen there go to the same child node. The first and the last
 member of a node (by class) are compared with all its members. If it still holds several
 classes, a small node is compared exhaustively in one task, and a large one branches on by
 the next token; members that the comparison with the two has settled stay behind. Trees are repeated
-so that a pair at the threshold is missed less than once in a million times, and far less
-often above it.
+so that a pair at the threshold meets in the first level with all but a chance below 1e-9.
+
+Branching on would lose pairs that share much with thousands of others (a template), as each
+level parts them anew. So members of nodes that are large after the first level are compared
+by what is rare among them: a linked pair shares one of the rarest quarter of its shingles
+(prefix filter), unless all it shares stands in more than SMALL members. Only documents for
+which that is possible, and only in nodes where these common parts differ, branch on.
 
 Comparing means: signatures must leave the link possible, then sizes, then the full sets
 decide. Only links between different classes are looked for, so a group of thousands of
@@ -235,6 +240,46 @@ class Linker:
         whole = described(suspects).join(self._sets_of(suspects.select("doc")), "doc").select(*columns, "members")
         self._join_classes(staged(dealt(whole).mapInArrow(_settle(level), "cx long, cy long").distinct(), "links"))
 
+    def settle_large(self, nodes: DataFrame) -> DataFrame:
+        """Compare members of large nodes by rare shingles; the rows that may still hide a link.
+
+        A shingle is heavy if more than SMALL members have it. Pairs that share a lighter one
+        are compared where they share it. Others share heavy ones only: of members with equal
+        heavy parts, whoever is linked with another that way is linked with the smallest set.
+        """
+        docs = nodes.select("doc").distinct()
+        sets = self._sets_of(docs).join(docs, "doc", "left_semi")
+        each = sets.mapInArrow(_exploded, "doc long, shingle long")
+        often = staged(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "often")
+        heavy = often.where(F.col("df") > SMALL).select("shingle")
+        # Heavy ones are few: each stands in more than SMALL sets.
+        heavy = F.broadcast(heavy) if heavy.count() <= FEW else heavy
+        part = (
+            each.join(heavy, "shingle").groupBy("doc")
+            .agg(F.count("*").alias("n_heavy"), F.bit_xor(F.xxhash64("shingle")).alias("ha"), F.bit_xor(F.xxhash64("shingle", F.lit(1))).alias("hb"))
+        )
+        part = staged(docs.join(self.active.select("doc", "n"), "doc").join(part, "doc", "left").na.fill(0, ["n_heavy"]), "parts")
+        light = each.join(heavy, "shingle", "left_anti").join(often.where(F.col("df") <= SMALL), "shingle")
+        ordered = light.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("light"))
+        # Shingles that no other member has come first in the order, and need no list.
+        alone = F.col("n") - F.col("n_heavy") - F.size("light")
+        prefix = F.greatest(F.lit(0), F.floor(F.col("n") * (100 - PERCENT) / 100) + 1 - alone).cast("int")
+        lists = part.join(ordered, "doc").select("doc", F.explode(F.slice("light", F.lit(1), prefix)).alias("s"))
+        lists = staged(lists.select(F.col("s.shingle").alias("key"), "doc"), "lists")
+        # Of lists with the same members one is enough.
+        members = lists.groupBy("key").agg(
+            F.count("*").alias("k"), F.bit_xor(F.xxhash64("doc")).alias("a"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("b")
+        )
+        members = members.where("k > 1").groupBy("k", "a", "b").agg(F.min("key").alias("key")).select("key")
+        self.settle(staged(lists.join(members, "key").withColumn("tree", F.lit(0)), "light"), 1)
+        common = part.where(F.col("n_heavy") * 100 >= F.col("n") * PERCENT)
+        least = common.groupBy("ha", "hb").agg(F.min_by("doc", F.struct("n", "doc")).alias("y"))
+        alike = common.join(least, ["ha", "hb"]).where("doc <> y")
+        self.link(alike.select(F.col("doc").alias("x"), "y", F.lit(0).alias("matches")))
+        rest = self.undecided(nodes).join(common.select("doc", "ha", "hb"), "doc")
+        differ = rest.groupBy("key").agg(F.min(F.struct("ha", "hb")).alias("low"), F.max(F.struct("ha", "hb")).alias("high"))
+        return staged(rest.join(differ.where("low <> high").select("key"), "key", "left_semi").drop("ha", "hb"), "heavy")
+
     def undecided(self, nodes: DataFrame) -> DataFrame:
         """The rows of nodes whose members belong to several classes."""
         spread = self.with_class(nodes, "doc", "class").groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
@@ -258,6 +303,14 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch["members"]]
+        docs = np.repeat(batch["doc"].to_numpy(), [len(x) for x in found])
+        flat = np.concatenate([*found, np.empty(0, np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(flat)], ["doc", "shingle"])
+
+
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
@@ -436,7 +489,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
         linker.link(_with_ends(compared if level == 1 else compared.where(F.col("size") > SMALL)))
         rest = staged(linker.undecided(compared), "undecided")
         linker.settle(rest.where(F.col("size") <= SMALL), level)
-        nodes = staged(_left_to_do(rest.where(F.col("size") > SMALL), linker, level), "nodes")
+        large = rest.where(F.col("size") > SMALL)
+        if level == 1 and not large.isEmpty():
+            large = linker.settle_large(linker.undecided(large))
+        nodes = staged(_left_to_do(large, linker, level), "nodes")
     found = classes.join(linker.labels, F.col("first") == F.col("doc"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "first").alias("component_id")
     )

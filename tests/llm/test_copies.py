@@ -113,6 +113,22 @@ def test_near_copies_match_plain_version(spark, small, monkeypatch, small_node):
     assert near_of(docs) == plain_components([tuple(r) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("between", [0.6, 0.66, 0.7, 0.73])
+def test_near_copies_inside_a_template(spark, monkeypatch, between):
+    """Documents of one template are not linked with each other; the pairs planted among them are found."""
+    monkeypatch.setattr(near_copies, "SMALL", 30)
+    n = 400  # shingles; a template share of t in each set gives the similarity t / (2 - t)
+    shared, both = round(n * 2 * between / (1 + between)), round(n * 2 * 0.755 / 1.755)
+    template = [f"t{k}" for k in range(shared + 4)]
+    own = lambda name, k: [f"{name}x{j}" for j in range(k)]
+    rows = [(k, " ".join(template + own(k, n - shared))) for k in range(2400)]
+    for k in range(30):
+        pair = template + own(f"p{k}", both - shared)
+        rows += [(10_000 + 2 * k + side, " ".join(pair + own(f"q{k}s{side}", n - both))) for side in (0, 1)]
+    found = near_of(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found == {i: (n, i - i % 2 if i >= 10_000 else i) for i, _ in rows}
+
+
 @pytest.mark.parametrize("few", [20_000, 0])
 def test_near_copies_of_a_chain(spark, monkeypatch, few):
     """Neighbours are linked, ends are not: one component all the same, joined in one task or by star steps."""
