@@ -3,8 +3,10 @@
 Documents with equal texts are one atomic group; groups stand in order of their smallest
 doc_id. Binary search finds the smallest shard capacity for which cutting greedily needs no
 more than the given number of shards. The search runs on byte totals of id ranges, of which
-only those that may hold a cut are split further, down to single groups: what reaches the
-driver is a bounded number of totals, not the groups.
+only those that may hold a cut are split further, down to single groups. Groups larger than
+an even share are ranges of their own from the start, as the capacity hangs on them; of the
+others the largest are split first. What reaches the driver in a round is at most `ROWS`
+totals, not the groups.
 
 Defined cases: a null text counts as the empty one; groups whose smallest id is equal (ids
 that repeat) or missing stay together; missing ids come first; with fewer groups than shards
@@ -13,9 +15,11 @@ so names of other columns cannot clash.
 """
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +27,8 @@ from tallyfold.llm.common import bucketed_running, staged
 
 SHARDS = 16
 PARTS = 512  # parts a range of ids is split into at once
+ROWS = 1 << 16  # totals that one round collects at most
+MOST = 1 << 12  # ranges split in one round at most
 
 
 @dataclass
@@ -81,33 +87,66 @@ def _smallest(r: Ranges, shards: int, divisible: bool, low: int) -> int:
     return low
 
 
+def _totals(spans: list[tuple[int, int]], parts: int):
+    """Bytes, smallest and largest id per part of a span, of one task's groups."""
+    low, high = (np.array(x, np.int64) for x in zip(*spans, strict=True))
+    step = np.array([-(-(hi - lo + 1) // parts) for lo, hi in spans], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, size = (batch[c].to_numpy() for c in ("first", "bytes"))
+            span = np.searchsorted(low, first, side="right") - 1
+            inside = (span >= 0) & (first <= high[span])
+            first, size, span = first[inside], size[inside], span[inside]
+            if not len(first):
+                continue
+            # Differences of ids may need 64 bits without a sign.
+            part = ((first.view(np.uint64) - low[span].view(np.uint64)) // step[span]).astype(np.int64)
+            order = np.lexsort((first, part, span))
+            first, size, span, part = first[order], size[order], span[order], part[order]
+            at = np.flatnonzero(np.append(True, (span[1:] != span[:-1]) | (part[1:] != part[:-1])))
+            last = np.append(at[1:], len(first)) - 1
+            columns = [span[at], part[at], np.add.reduceat(size, at), first[at], first[last]]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["span", "part", "bytes", "low", "high"])
+
+    return run
+
+
 def _split(items: DataFrame, spans: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
-    """For each span of ids, the parts of it that hold groups: (low, high, bytes)."""
-    rows = [(k, str(lo), str(hi), str(-(-(hi - lo + 1) // PARTS))) for k, (lo, hi) in enumerate(spans)]
-    table = items.sparkSession.createDataFrame(rows, "span int, lo string, hi string, step string")
-    table = table.selectExpr("span", *[f"CAST({c} AS DECIMAL(20,0)) AS {c}" for c in ("lo", "hi", "step")])
-    wide = items.select(F.col("first").cast("decimal(20,0)").alias("first"), "bytes")
-    # As many spans as there are ranges that may hold a cut.
-    inside = wide.join(F.broadcast(table), F.col("first").between(F.col("lo"), F.col("hi")))
-    part = F.floor((F.col("first") - F.col("lo")) / F.col("step")).cast("long")
-    totals = inside.groupBy("span", part.alias("part")).agg(
-        F.sum("bytes").alias("bytes"), F.min("first").alias("low"), F.max("first").alias("high")
+    """For each span of ids, in order and apart, the parts of it that hold groups: (low, high, bytes)."""
+    parts = max(2, min(PARTS, ROWS // len(spans)))
+    each = items.selectExpr("CAST(first AS BIGINT) AS first", "CAST(bytes AS BIGINT) AS bytes").mapInArrow(
+        _totals(spans, parts), "span long, part long, bytes long, low long, high long"
     )
+    totals = each.groupBy("span", "part").agg(F.sum("bytes").alias("bytes"), F.min("low").alias("low"), F.max("high").alias("high"))
     found: list[list[tuple[int, int, int]]] = [[] for _ in spans]
     for row in totals.collect():
-        found[row["span"]].append((int(row["low"]), int(row["high"]), row["bytes"]))
+        found[row["span"]].append((row["low"], row["high"], row["bytes"]))
     return [sorted(parts) for parts in found]
 
 
+def _start(items: DataFrame, shards: int) -> list[tuple[int, int, int]]:
+    """Groups of more than an even share, of which there are fewer than shards, and the ids around them."""
+    ends = items.agg(F.min("first"), F.max("first"), F.sum("bytes")).first()
+    if ends[0] is None:
+        return []
+    large = items.where(F.col("bytes") * shards > F.lit(ends[2])).select("first", "bytes").collect()
+    parts, at = [], ends[0]
+    for first, size in sorted(map(tuple, large)):
+        parts += [(at, first - 1, 0)] * (at < first) + [(first, first, size)]
+        at = first + 1
+    return parts + [(at, ends[1], 0)] * (at <= ends[1])
+
+
 def minimax_cuts(items: DataFrame, shards: int = SHARDS) -> list[int]:
     """The first id of every shard but the first. `items`: `first` (id) and `bytes` per group."""
-    ends = items.agg(F.min("first"), F.max("first")).first()
-    if ends[0] is None:
+    parts = _start(items, shards)
+    if not parts:
         return []
-    parts: list[tuple[int, int, int]] = [(ends[0], ends[1], 0)]
-    undecided = [0]
+    # Ranges without a total yet; one id apart from large groups may be a range as well.
+    undecided = [k for k, part in enumerate(parts) if not part[2]]
     while True:
-        finer = dict(zip(undecided, _split(items, [parts[k][:2] for k in undecided]), strict=True))
+        finer = dict(zip(undecided, _split(items, [parts[k][:2] for k in undecided]) if undecided else [], strict=True))
         parts = [p for k, part in enumerate(parts) for p in finer.get(k, [part])]
         size = np.array([p[2] for p in parts], np.int64)
         r = Ranges(size, np.array([low == high for low, high, _ in parts]))
@@ -120,6 +159,8 @@ def minimax_cuts(items: DataFrame, shards: int = SHARDS) -> list[int]:
         undecided = sorted({k for a, b in spans for k in range(a, b + 1) if not r.single[k]})
         if floor == capacity or not undecided:
             return [parts[k][0] for k in _even_cuts(r, capacity, shards)]
+        # What is left open by the largest ranges weighs most.
+        undecided = sorted(sorted(undecided, key=lambda k: -parts[k][2])[:MOST])
 
 
 def _even_cuts(r: Ranges, capacity: int, shards: int) -> list[int]:

@@ -189,6 +189,29 @@ def test_cuts_by_refinement(spark, monkeypatch, parts):
     assert np.bincount(shard, sizes).max() == best_capacity(sizes.tolist(), 8)
 
 
+@pytest.mark.parametrize("place", [0, 10_000, 30_000, 59_999])
+def test_cuts_beside_a_large_group(spark, monkeypatch, place):
+    """A group of a third of the bytes does not send the other groups to the driver."""
+    monkeypatch.setattr(sharding, "PARTS", 64)
+    rng = np.random.default_rng(place)
+    sizes = rng.lognormal(3, 1, 60_000).astype(int) + 1
+    sizes[place] = sizes.sum() // 2
+    ids = np.sort(rng.choice(1 << 62, len(sizes), replace=False)) - (1 << 61)
+    items = spark.createDataFrame(list(zip(ids.tolist(), sizes.tolist(), strict=True)), "first long, bytes long").repartition(8).localCheckpoint()
+    collected, plain = [], sharding._split
+
+    def counted(*given):
+        found = plain(*given)
+        collected.append(sum(map(len, found)))
+        return found
+
+    monkeypatch.setattr(sharding, "_split", counted)
+    cuts = sharding.minimax_cuts(items, 16)
+    shard = np.searchsorted(cuts, ids, side="right")
+    assert np.bincount(shard, sizes).max() == best_capacity(sizes.tolist(), 16) == sizes[place]
+    assert sum(collected) < 6_000
+
+
 def plain_top(rows, k):
     usable = {}
     for i, v in rows:
