@@ -2,9 +2,10 @@
 
 Each source is shuffled by a hash and queued; a document's virtual finish time is its source's
 cumulative words divided by the source's weight. The entries of all sources are range-sorted
-by finish time, which interleaves them in proportion to the weights, and the order is cut
-where the budget is used up. The document a source has in service at the cut is taken up to
-the cut, so that every source meets its target to the word. A source may be queued a few
+by finish time, which interleaves them in proportion to the weights. The cut is taken per
+source, at its target: the budget fills all sources to one level of virtual time, computed
+from their sizes, and the sort gives the order only. The document a source has in service at
+the cut is taken up to the cut, so that every source meets its target to the word. A source may be queued a few
 times over (`repeats`); one that is used up leaves its share to the others.
 
 Defined cases: null and empty texts have size 0 and are never taken; null sources are one
