@@ -249,18 +249,14 @@ class Linker:
         """
         docs = nodes.select("doc").distinct()
         sets = self._sets_of(docs).join(docs, "doc", "left_semi")
-        each = sets.mapInArrow(_exploded, "doc long, shingle long")
-        often = staged(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "often")
-        heavy = often.where(F.col("df") > SMALL).select("shingle")
-        # Heavy ones are few: each stands in more than SMALL sets.
-        heavy = F.broadcast(heavy) if heavy.count() <= FEW else heavy
-        part = (
-            each.join(heavy, "shingle").groupBy("doc")
-            .agg(F.count("*").alias("n_heavy"), F.bit_xor(F.xxhash64("shingle")).alias("ha"), F.bit_xor(F.xxhash64("shingle", F.lit(1))).alias("hb"))
-        )
-        part = staged(docs.join(self.active.select("doc", "n"), "doc").join(part, "doc", "left").na.fill(0, ["n_heavy"]), "parts")
-        light = each.join(heavy, "shingle", "left_anti").join(often.where(F.col("df") <= SMALL), "shingle")
-        ordered = light.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("light"))
+        often = sets.mapInArrow(_exploded(None), "doc long, shingle long").groupBy("shingle").agg(F.count("*").alias("df"))
+        often = staged(often.where("df > 1"), "often")
+        # Each stands in more than SMALL sets, so there are few: at most one per SMALL words of the members.
+        heavy = often.where(F.col("df") > SMALL).select("shingle").toArrow()["shingle"].to_numpy()
+        shared = self.spark.sparkContext.broadcast(np.sort(heavy))
+        part = staged(sets.mapInArrow(_heavy_parts(shared), "doc long, n long, n_heavy long, ha long, hb long").dropDuplicates(["doc"]), "parts")
+        light = sets.mapInArrow(_exploded(shared), "doc long, shingle long").join(often.where(F.col("df") <= SMALL), "shingle")
+        ordered = light.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("df", "shingle"))).alias("light"))
         # Shingles that no other member has come first in the order, and need no list.
         alone = F.col("n") - F.col("n_heavy") - F.size("light")
         prefix = F.greatest(F.lit(0), F.floor(F.col("n") * (100 - PERCENT) / 100) + 1 - alone).cast("int")
@@ -303,12 +299,41 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch["members"]]
-        docs = np.repeat(batch["doc"].to_numpy(), [len(x) for x in found])
-        flat = np.concatenate([*found, np.empty(0, np.int64)])
-        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(flat)], ["doc", "shingle"])
+def _among(found: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(found), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, found), len(ordered) - 1)] == found
+
+
+def _exploded(heavy):
+    """One row per document and shingle that is not heavy."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch["members"]]
+            docs = np.repeat(batch["doc"].to_numpy(), [len(x) for x in found])
+            flat = np.concatenate([*found, np.empty(0, np.int64)])
+            if heavy is not None:
+                light = ~_among(flat, heavy.value)
+                docs, flat = docs[light], flat[light]
+            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(flat)], ["doc", "shingle"])
+
+    return run
+
+
+def _heavy_parts(heavy):
+    """Per document the number of its shingles and of its heavy ones, and a 128-bit hash of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch["members"]]
+            parts = [x[_among(x, heavy.value)].view(np.uint64) for x in found]
+            sums = [[x.sum(dtype=np.uint64) for x in parts], [_mixed(x ^ _STEP).sum(dtype=np.uint64) for x in parts]]
+            counts = [pa.array([len(x) for x in each], pa.int64()) for each in (found, parts)]
+            hashes = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in sums]
+            yield pa.RecordBatch.from_arrays([batch["doc"], *counts, *hashes], ["doc", "n", "n_heavy", "ha", "hb"])
+
+    return run
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
