@@ -5,7 +5,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import licenses, line_dedup, mixing, near_copies, packing, quality, secret_scan, sharding, topk, toxicity
+from tallyfold.llm import (
+    alignment,
+    licenses,
+    line_dedup,
+    mixing,
+    near_copies,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    spelling,
+    topk,
+    toxicity,
+)
 from tallyfold.llm.common import staged, table
 from tallyfold.llm.sql import ORACLE
 
@@ -86,6 +99,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.grouped(spelling.vocabulary(table(spark, folder, "documents")))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = alignment.aligned(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    scored = alignment.scored(found.select("doc_id", "n_a", "n_b", "n_groups", digest, "links"))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
@@ -97,4 +122,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op12_spelling": op12_spelling,
+    "op13_alignment": op13_alignment,
 }
