@@ -248,14 +248,14 @@ def cash_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spoiled_cash(spark: SparkSession, folder: str) -> DataFrame:
-    """A cash log entry per pending order; some dates and amounts cannot be read."""
+    """A cash log entry per pending order; some dates, amounts and loan flags cannot be read."""
     key = F.col("o_orderkey")
     pending = table(spark, folder, "orders").where(F.col("o_orderstatus") == "P")
     return pending.select(
         F.when(key % 5 == 0, "next week").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("tx_date"),
         F.when(key % 7 == 0, "much").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("amount"),
         F.lit(None).cast("string").alias("override_category"),
-        F.lit("FALSE").alias("is_loan"),
+        F.when(key % 11 == 0, "maybe").when(key % 13 != 0, "FALSE").alias("is_loan"),
         F.concat(F.lit("entry "), key.cast("string")).alias("notes"),
     )
 

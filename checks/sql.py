@@ -572,8 +572,9 @@ FROM trips
 """
 ORACLE["cash_rejects"] = """
 SELECT 'entry ' || o_orderkey AS notes,
-  CASE WHEN o_orderkey % 5 = 0 THEN 'unrecognized date' ELSE 'amount is not a number' END AS reason
-FROM orders WHERE o_orderstatus = 'P' AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)
+  CASE WHEN o_orderkey % 5 = 0 THEN 'unrecognized date' WHEN o_orderkey % 7 = 0 THEN 'amount is not a number'
+    ELSE 'loan flag is not true or false' END AS reason
+FROM orders WHERE o_orderstatus = 'P' AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0)
 """
 ORACLE["file_preview"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey

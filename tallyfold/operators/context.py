@@ -43,7 +43,8 @@ def _with_trips(ledger: DataFrame, trips: DataFrame, mode: str, on_overlap: str)
         eligible = trip_eligible(fact("category"), fact("sub_category"))
         return (fact("transaction_date") == trip("trip_day")) & eligible
 
-    return dimension_join(ledger, trip_days(trips, on_overlap), condition, "transaction_id", "left", small)
+    days = trip_days(trips, on_overlap)
+    return dimension_join(ledger, days, condition, "transaction_id", "left", small, {"transaction_date": "trip_day"})
 
 
 def ledger_with_trips(
@@ -80,7 +81,8 @@ def match_cash(ledger: DataFrame, cash: DataFrame, small: bool | None = None) ->
         "is_loan",
         F.col("notes").alias("cash_notes"),
     )
-    joined = dimension_join(ledger, entries, _cash_condition, "transaction_id", "left", small)
+    keys = {"transaction_date": "cash_day", "amount": "cash_amount"}
+    joined = dimension_join(ledger, entries, _cash_condition, "transaction_id", "left", small, keys)
     return joined.select(
         *[F.col(f"facts.{name}") for name in ledger.columns], "override_category", "is_loan", "cash_notes"
     )

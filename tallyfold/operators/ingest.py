@@ -75,9 +75,9 @@ def with_account(
     given = F.coalesce("sign_rule", rule) if "sign_rule" in accounts.columns else rule
     dim = accounts.select("file_name", "account_name", "account_type", given.alias("sign_rule"))
     joined = dimension_join(
-        rows,
+        rows.withColumn("_base", base_name(F.col("file"))),
         dim,
-        lambda row, account: base_name(row("file")) == account("file_name"),
+        lambda row, account: row("_base") == account("file_name"),
         spread,
         how,
         small,

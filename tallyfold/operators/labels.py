@@ -30,7 +30,8 @@ def apply_mapping(ledger: DataFrame, mapping: DataFrame, small: bool | None = No
     def condition(fact, entry):
         return (fact("raw_description") == entry("raw_description")) & (fact("merchant_name") == UNKNOWN)
 
-    joined = dimension_join(ledger, latest_mapping(mapping), condition, "transaction_id", "left", small)
+    keys = {"raw_description": "raw_description"}
+    joined = dimension_join(ledger, latest_mapping(mapping), condition, "transaction_id", "left", small, keys)
     mapped = F.col("dim.raw_description").isNotNull()
     patched = {
         name: F.when(mapped, F.coalesce(F.col(f"dim.{source}"), F.lit(default))).otherwise(F.col(f"facts.{name}"))

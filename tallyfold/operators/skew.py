@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -18,6 +17,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return rows <= max_rows and size <= max_bytes
 
 
+def heavy_keys(facts: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """Keys that hold more than half of a task's even share of all rows: _k0, _k1, ..., _pieces.
+
+    Rows are counted where they lie. As each such key holds more than 1 / (2 * parts) of the
+    rows, there are fewer than 2 * parts of them, whatever the data. `_pieces` is the number of
+    tasks that a key's share is worth, taken four times so that they fall evenly.
+    """
+    named = facts.select(*[F.col(name).alias(f"_k{at}") for at, name in enumerate(keys)]).dropna()
+    counts = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total")).scalar()
+    share = F.col("_n") * parts / total
+    return counts.where(share * 2 > 1).select(*named.columns, F.ceil(share * 4).cast("int").alias("_pieces"))
+
+
 def dimension_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -25,14 +38,16 @@ def dimension_join(
     spread: str,
     how: str = "left",
     small: bool | None = None,
-    salts: int = SALTS,
+    keys: dict[str, str] | None = None,
 ) -> DataFrame:
     """Join a large side with a lookup side that may or may not be small.
 
-    `condition(facts, dim)` gives the join condition. A lookup side measured to be small is
-    broadcast, so the facts do not move. Otherwise both sides are shuffled, with each fact
-    key spread over `salts` tasks (by a hash of the column `spread`) and the lookup rows
-    repeated once per salt, so a hot key is never one task's job. Results are the same.
+    `condition(facts, dim)` gives the join condition; `keys` the columns of the facts that it
+    sets equal to columns of the lookup side, where it is more than one equality. A lookup side
+    measured to be small is broadcast, so the facts do not move. Otherwise both sides are
+    shuffled. Facts of a heavy key are spread over as many tasks as the key's share of all
+    facts asks for (by a hash of the column `spread`), and only the lookup rows of such keys
+    are repeated; all others are sent once. Results are the same.
     """
     if small is None:
         small = fits_broadcast(dim)
@@ -40,12 +55,42 @@ def dimension_join(
         right = dim.alias("dim")
         left = facts.alias("facts")
         return left.join(F.broadcast(right), condition(_of("facts"), _of("dim")), how)
-    left = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts))).alias("facts")
-    right = dim.withColumn("_salt_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("dim")
+    keys = keys or _equal_columns(condition)
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Fewer rows than twice the tasks of a shuffle.
+    heavy = F.broadcast(heavy_keys(facts, list(keys), parts))
+
+    def marked(side: DataFrame, names: list[str]) -> DataFrame:
+        same = [F.col(f"side.{name}") == F.col(f"heavy._k{at}") for at, name in enumerate(names)]
+        joined = side.alias("side").join(heavy.alias("heavy"), same, "left")
+        return joined.select("side.*", F.coalesce("_pieces", F.lit(1)).alias("_pieces"))
+
+    salt = F.pmod(F.xxhash64(spread), F.col("_pieces"))
+    left = marked(facts, list(keys)).withColumn("_salt", salt).drop("_pieces").alias("facts")
+    copies = F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))
+    right = marked(dim, list(keys.values())).withColumn("_salt_copy", copies).drop("_pieces").alias("dim")
     on = condition(_of("facts"), _of("dim")) & (F.col("facts._salt") == F.col("dim._salt_copy"))
     return left.join(right.hint("merge"), on, how).drop("_salt", "_salt_copy")
 
 
+def _equal_columns(condition) -> dict[str, str]:
+    """The two columns of a condition that is one equality."""
+    asked: dict[str, list[str]] = {"facts": [], "dim": []}
+
+    def asking(side: str):
+        def column(name: str):
+            asked[side].append(name)
+            return F.col(f"{side}.{name}")
+
+        return column
+
+    given = condition(asking("facts"), asking("dim"))
+    (fact,), (dim,) = (names if len(names) == 1 else [""] for names in asked.values())
+    if str(given) != str(F.col(f"facts.{fact}") == F.col(f"dim.{dim}")):
+        raise ValueError("give the keys of a condition that is more than one equality of columns")
+    return {fact: dim}
+
+
 def _of(side: str):
     return lambda name: F.col(f"{side}.{name}")
 

@@ -1,20 +1,22 @@
 """Keeping keyed tables: insert-if-absent, upserts, replacement and deletion.
 
 Each operator is a pure function from the present state and a batch to the next state.
-The writers below them apply the same functions to Parquet tables partitioned by month.
+The writers below them apply the same functions to stored tables, partitioned by month and
+kept in versions (see versions.py): a change is seen as a whole or not at all.
 """
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tallyfold.functions.columns import month_of
+from tallyfold.operators import versions
 from tallyfold.operators.skew import first_by
 from tallyfold.schemas import LABELS, LEDGER
-from tallyfold.session import scratch_path
+from tallyfold.session import Scratch
 
 KEY = "transaction_id"
 
@@ -83,13 +85,24 @@ _SCHEMA = "_schema"  # an empty file with the table's columns; readers of the ta
 def _stamped(df: DataFrame, date: str) -> DataFrame:
     """Range-partitioned by month, so a busy month is spread over several tasks and a quiet one
     does not become many small files."""
-    return df.withColumn("month", F.coalesce(month_of(date), F.lit("none"))).repartitionByRange("month", KEY)
+    order = ["month", *[name for name in (KEY,) if name in df.columns]]
+    return df.withColumn("month", _month(date)).repartitionByRange(*order)
+
+
+def _month(date: str) -> Column:
+    return F.coalesce(month_of(date), F.lit("none"))
 
 
 def create_monthly(spark: SparkSession, path: str, schema: StructType = LEDGER) -> None:
     """Make an empty stored table; one that is there already is left as it is."""
-    if not _exists(spark, f"{path}/{_SCHEMA}"):
-        spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/{_SCHEMA}")
+    if versions.exists(spark, f"{path}/{_SCHEMA}"):
+        return
+    beside = f"{path}/{_SCHEMA}-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(beside)
+    try:
+        versions.rename_new(spark, beside, f"{path}/{_SCHEMA}")
+    except versions.Conflict:
+        pass  # another one made it meanwhile
 
 
 def stored_schema(spark: SparkSession, path: str) -> StructType:
@@ -108,7 +121,8 @@ def _checked(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
 
 def append_monthly(spark: SparkSession, path: str, df: DataFrame, date: str = "transaction_date") -> None:
     """Add rows to a stored table as they are."""
-    _stamped(_checked(spark, path, df), date).write.mode("append").partitionBy("month").parquet(path)
+    run = versions.write_run(spark, path, _stamped(_checked(spark, path, df), date), KEY)
+    versions.change(spark, path, lambda base: (run, set()) if run else None)
 
 
 def read_monthly(
@@ -118,12 +132,27 @@ def read_monthly(
     since: str | None = None,
     until: str | None = None,
 ) -> DataFrame:
-    """The stored table, or only some months of it (pruned before anything is read).
+    """The stored table as of its present version, or only some months of it (pruned before anything is read).
 
     `since` and `until` are ISO dates. They pick the rows, and the months that can hold them.
     """
-    stored = StructType([*stored_schema(spark, path).fields, StructField("month", StringType())])
-    table = spark.read.schema(stored).parquet(path)
+    return _read(spark, path, versions.current(spark, path), months, since, until)
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    version: versions.Version,
+    months: list[str] | None = None,
+    since: str | None = None,
+    until: str | None = None,
+) -> DataFrame:
+    wanted = [
+        m
+        for m in version.months
+        if (months is None or m in months) and (since is None or m >= since[:7]) and (until is None or m <= until[:7])
+    ]
+    table = versions.read_runs(spark, path, stored_schema(spark, path), version.folders(wanted))
     if months is not None:
         table = table.where(F.col("month").isin(months))
     if since is not None:
@@ -134,42 +163,50 @@ def read_monthly(
 
 
 def stored_months(spark: SparkSession, path: str, last: int | None = None) -> list[str]:
-    """Months of a stored table, newest first, from its folders alone."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    months = sorted((n.removeprefix("month=") for n in names if n.startswith("month=")), reverse=True)
+    """Months of a stored table, newest first, from its version alone."""
+    months = sorted(versions.current(spark, path).months, reverse=True)
     return [m for m in months if m != "none"][:last]
 
 
 def months_in(df: DataFrame, date: str = "transaction_date") -> list[str]:
     """Distinct months of a frame. The calendar bounds the list, whatever the row count."""
-    found = df.select(F.coalesce(month_of(date), F.lit("none")).alias("month")).distinct().collect()
+    found = df.select(_month(date).alias("month")).distinct().collect()
     return sorted(row.month for row in found)
 
 
-def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+def _kept(spark: SparkSession, df: DataFrame) -> Scratch:
     """The frame written below the shared folder: a lazy batch is worked out once, not at every use."""
-    path = scratch_path(spark, "batch")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(spark, df, "batch")
 
 
 def append_absent(spark: SparkSession, path: str, batch: DataFrame, order: Iterable[str]) -> None:
     """Insert-if-absent into a stored table. Running it again adds nothing.
 
-    The key covers the date text, so equal keys share a month: only months that occur in the
-    batch are read for the comparison. Columns that serve `order` only need not be stored.
+    The key covers the date text, so equal keys share a month. The batch's keys are probed
+    against the filters of its months; keys are read again only from the runs that may hold
+    one of them. Columns that serve `order` only need not be stored.
     """
-    batch = _kept(spark, batch)
-    stored = read_monthly(spark, path, months_in(batch))
-    append_monthly(spark, path, new_rows(stored, batch, order=order))
+    order = list(order)
+    with _kept(spark, batch) as batch:
+        keys = batch.select(KEY, _month("transaction_date").alias("month"))
+
+        def step(base: versions.Version):
+            maybe = versions.may_hold(spark, path, base, keys, KEY)
+            # At most one row per run and month, as in the version's file.
+            places = [f"run={r.run}/month={r.month}" for r in maybe.select("run", "month").distinct().collect()]
+            stored = versions.read_runs(spark, path, stored_schema(spark, path), sorted(places)).drop("month")
+            fresh = new_rows(stored, batch, order=order)
+            run = versions.write_run(spark, path, _stamped(_checked(spark, path, fresh), "transaction_date"), KEY)
+            return (run, set()) if run else None
+
+        versions.change(spark, path, step)
 
 
 def rewrite_labels(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Upsert labels in a stored ledger; only months of the batch are rewritten."""
-    batch = _kept(spark, batch)
-    months = months_in(batch)
-    _replace_months(spark, path, upsert_labels(read_monthly(spark, path, months), batch), months)
+    with _kept(spark, batch) as batch:
+        months = months_in(batch)
+        _replace_months(spark, path, lambda base: (upsert_labels(_read(spark, path, base, months), batch), months))
 
 
 def delete_rows(
@@ -183,27 +220,28 @@ def delete_rows(
         predicate = predicate & (F.col("transaction_date") >= F.lit(since).cast("date"))
     if until is not None:
         predicate = predicate & (F.col("transaction_date") <= F.lit(until).cast("date"))
-    touched = months_in(read_monthly(spark, path, None, since, until).where(predicate))
-    if touched:
-        _replace_months(spark, path, delete_where(read_monthly(spark, path, touched), predicate), touched)
 
+    def left(base: versions.Version):
+        touched = months_in(_read(spark, path, base, None, since, until).where(predicate))
+        return delete_where(_read(spark, path, base, touched), predicate), touched
 
-def _replace_months(spark: SparkSession, path: str, df: DataFrame, months: list[str]) -> None:
-    """Put new versions of some months in the place of the old ones.
+    _replace_months(spark, path, left)
 
-    The new version is written whole beside the table first. Then each month is swapped by
-    renaming. A run that dies while writing leaves the table as it was; one that dies while
-    swapping leaves every month whole, either old or new, and can be run again.
+
+def _replace_months(spark: SparkSession, path: str, make: Callable[[versions.Version], tuple[DataFrame, list[str]]]) -> None:
+    """Put new versions of some months in the place of the old ones, all of them by one commit.
+
+    `make` gives the new rows and the months they replace, from the version they are made of. A
+    run that dies leaves the table as it was or as it was to become, and can be run again.
     """
-    beside = f"{path}/_next-{uuid.uuid4().hex}"
-    _stamped(_checked(spark, path, df), "transaction_date").write.partitionBy("month").parquet(beside)
-    for month in months:
-        old, new, gone = f"{path}/month={month}", f"{beside}/month={month}", f"{beside}/_old-{month}"
-        if _exists(spark, old):
-            _rename(spark, old, gone)
-        if _exists(spark, new):
-            _rename(spark, new, old)
-    _remove(spark, beside)
+
+    def step(base: versions.Version):
+        rows, months = make(base)
+        if not months:
+            return None
+        return versions.write_run(spark, path, _stamped(_checked(spark, path, rows), "transaction_date"), KEY), set(months)
+
+    versions.change(spark, path, step)
 
 
 def truncate_all(spark: SparkSession, tables: Iterable[str]) -> list[str]:
@@ -219,24 +257,3 @@ def truncate_all(spark: SparkSession, tables: Iterable[str]) -> list[str]:
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
-
-
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    return hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    system, at = _file_system(spark, path)
-    return system.exists(at(path))
-
-
-def _rename(spark: SparkSession, path: str, to: str) -> None:
-    system, at = _file_system(spark, path)
-    if not system.rename(at(path), at(to)):
-        raise OSError(f"could not rename {path} to {to}")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    system, at = _file_system(spark, path)
-    system.delete(at(path), True)

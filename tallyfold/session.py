@@ -1,9 +1,12 @@
 """Session settings and the shared working folder."""
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The method limit is the size up to which the JVM compiles a method to machine code. The
 # labelling CASE with the operators around it can pass it; such a stage is better run as
@@ -54,6 +57,48 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_own = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path below the shared folder, or below that of `scratch_within`."""
+    return f"{getattr(_own, 'folder', None) or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_within(spark: SparkSession, name: str) -> Iterator[str]:
+    """Let all scratch data of this thread lie in one folder that is emptied first and goes at the end.
+
+    A run that is repeated under the same name after it died replaces what it left behind.
+    """
+    folder, before = f"{shared_folder(spark)}/{name}", getattr(_own, "folder", None)
+    remove_folder(spark, folder)
+    _own.folder = folder
+    try:
+        yield folder
+    finally:
+        _own.folder = before
+        remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """A frame written below the shared folder, for as long as a `with` block lasts.
+
+    A lazy frame is worked out once, not at every use, and what was written goes when the
+    block ends, also by a failure.
+    """
+
+    def __init__(self, spark: SparkSession, df: DataFrame, label: str):
+        self.spark, self.df, self.path = spark, df, scratch_path(spark, label)
+
+    def __enter__(self) -> DataFrame:
+        self.df.write.parquet(self.path)
+        return self.spark.read.schema(self.df.schema).parquet(self.path)
+
+    def __exit__(self, *_) -> None:
+        remove_folder(self.spark, self.path)

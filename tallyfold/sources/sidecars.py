@@ -10,6 +10,7 @@ from tallyfold.schemas import CASH_LOG, MONEY, TRIPS
 PLACE = "_place"  # order of the rows in a sidecar file
 NO_DATE = "unrecognized date"
 NOT_A_NUMBER = "amount is not a number"
+NOT_A_FLAG = "loan flag is not true or false"
 
 
 def _read_texts(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -20,9 +21,9 @@ def _read_texts(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return texts.withColumn(PLACE, F.monotonically_increasing_id())
 
 
-def _required(value: Column, text: str, reason: str = NO_DATE) -> Column:
+def _required(value: Column, text: str, reason: str = NO_DATE, bad: Column | None = None) -> Column:
     message = F.concat(F.lit(f"{reason}: "), F.coalesce(F.col(text), F.lit("(none)")))
-    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.when(value.isNull() if bad is None else bad, F.raise_error(message)).otherwise(value)
 
 
 def _placed(texts: DataFrame) -> list[str]:
@@ -53,27 +54,38 @@ def _cash_amount() -> Column:
     return F.col("amount").try_cast(MONEY)
 
 
+def _cash_flag() -> Column:
+    return F.trim("is_loan").try_cast("boolean")
+
+
+def _bad_flag() -> Column:
+    """A flag that is given, but neither true nor false; none given is no loan."""
+    return F.coalesce((F.trim("is_loan") != "") & _cash_flag().isNull(), F.lit(False))
+
+
 def parse_cash(texts: DataFrame, strict: bool = True) -> DataFrame:
     """Typed cash log; dates may be written in mixed layouts, month first.
 
-    A date or an amount that cannot be read is an error. With `strict=False` such rows are
-    left out; `cash_rejects` gives them with the reason.
+    A date, an amount or a loan flag that cannot be read is an error. With `strict=False` such
+    rows are left out; `cash_rejects` gives them with the reason.
     """
-    day, amount = _cash_date(), _cash_amount()
+    day, amount, flag = _cash_date(), _cash_amount(), _cash_flag()
     if not strict:
-        texts = texts.where(day.isNotNull() & amount.isNotNull())
+        texts = texts.where(day.isNotNull() & amount.isNotNull() & ~_bad_flag())
     return texts.select(
         (_required(day, "tx_date") if strict else day).alias("tx_date"),
         (_required(amount, "amount", NOT_A_NUMBER) if strict else amount).alias("amount"),
         "override_category",
-        F.trim("is_loan").try_cast("boolean").alias("is_loan"),
+        (_required(flag, "is_loan", NOT_A_FLAG, _bad_flag()) if strict else flag).alias("is_loan"),
         "notes",
     )
 
 
 def cash_rejects(texts: DataFrame) -> DataFrame:
     """Cash rows that cannot be read, as they are, with a `reason`."""
-    reason = F.when(_cash_date().isNull(), NO_DATE).when(_cash_amount().isNull(), NOT_A_NUMBER)
+    reason = (
+        F.when(_cash_date().isNull(), NO_DATE).when(_cash_amount().isNull(), NOT_A_NUMBER).when(_bad_flag(), NOT_A_FLAG)
+    )
     return texts.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 

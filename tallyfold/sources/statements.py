@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.columns import as_column, computed_once
 from tallyfold.operators.skew import dimension_join, fits_broadcast
+from tallyfold.sources.records import records
 from tallyfold.session import scratch_path
 
 # Header names that mark a column's role.
@@ -25,7 +26,6 @@ NO_AMOUNT = "amount column not mapped"
 TOO_WIDE = "more cells than the header"
 EMPTY = "empty file"
 NO_ACCOUNT = "no account for the file"
-RECORD_CELLS = 64
 _BLANKS = " \t\n\r\f\v\u00a0"
 
 # One cell after its comma: quoted (doubled quotes inside) or plain.
@@ -66,38 +66,28 @@ def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.createDataFrame([(uri,) for uri in found], "uri string").select(on_disk("uri").alias("file"))
 
 
+def empty_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Files without a byte, from the listing alone: a scan passes them over."""
+    scanned = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    path = F.regexp_replace("path", "^file:/+", "file:///").alias("file")
+    return list_files(spark, paths).join(scanned.select(path), "file", "left_anti")
+
+
 def read_statement_lines(spark: SparkSession, paths: str | list[str], multiline: bool = False) -> DataFrame:
     """All lines as (file, block, pos, line), read now and kept below the shared folder.
 
     `pos` goes up by one per line inside a block (file split); blocks are ordered by offset.
     Together with the file they give every line a place, which stays as it is. With
-    `multiline`, a quoted cell may hold line breaks and a `line` is a whole record; such files
-    cannot be split, so leave it off where it is not needed.
+    `multiline`, a quoted cell may hold line breaks and a `line` is a whole record; files are
+    split all the same, at the price of a shuffle of their lines.
     """
     if multiline:
-        return kept(spark, _read_records(spark, paths))
+        # Split at line feeds only, so that a carriage return inside a cell is kept.
+        text = spark.read.text(paths, recursiveFileLookup=True, lineSep="\n")
+        return kept(spark, records(kept(spark, placed(text, F.col("value")))))
     return kept(spark, placed(spark.read.text(paths, recursiveFileLookup=True), F.col("value")))
 
 
-def _read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Records that may span lines, written out again as one line each with all cells quoted."""
-    names = [f"c{at}" for at in range(RECORD_CELLS)]
-    schema = ", ".join(f"{name} string" for name in [*names, "_whole"])
-    table = spark.read.schema(schema).csv(
-        paths,
-        multiLine=True,
-        escape='"',
-        columnNameOfCorruptRecord="_whole",
-        recursiveFileLookup=True,
-    )
-    record = f"""
-      aggregate(array({", ".join(names)}), named_struct('n', 0, 'last', 0),
-        (at, cell) -> named_struct('n', at.n + 1, 'last', IF(cell IS NULL, at.last, at.n + 1)),
-        at -> concat_ws(',', transform(slice(array({", ".join(names)}), 1, at.last),
-          cell -> concat('"', replace(coalesce(cell, ''), '"', '""'), '"'))))"""
-    return placed(table, F.coalesce(F.col("_whole"), F.expr(record)))
-
-
 def split_cells(line: Column | str) -> Column:
     """CSV cells of one line as an array, any width: empty cells are NULL, quotes undone.
 
@@ -241,7 +231,7 @@ def _body(lines: DataFrame, columns: DataFrame, small: bool | None) -> DataFrame
         behind = (line("block") > 0) | (line("pos") > head("header_pos"))
         return (line("file") == head("file")) & behind
 
-    joined = dimension_join(lines.where(F.trim("line") != ""), usable, condition, "pos", "inner", small)
+    joined = dimension_join(lines.where(F.trim("line") != ""), usable, condition, "pos", "inner", small, {"file": "file"})
     kept = joined.select(
         *[F.col(f"facts.{name}") for name in ("file", "block", "pos", "line")],
         *usable.columns[2:],
