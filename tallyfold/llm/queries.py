@@ -11,6 +11,7 @@ from tallyfold.llm import (
     line_dedup,
     mixing,
     near_copies,
+    ngram_join,
     packing,
     quality,
     secret_scan,
@@ -99,6 +100,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.linked_components(table(spark, folder, "documents"))
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.grouped(spelling.vocabulary(table(spark, folder, "documents")))
 
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_ngram_join": op11_ngram_join,
     "op12_spelling": op12_spelling,
     "op13_alignment": op13_alignment,
 }

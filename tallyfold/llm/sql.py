@@ -1,7 +1,8 @@
 """The SQL of the queries that SQL can express, for DuckDB on the same tables.
 
-Mixing depends on a hash of Spark's, packing on a tokenizer, sharding on a search, licences on a
-parser and toxicity on a fitted model: those are tested in tests/llm against plain versions.
+Mixing depends on a hash of Spark's, packing and alignment on tokenizers, sharding on a search,
+licences on a parser, spelling variants on CRC-32 and toxicity on a fitted model: those are
+tested in tests/llm against plain versions.
 """
 
 import math
@@ -73,29 +74,35 @@ SELECT doc_id, CASE WHEN l IS NOT NULL THEN coalesce(text, '') END AS text,
 FROM split LEFT JOIN joined USING (doc_id)
 """
 
-ORACLE["op7_near_copies"] = r"""
+def _components(width: int, percent: int, kept: str = "") -> str:
+    """Size of each document's set of shingles, and the smallest doc_id reachable by links."""
+    return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
-  FROM (SELECT *, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM words WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least({width}, len(w)) - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - least({width}, len(w)) + 2)) AS i FROM words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 met AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
   FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (
   SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-  WHERE 100 * met.n >= 75 * (p.n + q.n - met.n)),
+  WHERE 100 * met.n >= {percent} * (p.n + q.n - met.n)),
 edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reached AS (
   SELECT doc_id AS x, doc_id AS y FROM documents
   UNION SELECT reached.x, edges.y FROM reached JOIN edges ON reached.y = edges.x)
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id, doc_id = min(y) AS kept
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id{kept}
 FROM documents JOIN reached ON doc_id = x LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+
+ORACLE["op7_near_copies"] = _components(5, 75, ", doc_id = min(y) AS kept")
+ORACLE["op11_ngram_join"] = _components(4, 85)
+
 _SIGNALS = ", ".join(
     f"{{'signal': '{name}', 'x': CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)}}"
     for name, (part, whole, _) in SIGNALS.items()
@@ -118,7 +125,8 @@ def _fence(keys: str) -> str:
 ORACLE["op9_quality"] = rf"""
 WITH read AS (
   SELECT doc_id, coalesce('=' || lang, '') AS lang, coalesce('=' || source, '') AS source, coalesce(text, '') AS t,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 repeats AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (
     SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (
@@ -128,7 +136,8 @@ repeats AS (
     WHERE n > 1) GROUP BY doc_id),
 copies AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM read)
-  WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+  WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id),
 counts AS (
   SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
