@@ -20,6 +20,7 @@ from tallyfold.schemas import (
     TRANSFER,
     VARIABLE_CATEGORIES,
 )
+from tallyfold.session import kept
 
 
 def _count() -> Column:
@@ -240,6 +241,8 @@ def running_balance(ledger: DataFrame, account: str | None = None, id_prefix: in
     One account may hold most of the rows, even on one day, so no task sorts a whole account.
     Rows are cut into slots by account, day and leading letters of the id, in that order. The
     slot totals give each slot's opening balance, and only rows of one slot meet in a task.
+    The ledger is read once: the columns needed are kept below the shared folder, from where
+    both the totals and the rows are taken.
     """
     rows = ledger if account is None else ledger.where(F.col("account_name") == account)
     rows = rows.select(
@@ -252,6 +255,7 @@ def running_balance(ledger: DataFrame, account: str | None = None, id_prefix: in
         F.coalesce("transaction_date", F.lit("9999-12-31").cast("date")).alias("_day"),
         F.coalesce(F.substring("transaction_id", 1, id_prefix), F.lit("")).alias("_slot"),
     )
+    rows = kept(ledger.sparkSession, rows, "balances")
     in_slot = W.partitionBy(*_SLOT).orderBy("transaction_id").rowsBetween(W.unboundedPreceding, W.currentRow)
     balance = F.col("_before") + F.sum("amount").over(in_slot)
     return rows.join(_opening_balances(rows), _SLOT).select(

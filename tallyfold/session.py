@@ -86,6 +86,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def kept(spark: SparkSession, df: DataFrame, label: str = "lines") -> DataFrame:
+    """The frame written below the shared folder and read back.
+
+    It is worked out once for all who read it. Positions count from where a scan starts, and
+    each scan plans its own splits; written once, they are the same for everybody.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Scratch:
     """A frame written below the shared folder, for as long as a `with` block lasts.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.columns import as_column, computed_once
 from tallyfold.operators.skew import dimension_join, fits_broadcast
 from tallyfold.sources.records import records
-from tallyfold.session import scratch_path
+from tallyfold.session import kept
 
 # Header names that mark a column's role.
 DATE_ALIASES = ("date", "trans. date", "transaction date", "post date")
@@ -49,17 +49,6 @@ def placed(text: DataFrame, line: Column) -> DataFrame:
     )
 
 
-def kept(spark: SparkSession, df: DataFrame, label: str = "lines") -> DataFrame:
-    """The frame written below the shared folder and read back.
-
-    Positions count from where a scan starts, and each scan plans its own splits. Written once,
-    they are the same for all who read them, and the text files are read once only.
-    """
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """All files by path, those without any line included: the listing that a read starts from."""
     found = spark.read.text(paths, recursiveFileLookup=True).inputFiles()

@@ -16,9 +16,9 @@ from tallyfold.operators.ingest import load_lines
 from tallyfold.operators.tables import append_absent, create_monthly
 from tallyfold.operators.versions import exists
 from tallyfold.plans.runs import label
-from tallyfold.session import scratch_within
+from tallyfold.session import kept, scratch_within
 from tallyfold.sources.records import records
-from tallyfold.sources.statements import EMPTY, empty_files, kept, placed
+from tallyfold.sources.statements import EMPTY, empty_files, placed
 
 
 def watch_statements(
