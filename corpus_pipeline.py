@@ -4,11 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 is written as Parquet below the shared folder and read back as the next one's docs.
 
 Defined cases are those of the operators; a stage on an empty table gives an empty table.
-Rows without a doc_id cannot be told apart later on, so they go with the first stage; of rows
-that repeat a doc_id, one goes on from the third stage.
+Ids may be missing or repeated: only the stages' own rules drop rows, and of rows equal in
+doc_id and text, which are copies, one goes on from the third stage.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import line_dedup, mixing, near_copies, packing, quality
@@ -19,10 +19,9 @@ from tallyfold.llm.queries import tokenizer_path
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that the rules reject go."""
     ship(spark)
-    docs = docs.where("doc_id IS NOT NULL")
-    signals = staged(quality.with_signals(docs).select("lang", "source", *quality.COUNTS), "signals")
-    judged = quality.judged(quality.with_signals(docs), quality.fences(signals))
-    return judged.where("kept").select(*docs.columns)
+    # Measured once: the counts serve the fences and the verdicts.
+    counted = staged(quality.with_signals(docs), "counted")
+    return quality.judged(counted, quality.fences(counted)).where("kept").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +33,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: one document of each group stays."""
-    kept = near_copies.near_copies(docs).where("kept").select("doc_id").distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return docs.join(kept, "doc_id", "left_semi").withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    # Rows whose id is missing or repeated go by a hash of their content instead.
+    often = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    often = staged(often.select(F.col("doc_id").alias("_often"), F.lit(True).alias("_unclear")), "often")
+    # They travel to the texts as long as they are few; else both are shuffled.
+    often = F.broadcast(often) if often.count() <= near_copies.FEW else often
+    named = docs.select(F.struct(*docs.columns).alias("row")).join(often, F.col("row.doc_id").eqNullSafe(F.col("_often")), "left")
+    content = F.xxhash64("row.doc_id", "row.text")
+    named = staged(
+        named.select("row", F.coalesce("_unclear", F.lit(False)).alias("unclear"), F.when(F.col("_unclear"), content).otherwise(F.col("row.doc_id")).alias("id")),
+        "named",
+    )
+    kept = near_copies.near_copies(named.select(F.col("id").alias("doc_id"), "row.text")).where("kept")
+    left = named.join(kept.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
+    once = left.where("unclear").dropDuplicates(["id"])
+    return left.where("NOT unclear").unionByName(once).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
