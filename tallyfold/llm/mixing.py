@@ -2,15 +2,17 @@
 
 Each source is shuffled by a hash and queued; a document's virtual finish time is its source's
 cumulative words divided by the source's weight. The entries of all sources are range-sorted
-by finish time, which interleaves them in proportion to the weights. The cut is taken per
-source, at its target: the budget fills all sources to one level of virtual time, computed
-from their sizes, and the sort gives the order only. The document a source has in service at
-the cut is taken up to the cut, so that every source meets its target to the word. A source may be queued a few
-times over (`repeats`); one that is used up leaves its share to the others.
+by finish time, which interleaves them in proportion to the weights, and cut at the virtual
+time at which the total budget is used up: entries that finish before it are taken whole, those
+that start after it not at all, and the one document that each source has in service is taken
+up to the cut, so that every source meets its target to the word. A source may be queued a few
+times over (`repeats`); one that is used up leaves its share to the others. Rows are shuffled
+by a hash of their content, so reruns agree, whatever ids are missing or repeated.
 
 Defined cases: null and empty texts have size 0 and are never taken; null sources are one
-source, ordered last; repeated rows are documents of their own; an empty table gives an empty
-result. Only doc_id, source and text are read, so names of other columns cannot clash.
+source, ordered last; repeated rows are documents of their own, of which any may come first;
+an empty table gives an empty result. Only doc_id, source and text are read, so names of
+other columns cannot clash.
 """
 
 import math
@@ -24,17 +26,20 @@ WEIGHTS = (3.0, 1.0, 2.0)  # by source in order of code points, repeating
 SHARE = 1.5  # the mix's size in sizes of all documents
 REPEATS = 2  # how often a document may be taken
 
+_ROW = "_mixed_row"
+
 
 def sized(docs: DataFrame, size=None) -> DataFrame:
-    """doc_id, source and size per row, with a row number that later steps agree on."""
+    """doc_id, source, size and a hash of the content per row, with a row number that later steps agree on."""
     size = word_count(F.col("text")) if size is None else size
     key = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), "source"))
-    rows = docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
-    return staged(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    number = F.col(_ROW) if _ROW in docs.columns else F.monotonically_increasing_id()
+    content = F.xxhash64("doc_id", "source", "text").alias("content")
+    return staged(docs.select("doc_id", "source", size.alias("size"), key.alias("key"), content, number.alias("row")), "sizes")
 
 
 def targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
-    """Per source its size, weight and target: the level to which a budget fills all sources.
+    """Per source its size, weight and target, and the `level` of virtual time where the budget is used up.
 
     Sources are sorted by the virtual time at which they are used up; running totals of what
     is used up and of the weights then give the level, without gathering the sources.
@@ -53,10 +58,9 @@ def targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int
     )
     level = (F.lit(budget) - F.col("gone")) / (F.lit(all_weights) - F.col("gone_weight"))
     found = in_turn.select(level.alias("level"), "used_up").where("level <= used_up").agg(F.max("level")).first()[0]
-    reached = F.col("most").cast("double")
-    if found is not None:
-        reached = F.least(reached, F.lit(found) * F.col("weight"))
-    return weighed.select("key", "source_size", "weight", reached.alias("target"))
+    cut = F.lit(math.inf if found is None else found)
+    reached = F.least(F.col("most").cast("double"), cut * F.col("weight"))
+    return weighed.select("key", "source_size", "weight", reached.alias("target"), cut.alias("level"))
 
 
 def entries(rows: DataFrame, goals: DataFrame, repeats: int = REPEATS, seed: int = 0) -> DataFrame:
@@ -65,24 +69,26 @@ def entries(rows: DataFrame, goals: DataFrame, repeats: int = REPEATS, seed: int
     An entry with `served` 0 lies beyond the cut.
     """
     buckets = max(1, math.isqrt(rows.count()))
-    shuffled = rows.withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id"))
+    shuffled = rows.withColumn("_hash", F.xxhash64(F.lit(seed), "content"))
     shuffled = shuffled.withColumn("_bucket", F.pmod(F.shiftright("_hash", 16), F.lit(buckets)))
     queued = bucketed_running(
-        shuffled, ["key"], "_bucket", [F.col("_hash"), F.col("doc_id"), F.col("row")], {"before": F.col("size")}
+        shuffled, ["key"], "_bucket", [F.col("_hash"), F.col("content")], {"before": F.col("size")}
     )
     turns = queued.join(goals, "key").withColumn(
         "turn", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     )
     start = F.col("before") + F.col("turn") * F.col("source_size")
-    left = F.floor(F.col("target") + 1e-6).cast("long") - start
     timed = turns.select(
-        "row", "doc_id", "source", "size", "source_size", "target", "turn",
-        ((start + F.col("size")) / F.col("weight")).alias("finish"),
-        F.greatest(F.lit(0), F.least(F.col("size"), left)).cast("long").alias("served"),
+        "row", "doc_id", "source", "size", "source_size", "target", "turn", "content", "level", "weight",
+        start.alias("start"), ((start + F.col("size")) / F.col("weight")).alias("finish"),
     )
-    return global_running(
-        timed, [F.col("finish"), F.col("row"), F.col("turn")], {"position": F.col("served")}, "mix"
-    )
+    # Taken whole if it finishes before the cut; in part, if the cut comes while it is in service.
+    upto = F.floor(F.col("level") * F.col("weight") + 1e-6).cast("long") - F.col("start")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), upto)).cast("long")
+    served = F.when(F.col("finish") <= F.col("level"), F.col("size")).otherwise(part)
+    order = [F.col("finish"), F.col("content"), F.col("turn")]
+    cut = global_running(timed.withColumn("served", served), order, {"position": F.col("served")}, "mix")
+    return cut.drop("content", "level", "weight", "start")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 0) -> DataFrame:
@@ -107,13 +113,12 @@ def per_document(
 def mixed_documents(docs: DataFrame, seed: int = 0, **settings) -> DataFrame:
     """The documents of the mix, one row per turn, with the columns of `docs`.
 
-    A document cut at the end of the mix keeps its first words. doc_id must tell documents
-    apart; rows without an id are not mixed.
+    A document cut at the end of the mix keeps its first words.
     """
-    picked = mix(docs.where("doc_id IS NOT NULL"), seed=seed, **settings).select(
-        F.col("doc_id").alias("_id"), "served", "size"
-    )
-    joined = docs.select(F.struct(*docs.columns).alias("_row")).join(picked, F.col("_row.doc_id") == F.col("_id"))
+    # Rows are told apart by a number given once, so ids may be missing or repeated.
+    numbered = staged(docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias(_ROW)), "numbered")
+    picked = mix(numbered.select("_row.doc_id", "_row.source", "_row.text", _ROW), seed=seed, **settings)
+    joined = numbered.join(picked.select(F.col("row").alias(_ROW), "served", "size"), _ROW)
     whole = F.col("_row.text")
     text = F.when(F.col("served") >= F.col("size"), whole).otherwise(_first_words(whole, F.col("served")))
     own = {"text": text, "n_chars": F.length(text).cast("long")}
