@@ -2,8 +2,9 @@
 
 Linear models predict the categories one after the other; each later model also sees the
 probabilities of the earlier categories. In training these are out-of-fold predictions, so
-that a later model learns from probabilities as good as those it will get. The models are
-fitted on at most `sample` labelled documents, a documented bound; every document is scored.
+that a later model learns from probabilities as good as those it will get; features and marker
+words of a fold are chosen without its documents. The models are fitted on at most `sample`
+labelled documents of the table, a documented bound; every document is scored.
 
 The labels table holds one toxic flag. From it and from the number of marker words (words
 that labelled toxic documents use far more often than others) follow three categories:
@@ -112,32 +113,55 @@ def select_features(texts: list[np.ndarray], toxic: np.ndarray, most: int = FEAT
     return best.astype(np.int32), marker
 
 
+@dataclass
+class _Learner:
+    """Features and markers chosen on some rows, and all rows as columns of these features."""
+
+    inside: np.ndarray
+    size: int
+    rows: np.ndarray
+    flat: np.ndarray
+    targets: dict[str, np.ndarray]
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray], toxic: np.ndarray, inside: np.ndarray) -> tuple["_Learner", np.ndarray]:
+        features, marker = select_features([t for t, use in zip(texts, inside, strict=True) if use], toxic[inside])
+        picked = list(map(Chain(features, []).columns, texts))
+        rows = np.repeat(np.arange(len(texts)), [len(p) for p in picked])
+        flat = np.concatenate([*picked, np.empty(0, np.int32)]).astype(np.int64)
+        markers = np.array([marker[t].sum() for t in texts]) if len(texts) else np.zeros(0)
+        targets = {"severe": toxic * (markers >= SEVERE), "strong": toxic * (markers >= STRONG), "toxic": toxic}
+        return cls(inside, len(features), rows, flat, targets), features
+
+    def fit(self, name: str, earlier: np.ndarray) -> np.ndarray:
+        return _fit(*_part(self.rows, self.flat, earlier, self.inside), self.targets[name][self.inside], self.size)
+
+
 def fit_chain(texts: list[np.ndarray], toxic: np.ndarray) -> Chain:
     """Fit the chain on labelled documents given as word ids."""
     toxic = np.asarray(toxic, float)
-    features, marker = select_features(texts, toxic)
-    markers = np.array([marker[t].sum() for t in texts]) if len(texts) else np.zeros(0)
-    targets = {"severe": toxic * (markers >= SEVERE), "strong": toxic * (markers >= STRONG), "toxic": toxic}
-    chain = Chain(features, [])
-    picked = [chain.columns(t) for t in texts]
-    fold = np.arange(len(texts)) % FOLDS
-    rows = np.repeat(np.arange(len(texts)), [len(p) for p in picked])
-    flat = np.concatenate([*picked, np.empty(0, np.int32)]).astype(np.int64)
-    earlier = np.empty((len(texts), 0))
-    for name in CATEGORIES:
-        target = targets[name]
-        held_out = np.empty(len(texts))
-        for f in range(FOLDS):
-            inside, outside = fold != f, fold == f
-            w = _fit(*_part(rows, flat, earlier, inside), target[inside], len(features))
-            held_out[outside] = _probabilities(*_part(rows, flat, earlier, outside), w)
-        chain.weights.append(_fit(rows, flat, earlier, target, len(features)))
-        earlier = np.column_stack([earlier, held_out])
+    earlier = out_of_fold(texts, toxic)
+    whole, features = _Learner.of(texts, toxic, np.ones(len(texts), bool))
+    chain = Chain(features, [whole.fit(name, earlier[:, :k]) for k, name in enumerate(CATEGORIES)])
     if len(texts):
         chain.threshold = best_threshold(earlier[:, -1], toxic)
     return chain
 
 
+def out_of_fold(texts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Probabilities per row and category from models that have not seen the row."""
+    fold = np.arange(len(texts)) % FOLDS
+    learners = [_Learner.of(texts, toxic, fold != f)[0] for f in range(FOLDS)]
+    found = np.empty((len(texts), 0))
+    for name in CATEGORIES:
+        held_out = np.empty(len(texts))
+        for learner in learners:
+            outside = ~learner.inside
+            held_out[outside] = _probabilities(*_part(learner.rows, learner.flat, found, outside), learner.fit(name, found))
+        found = np.column_stack([found, held_out])
+    return found
+
+
 def best_threshold(held_out: np.ndarray, toxic: np.ndarray) -> float:
     """The threshold with the best F1 on out-of-fold probabilities, within its bounds."""
     steps = np.geomspace(LEAST_THRESHOLD, MOST_THRESHOLD, 33)[::-1]
@@ -153,12 +177,16 @@ def _part(rows, flat, earlier, mask):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most `sample` labelled documents, chosen by a hash of their ids, as word ids."""
+    """At most `sample` labelled documents, chosen by a hash of their ids, as word ids.
+
+    They are chosen among the labels of documents that there are.
+    """
     known = (
-        labels.select("doc_id", F.col("toxic").cast("int").alias("_toxic"))
+        labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("_toxic"))
         .where("doc_id IS NOT NULL AND _toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max("_toxic").alias("_toxic"))
+        .join(docs.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
