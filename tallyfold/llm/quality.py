@@ -1,13 +1,19 @@
 """Quality rules with adaptive fences instead of fixed cut-offs.
 
 Signals of every text are summed up in quantile sketches per language and source: counts in
-logarithmic buckets, which merge by addition. From a group's sketch follow its upper fences;
-groups of few documents use their language's merged sketch, and languages of few documents
-that of all. Documents are then joined with their group's fences.
+logarithmic buckets, which merge by addition. Documents that fail the base rules do not count,
+and equal texts of a group count once. A group's fence follows from its sketch alone: it stands
+below the first wide empty stretch that at most a tenth of the documents lie beyond; without
+one, some inter-quartile ranges above the upper quartile; and where most documents are alike,
+as far above the 99th percentile. Groups of few documents use their language's merged sketch,
+and languages of few documents that of all. A group whose middle lies within its language's
+fence is bounded by it, so that junk cannot raise its own fence; a group of another kind
+(tables, code) keeps to its own. Documents are then joined with their group's fences.
 
 Defined cases: a null or empty text has no words and fails the base rules; null languages and
 sources are groups of their own; repeated rows are judged each; an empty table gives an empty
-result. Input columns named like a result column are replaced by it, others are carried.
+result. Input columns named like a result column are replaced by it, others are carried; a
+group whose documents all fail the base rules has no fence, and needs none.
 """
 
 import math
@@ -24,16 +30,18 @@ REPEAT_WINDOW = 8
 BASE_FAILED = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-# Signal: a count by another one, and the least value its fence can take. A group whose documents are all
-# alike has no spread, and its fence would reject the first one that differs a little.
+# Signal: a count by another one, and its step, the resolution: values less than a step apart are alike.
 SIGNALS = {
-    "symbol_ratio": ("n_symbols", "n_words", 0.15),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.35),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.2),
-    "mean_word": ("word_chars", "n_words", 7.5),
+    "symbol_ratio": ("n_symbols", "n_words", 0.05),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.05),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.05),
+    "mean_word": ("word_chars", "n_words", 0.5),
 }
-ACCURACY = 1.02  # ratio of neighbouring bucket bounds
-SPREADS = 3.0  # how many inter-quartile ranges above the upper quartile the fence stands
+ACCURACY = 1.01  # ratio of neighbouring bucket bounds, of values counted in steps from 1 on
+SPREADS = 3  # how many inter-quartile ranges above the upper quartile the fence stands
+MARGIN = 20  # buckets it stands above it at least, where documents are all alike
+STRETCH = 139  # buckets of an empty stretch that counts as wide: a ratio of four
+BELOW = 0.9  # share of the documents below such a stretch
 LEAST_DOCUMENTS = 100  # groups below use a merged sketch
 
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -94,15 +102,16 @@ def _counts(texts: pd.Series) -> pd.DataFrame:
 
 
 def with_signals(docs: DataFrame) -> DataFrame:
-    """The documents with the counts of each text and the verdict of the base rules."""
-    carried = [c for c in docs.columns if c not in (*COUNTS, "base_failed")]
-    counted = docs.select(F.struct(*carried).alias("row"), _counts("text").alias("counts"))
-    return counted.select("row.*", "counts.*").withColumn("base_failed", F.expr(BASE_FAILED))
+    """The documents with the counts of each text, a hash of it, and the verdict of the base rules."""
+    carried = [c for c in docs.columns if c not in (*COUNTS, "text_hash", "base_failed")]
+    counted = docs.select(F.struct(*carried).alias("row"), _counts("text").alias("counts"), F.xxhash64("text").alias("text_hash"))
+    return counted.select("row.*", "counts.*", "text_hash").withColumn("base_failed", F.expr(BASE_FAILED))
 
 
-def _signal(name: str, row: str = ""):
-    part, whole, _ = SIGNALS[name]
-    return F.try_divide(F.col(f"{row}{part}").cast("double"), F.col(f"{row}{whole}").cast("double"))
+def _bucket(name: str, row: str = ""):
+    part, whole, step = SIGNALS[name]
+    ratio = F.try_divide(F.col(f"{row}{part}").cast("double"), F.col(f"{row}{whole}").cast("double"))
+    return F.floor(F.log(1 + ratio / F.lit(step)) / F.lit(math.log(ACCURACY))).cast("long")
 
 
 def _key(name: str):
@@ -111,21 +120,18 @@ def _key(name: str):
 
 
 def sketches(signals: DataFrame) -> DataFrame:
-    """Bucket counts per language, source and signal; documents without 20 words don't count."""
-    log = math.log(ACCURACY)
-    values = F.array(
-        *[
-            F.struct(F.lit(name).alias("signal"), _signal(name).alias("x"))
-            for name in SIGNALS
-        ]
-    )
-    bucket = F.when(F.col("v.x") > 0, F.floor(F.log("v.x") / F.lit(log))).cast("long")
-    return (
-        signals.where("n_words >= 20")
-        .select(_key("lang").alias("lang"), _key("source").alias("source"), F.explode(values).alias("v"))
-        .groupBy("lang", "source", F.col("v.signal").alias("signal"), bucket.alias("bucket"))
-        .agg(F.count("*").alias("n"))
-    )
+    """Bucket counts per language, source and signal, of documents that pass the base rules.
+
+    Equal texts of a group count once, where `text_hash` tells them.
+    """
+    rows = signals.where("NOT base_failed").select(
+        _key("lang").alias("lang"), _key("source").alias("source"), *[_bucket(name).alias(name) for name in SIGNALS],
+        *[c for c in ("text_hash",) if c in signals.columns],
+    )
+    rows = rows.distinct() if "text_hash" in rows.columns else rows
+    values = F.array(*[F.struct(F.lit(name).alias("signal"), F.col(name).alias("bucket")) for name in SIGNALS])
+    each = rows.select("lang", "source", F.explode(values).alias("v")).select("lang", "source", "v.*")
+    return each.groupBy("lang", "source", "signal", "bucket").agg(F.count("*").alias("n"))
 
 
 def merged(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -134,44 +140,40 @@ def merged(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fences(cells: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Upper fence and number of documents per group and signal."""
+    """Upper fence, middle and number of documents per group and signal; all in buckets."""
     by = Window.partitionBy(*keys, "signal")
+    upward = by.orderBy("bucket")
     ranked = cells.select(
         "*",
-        F.sum("n").over(by.orderBy(F.col("bucket").asc_nulls_first())).alias("upto"),
+        F.sum("n").over(upward).alias("upto"),
         F.sum("n").over(by).alias("total"),
+        (F.lead("bucket").over(upward) - F.col("bucket")).alias("gap"),
     )
-    # The middle of a bucket; the null bucket holds the zeros.
-    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(ACCURACY), F.col("bucket") + 0.5))
-    quartile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), value))
-    quartiles = ranked.groupBy(*keys, "signal").agg(
-        quartile(0.25).alias("low"), quartile(0.75).alias("high"), F.first("total").alias("total")
+    quantile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bucket")))
+    below = (F.col("upto") >= BELOW * F.col("total")) & (F.col("gap") >= STRETCH)
+    found = ranked.groupBy(*keys, "signal").agg(
+        *[quantile(q).alias(c) for c, q in (("low", 0.25), ("middle", 0.5), ("high", 0.75), ("top", 0.99))],
+        F.min(F.when(below, F.col("bucket"))).alias("edge"),
+        F.first("total").alias("total"),
     )
-    return quartiles.select(
-        *keys,
-        "signal",
-        (F.col("high") + SPREADS * (F.col("high") - F.col("low"))).alias(f"{name}_fence"),
-        F.col("total").alias(f"{name}_documents"),
+    spread = F.col("high") - F.col("low")
+    above = F.when(spread > 0, F.col("high") + F.greatest(SPREADS * spread, F.lit(MARGIN))).otherwise(
+        F.col("top") + F.greatest(SPREADS * (F.col("top") - F.col("high")), F.lit(MARGIN))
     )
+    fence = F.coalesce("edge", above).alias(f"{name}_fence")
+    return found.select(*keys, "signal", fence, F.col("middle").alias(f"{name}_middle"), F.col("total").alias(f"{name}_documents"))
 
 
 def fences(signals: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """One row per language and source, with a column `fence_<signal>` for each signal."""
+    """One row per language and source, with a column `fence_<signal>` (a bucket) for each signal."""
     cells = sketches(signals)
     own = _fences(cells, ["lang", "source"], "own")
     by_language = _fences(merged(cells, ["lang"]), ["lang"], "lang")
     overall = _fences(merged(cells, []), [], "all")
-    chosen = (
-        F.when(F.col("own_documents") >= least, F.col("own_fence"))
-        .when(F.col("lang_documents") >= least, F.col("lang_fence"))
-        .otherwise(F.col("all_fence"))
-    )
-    guards = F.create_map(*[x for name, (_, _, low) in SIGNALS.items() for x in (F.lit(name), F.lit(low))])
-    each = (
-        own.join(by_language, ["lang", "signal"])
-        .join(overall, "signal")
-        .select("lang", "source", "signal", F.greatest(chosen, guards[F.col("signal")]).alias("fence"))
-    )
+    wider = F.when(F.col("lang_documents") >= least, F.col("lang_fence")).otherwise(F.col("all_fence"))
+    bounded = F.when(F.col("own_middle") <= wider, F.least("own_fence", wider)).otherwise(F.col("own_fence"))
+    chosen = F.when(F.col("own_documents") >= least, bounded).otherwise(wider)
+    each = own.join(by_language, ["lang", "signal"]).join(overall, "signal").select("lang", "source", "signal", chosen.alias("fence"))
     columns = [F.max(F.when(F.col("signal") == name, F.col("fence"))).alias(f"fence_{name}") for name in SIGNALS]
     return each.groupBy("lang", "source").agg(*columns)
 
@@ -183,6 +185,6 @@ def judged(signals: DataFrame, bounds: DataFrame) -> DataFrame:
     joined = left.join(bounds, (F.col("l") == F.col("lang")) & (F.col("s") == F.col("source")), "left")
     above = F.lit(False)
     for name, limit in zip(SIGNALS, limits, strict=True):
-        above = above | F.coalesce(_signal(name, "row.") > F.col(limit), F.lit(False))
+        above = above | F.coalesce(_bucket(name, "row.") > F.col(limit), F.lit(False))
     kept = ~F.when(F.col("row.base_failed"), True).otherwise(above)
     return joined.select("row.*", kept.alias("kept"))

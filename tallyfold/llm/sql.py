@@ -5,9 +5,6 @@ licences on a parser, spelling variants on CRC-32 and toxicity on a fitted model
 tested in tests/llm against plain versions.
 """
 
-import math
-
-from tallyfold.llm.quality import ACCURACY, LEAST_DOCUMENTS, SIGNALS, SPREADS
 from tallyfold.llm.secret_scan import BASE, RULES
 
 ORACLE: dict[str, str] = {}
@@ -103,23 +100,33 @@ FROM documents JOIN reached ON doc_id = x LEFT JOIN sizes USING (doc_id) GROUP B
 ORACLE["op7_near_copies"] = _components(5, 75, ", doc_id = min(y) AS kept")
 ORACLE["op11_ngram_join"] = _components(4, 85)
 
+# The rules of the quality query, written out here: part, whole and step of each signal.
+_RATIOS = [
+    ("symbol_ratio", "n_symbols", "n_words", 0.05),
+    ("dup_line_ratio", "n_dup_lines", "n_lines", 0.05),
+    ("repeat_ratio", "n_repeat_words", "n_words", 0.05),
+    ("mean_word", "word_chars", "n_words", 0.5),
+]
 _SIGNALS = ", ".join(
-    f"{{'signal': '{name}', 'x': CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)}}"
-    for name, (part, whole, _) in SIGNALS.items()
+    f"{{'signal': '{name}', 'bucket': CAST(floor(ln(1 + CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0) / {step}) / ln(1.01)) AS BIGINT)}}"
+    for name, part, whole, step in _RATIOS
 )
-_GUARDS = " ".join(f"WHEN '{name}' THEN {least}" for name, (_, _, least) in SIGNALS.items())
 
 
 def _fence(keys: str) -> str:
-    """Fence and documents per group; `keys` ends in a comma, or is empty."""
+    """Fence, middle and documents per group, in buckets; `keys` ends in a comma, or is empty."""
     return f"""
-  SELECT {keys} signal, min(v) FILTER (upto >= 0.75 * total) + {SPREADS}
-    * (min(v) FILTER (upto >= 0.75 * total) - min(v) FILTER (upto >= 0.25 * total)) AS fence, any_value(total) AS total
+  SELECT {keys} signal, total, middle, coalesce(edge,
+    CASE WHEN high > low THEN high + greatest(3 * (high - low), 20) ELSE top + greatest(3 * (top - high), 20) END) AS fence
   FROM (
-    SELECT *, sum(n) OVER (PARTITION BY {keys} signal ORDER BY bucket NULLS FIRST) AS upto,
-      sum(n) OVER (PARTITION BY {keys} signal) AS total, coalesce(pow({ACCURACY}, bucket + 0.5), 0) AS v
-    FROM (SELECT {keys} signal, bucket, count(*) AS n FROM marks GROUP BY ALL))
-  GROUP BY {keys} signal"""
+    SELECT {keys} signal, any_value(total) AS total, min(bucket) FILTER (upto >= 0.25 * total) AS low,
+      min(bucket) FILTER (upto >= 0.5 * total) AS middle, min(bucket) FILTER (upto >= 0.75 * total) AS high,
+      min(bucket) FILTER (upto >= 0.99 * total) AS top, min(bucket) FILTER (upto >= 0.9 * total AND gap >= 139) AS edge
+    FROM (
+      SELECT *, sum(n) OVER (PARTITION BY {keys} signal ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys} signal) AS total,
+        lead(bucket) OVER (PARTITION BY {keys} signal ORDER BY bucket) - bucket AS gap
+      FROM (SELECT {keys} signal, bucket, count(*) AS n FROM marks GROUP BY ALL))
+    GROUP BY {keys} signal)"""
 
 
 ORACLE["op9_quality"] = rf"""
@@ -139,26 +146,26 @@ copies AS (
   WHERE regexp_matches(line, '[^ 	-
 ]') GROUP BY doc_id),
 counts AS (
-  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT doc_id, lang, source, t, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     coalesce(copies.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
     CAST(len(string_split(t, chr(10))) AS BIGINT) AS n_lines
   FROM read LEFT JOIN repeats USING (doc_id) LEFT JOIN copies USING (doc_id)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
-signals AS (SELECT doc_id, lang, source, n_words, unnest([{_SIGNALS}], recursive := true) FROM judged),
-marks AS (
-  SELECT lang, source, signal, CASE WHEN x > 0 THEN CAST(floor(ln(x) / {math.log(ACCURACY)!r}) AS BIGINT) END AS bucket
-  FROM signals WHERE n_words >= 20),
+signals AS (SELECT doc_id, lang, source, t, base_failed, unnest([{_SIGNALS}], recursive := true) FROM judged),
+marks AS (SELECT DISTINCT lang, source, t, signal, bucket FROM signals WHERE NOT base_failed),
 own AS ({_fence("lang, source,")}),
 by_lang AS ({_fence("lang,")}),
 overall AS ({_fence("")}),
-fences AS (
-  SELECT own.lang, own.source, own.signal, greatest(CASE WHEN own.total >= {LEAST_DOCUMENTS} THEN own.fence
-    WHEN by_lang.total >= {LEAST_DOCUMENTS} THEN by_lang.fence ELSE overall.fence END, CASE own.signal {_GUARDS} END) AS fence
+wider AS (
+  SELECT own.*, CASE WHEN by_lang.total >= 100 THEN by_lang.fence ELSE overall.fence END AS wide
   FROM own JOIN by_lang ON own.lang = by_lang.lang AND own.signal = by_lang.signal JOIN overall ON own.signal = overall.signal),
+fences AS (
+  SELECT lang, source, signal,
+    CASE WHEN total < 100 THEN wide WHEN middle <= wide THEN least(fence, wide) ELSE fence END AS fence FROM wider),
 above AS (
-  SELECT DISTINCT doc_id FROM signals JOIN fences USING (lang, source, signal) WHERE x > fence)
+  SELECT DISTINCT doc_id FROM signals JOIN fences USING (lang, source, signal) WHERE bucket > fences.fence)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM above) AS kept FROM judged
 """

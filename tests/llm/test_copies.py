@@ -172,3 +172,27 @@ def test_pipeline_runs_through(spark):
     kept = corpus_pipeline.STAGES[0][1](spark, docs, folder)
     clean = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").join(docs.where(F.size(F.split("text", " ")) > 30), "doc_id")
     assert kept.join(clean.select("doc_id"), "doc_id").count() >= 0.95 * clean.count()
+
+
+def test_near_dedup_stage_drops_copies_only(spark, odd_docs):
+    """Rows without an id, and different texts of one id, are documents of their own."""
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, base), (2, base + " end"), (None, "no id and some words of its own"), (None, "no id but other words than the first one has")]
+    rows += [(None, base + " more"), (7, "one text of the repeated id seven"), (7, "and quite another text of this id"), (9, ""), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    found = collections.Counter(tuple(r)[:2] for r in left.collect())
+    of_base = [t for _, t in found if t and t.startswith(base)]
+    assert len(of_base) == 1
+    assert found - collections.Counter({k: 1 for k in found if k[1] in of_base}) == collections.Counter([r for r in rows[2:4]] + rows[5:9])
+
+
+def test_no_stage_loses_rows_for_their_ids(spark, small):
+    docs = small.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, None).otherwise(F.col("doc_id") % 50).cast("long"))
+    kept, wanted = (corpus_pipeline.keep_good(spark, d, "").count() for d in (docs, small))
+    assert kept == wanted
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, "").count() > 0
+    texts = lambda df: collections.Counter(r["text"] for r in df.collect())
+    assert len(texts(corpus_pipeline.drop_near_copies(spark, docs, ""))) == len(texts(corpus_pipeline.drop_near_copies(spark, small, "")))
+    assert sum(texts(corpus_pipeline.mix_sources(spark, docs, "")).values()) > 0

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import math
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -160,6 +162,23 @@ def test_fences_adapt_and_merge(spark):
     assert not kept[5000] and kept[5002]
 
 
+def test_fences_follow_the_data(spark):
+    """Junk beyond a wide gap goes, whatever its number; where texts vary, outliers of the words' length go; copies count once."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    prose = [" ".join(word(int(rng.integers(3, 8))) for _ in range(60)) for _ in range(400)]
+    rows = [(k, t, "en", "web") for k, t in enumerate(prose)]
+    rows += [(1000 + k, " ".join(word(4) + "|" for _ in range(60)), "en", "web") for k in range(30)]
+    rows += [(2000 + k, " ".join(word(14) for _ in range(60)), "en", "web") for k in range(10)]
+    copy = " ".join(word(4) + "&" for _ in range(40))
+    rows += [(3000 + k, copy, "en", "web") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    signals = quality.with_signals(docs)
+    kept = {r["doc_id"]: r["kept"] for r in quality.judged(signals, quality.fences(signals)).collect()}
+    assert sum(kept[k] for k in range(400)) >= 398
+    assert not any(kept[k] for k in kept if k >= 1000)
+
+
 def test_sketch_quantiles_are_near(spark):
     rng = np.random.default_rng(3)
     n = rng.integers(40, 4000, 500)
@@ -201,3 +220,43 @@ def test_scans_of_odd_and_empty_tables(odd_docs, no_docs):
 
 def test_base_hash_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_chain_scores_match_plain_version(spark, odd_docs, small):
+    """Probabilities by plain sums over distinct words, from the weights of the chain."""
+    docs = small.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
+    chain = toxicity.train(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    place = {int(f): k for k, f in enumerate(chain.features)}
+    read = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+
+    def plain(text):
+        ids = {zlib.crc32(w) % 2**20 for w in (text or "").encode().translate(read).split()}
+        found = []
+        for w in chain.weights:
+            z = sum(w[place[i]] for i in ids if i in place) + sum(p * w[len(place) + k] for k, p in enumerate(found)) + w[-1]
+            found.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+        return tuple(round(p, 9) for p in found), found[-1] >= chain.threshold
+
+    wanted = collections.Counter((r["doc_id"], *plain(r["text"])) for r in docs.collect())
+    scored = toxicity.score(docs, chain).collect()
+    names = ("p_severe", "p_strong", "p_toxic")
+    assert collections.Counter((r["doc_id"], tuple(round(r[n], 9) for n in names), r["toxic"]) for r in scored) == wanted
+
+
+def test_labels_are_chosen_among_documents_that_there_are(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(1000, 1200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1200)], "doc_id long, toxic int")
+    for sample in (50, 500):
+        rows = toxicity.training_rows(docs, labels, sample).collect()
+        assert len({r["doc_id"] for r in rows}) == min(sample, 200) == len(rows) and min(r["doc_id"] for r in rows) >= 1000
+
+
+def test_folds_learn_nothing_from_noise():
+    """With labels that have nothing to do with the texts, held-out probabilities do not tell them."""
+    rng = np.random.default_rng(11)
+    texts = [np.unique(rng.integers(0, 3000, 60)).astype(np.int32) for _ in range(600)]
+    toxic = (rng.random(600) < 0.3).astype(float)
+    held_out = toxicity.out_of_fold(texts, toxic)[:, -1]
+    ranks = np.argsort(np.argsort(held_out))
+    area = (ranks[toxic == 1].mean() - (toxic.sum() - 1) / 2) / (len(toxic) - toxic.sum())
+    assert 0.4 < area < 0.6
