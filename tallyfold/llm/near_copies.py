@@ -1,18 +1,15 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is its set of distinct five-word shingles. Several independent trees branch the
-documents by minwise tokens: at each level of a tree, documents that share the minwise token
-chosen there go to the same child node. The first and the last
-member of a node (by class) are compared with all its members. If it still holds several
-classes, a small node is compared exhaustively in one task, and a large one branches on by
-the next token; members that the comparison with the two has settled stay behind. Trees are repeated
-so that a pair at the threshold meets in the first level with all but a chance below 1e-9.
-
-Branching on would lose pairs that share much with thousands of others (a template), as each
-level parts them anew. So members of nodes that are large after the first level are compared
-by what is rare among them: a linked pair shares one of the rarest quarter of its shingles
-(prefix filter), unless all it shares stands in more than SMALL members. Only documents for
-which that is possible, and only in nodes where these common parts differ, branch on.
+documents by minwise tokens: documents that share the token chosen by a tree go to the same
+node. The first and the last member of a node (by class) are compared with all its members. If
+it still holds several classes, a small node is compared exhaustively in one task. Trees are
+repeated so that a pair at the threshold meets with all but a chance below 1e-9.
+
+Nodes that are still large would branch on by further tokens. But that parts linked members
+that share much with thousands of others (a template) anew at each level, and trees enough to
+make up for it cannot be repeated. So their members go, all trees together, through the exact
+join of `ngram_join` on their rarest shingles, which leaves out no link.
 
 Comparing means: signatures must leave the link possible, then sizes, then the full sets
 decide. Only links between different classes are looked for, so a group of thousands of
@@ -34,17 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.llm import ngram_join
 from tallyfold.llm.common import staged
 
 SHINGLE = 5
 PERCENT = 75  # 100 * intersection >= 75 * union
 TREES = 16
-TOKENS = 64  # minwise tokens per document, four levels of 16 trees, then others of the same
+TOKENS = 64  # minwise tokens per document; trees branch by the first ones, all serve to compare
 SMALL = 2048  # members of a node compared exhaustively in one task
 # Equal tokens of 64 a link must show: a pair at the threshold has 48 on average, and fewer
 # than this five standard deviations below that.
 POSSIBLE = 30
-SLACK = 0.12  # error granted to estimated distances when members are left behind
 MANY = 200_000  # candidate pairs from which the likeliest of each document go first
 FEW_LINKS = 20_000  # links between classes that one task joins
 FEW = 2_000_000  # ids up to which they are sent to all tasks instead of moving the texts
@@ -113,13 +110,8 @@ def with_tokens(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _WITH_TOKENS)
 
 
-def _position(tree, level: int):
-    """Which token a tree branches by at a level: no token twice along a path."""
-    return (tree + 16 * (level % 4) + 5 * (level // 4)) % TOKENS
-
-
 def first_nodes(active: DataFrame) -> DataFrame:
-    """The first level of all trees: tree, node key and member, for nodes of two members or more."""
+    """The nodes of all trees: tree, node key and member, for nodes of two members or more."""
     chosen = F.slice("tokens", 1, TREES)
     rows = active.select("doc", F.posexplode(chosen).alias("tree", "token"))
     rows = rows.select("tree", F.xxhash64("tree", "token").alias("key"), "doc")
@@ -127,14 +119,6 @@ def first_nodes(active: DataFrame) -> DataFrame:
     return rows.join(ends.where("size > 1"), "key")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Nodes that hold members of several classes, with their first and last member by class."""
-    member = F.struct("class", "doc")
-    ends = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(member).alias("low"), F.max(member).alias("high"))
-    ends = ends.where("low.class <> high.class").select("key", "size", F.col("low.doc").alias("first"), F.col("high.doc").alias("last"))
-    return rows.drop("class").join(ends, "key")
-
-
 def _matches(x: str, y: str):
     return F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda same: same))
 
@@ -222,7 +206,7 @@ class Linker:
         )
         return staged(compared, "compared")
 
-    def settle(self, nodes: DataFrame, level: int) -> None:
+    def settle(self, nodes: DataFrame) -> None:
         """Compare all members of small nodes that belong to different classes.
 
         First on their tokens; the members that may have a link come back with their full
@@ -234,47 +218,25 @@ class Linker:
         # The trees in which a document is in a small node, as bits.
         trees = nodes.groupBy("doc").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("small"))
         rows = dealt(described(nodes.select("tree", "key", "doc").join(trees, "doc")).select(*columns))
-        suspects = staged(rows.mapInArrow(_suspects(level), "tree int, key long, doc long, small long"), "suspects")
+        suspects = staged(rows.mapInArrow(_suspects, "tree int, key long, doc long, small long"), "suspects")
         if suspects.isEmpty():
             return
         whole = described(suspects).join(self._sets_of(suspects.select("doc")), "doc").select(*columns, "members")
-        self._join_classes(staged(dealt(whole).mapInArrow(_settle(level), "cx long, cy long").distinct(), "links"))
+        self._join_classes(staged(dealt(whole).mapInArrow(_settle, "cx long, cy long").distinct(), "links"))
 
-    def settle_large(self, nodes: DataFrame) -> DataFrame:
-        """Compare members of large nodes by rare shingles; the rows that may still hide a link.
+    def settle_large(self, nodes: DataFrame) -> None:
+        """Find all links between members of large nodes, by a join on their rarest shingles.
 
-        A shingle is heavy if more than SMALL members have it. Pairs that share a lighter one
-        are compared where they share it. Others share heavy ones only: of members with equal
-        heavy parts, whoever is linked with another that way is linked with the smallest set.
+        Branching on would part linked members that share much with thousands of others. The
+        join of `ngram_join` leaves none out, whatever the size of a node.
         """
-        docs = nodes.select("doc").distinct()
-        sets = self._sets_of(docs).join(docs, "doc", "left_semi")
-        often = sets.mapInArrow(_exploded(None), "doc long, shingle long").groupBy("shingle").agg(F.count("*").alias("df"))
-        often = staged(often.where("df > 1"), "often")
-        # Each stands in more than SMALL sets, so there are few: at most one per SMALL words of the members.
-        heavy = often.where(F.col("df") > SMALL).select("shingle").toArrow()["shingle"].to_numpy()
-        shared = self.spark.sparkContext.broadcast(np.sort(heavy))
-        part = staged(sets.mapInArrow(_heavy_parts(shared), "doc long, n long, n_heavy long, ha long, hb long").dropDuplicates(["doc"]), "parts")
-        light = sets.mapInArrow(_exploded(shared), "doc long, shingle long").join(often.where(F.col("df") <= SMALL), "shingle")
-        ordered = light.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("df", "shingle"))).alias("light"))
-        # Shingles that no other member has come first in the order, and need no list.
-        alone = F.col("n") - F.col("n_heavy") - F.size("light")
-        prefix = F.greatest(F.lit(0), F.floor(F.col("n") * (100 - PERCENT) / 100) + 1 - alone).cast("int")
-        lists = part.join(ordered, "doc").select("doc", F.explode(F.slice("light", F.lit(1), prefix)).alias("s"))
-        lists = staged(lists.select(F.col("s.shingle").alias("key"), "doc"), "lists")
-        # Of lists with the same members one is enough.
-        members = lists.groupBy("key").agg(
-            F.count("*").alias("k"), F.bit_xor(F.xxhash64("doc")).alias("a"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("b")
-        )
-        members = members.where("k > 1").groupBy("k", "a", "b").agg(F.min("key").alias("key")).select("key")
-        self.settle(staged(lists.join(members, "key").withColumn("tree", F.lit(0)), "light"), 1)
-        common = part.where(F.col("n_heavy") * 100 >= F.col("n") * PERCENT)
-        least = common.groupBy("ha", "hb").agg(F.min_by("doc", F.struct("n", "doc")).alias("y"))
-        alike = common.join(least, ["ha", "hb"]).where("doc <> y")
-        self.link(alike.select(F.col("doc").alias("x"), "y", F.lit(0).alias("matches")))
-        rest = self.undecided(nodes).join(common.select("doc", "ha", "hb"), "doc")
-        differ = rest.groupBy("key").agg(F.min(F.struct("ha", "hb")).alias("low"), F.max(F.struct("ha", "hb")).alias("high"))
-        return staged(rest.join(differ.where("low <> high").select("key"), "key", "left_semi").drop("ha", "hb"), "heavy")
+        ids = staged(nodes.select("doc").distinct(), "members")
+        few = ids.count() <= FEW
+        texts = self.docs.join(F.broadcast(ids) if few else ids, "doc").select(F.col("doc").alias("doc_id"), "text")
+        rule = ngram_join.Rule(SHINGLE, PERCENT)
+        signatures = staged(ngram_join.signed(texts, rule).dropDuplicates(["doc_id"]), "signatures")
+        sets = signatures.select(F.col("doc_id").alias("doc"), "n", "prefix", "bits")
+        self.labels = ngram_join.joined_labels(texts, sets, rule, self.labels)
 
     def undecided(self, nodes: DataFrame) -> DataFrame:
         """The rows of nodes whose members belong to several classes."""
@@ -299,43 +261,6 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
 
 
-def _among(found: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(found), bool)
-    return ordered[np.minimum(np.searchsorted(ordered, found), len(ordered) - 1)] == found
-
-
-def _exploded(heavy):
-    """One row per document and shingle that is not heavy."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch["members"]]
-            docs = np.repeat(batch["doc"].to_numpy(), [len(x) for x in found])
-            flat = np.concatenate([*found, np.empty(0, np.int64)])
-            if heavy is not None:
-                light = ~_among(flat, heavy.value)
-                docs, flat = docs[light], flat[light]
-            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(flat)], ["doc", "shingle"])
-
-    return run
-
-
-def _heavy_parts(heavy):
-    """Per document the number of its shingles and of its heavy ones, and a 128-bit hash of these."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch["members"]]
-            parts = [x[_among(x, heavy.value)].view(np.uint64) for x in found]
-            sums = [[x.sum(dtype=np.uint64) for x in parts], [_mixed(x ^ _STEP).sum(dtype=np.uint64) for x in parts]]
-            counts = [pa.array([len(x) for x in each], pa.int64()) for each in (found, parts)]
-            hashes = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in sums]
-            yield pa.RecordBatch.from_arrays([batch["doc"], *counts, *hashes], ["doc", "n", "n_heavy", "ha", "hb"])
-
-    return run
-
-
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
@@ -351,11 +276,10 @@ def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Node:
     """The members of a small node, and which pairs of them are to be compared there."""
 
-    def __init__(self, rows: pa.Table, level: int):
+    def __init__(self, rows: pa.Table):
         self.doc, self.label, self.n, self.small = (rows[c].to_numpy() for c in ("doc", "class", "n", "small"))
         self.marks = rows["tokens"].combine_chunks().flatten().to_numpy().reshape(len(self.doc), TOKENS)
         self.tree = rows["tree"][0].as_py()
-        self.paths = [[_position(tree, k) for k in range(level)] for tree in range(self.tree + 1)]
 
     def partners(self, i: int, label: np.ndarray) -> np.ndarray:
         """Later members of other classes that a link with member i is possible with.
@@ -367,9 +291,9 @@ class _Node:
         fits = np.minimum(self.n[rest], self.n[i]) * 100 >= np.maximum(self.n[rest], self.n[i]) * PERCENT
         maybe = np.flatnonzero((label[rest] != label[i]) & fits)
         maybe = maybe[equal[maybe].sum(axis=1) >= POSSIBLE]
-        for tree, path in enumerate(self.paths[:-1]):
+        for tree in range(self.tree):
             if self.small[i] >> tree & 1:
-                maybe = maybe[~equal[np.ix_(maybe, path)].all(axis=1)]
+                maybe = maybe[~equal[maybe, tree]]
         return maybe + i + 1
 
 
@@ -390,40 +314,32 @@ def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _suspects(level: int):
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of small nodes with a partner to be compared with."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_node(batches):
-            node, found = _Node(rows, level), np.zeros(rows.num_rows, bool)
-            for i in range(rows.num_rows - 1):
-                partners = node.partners(i, node.label)
-                found[partners] = True
-                found[i] |= len(partners) > 0
-            if found.any():
-                yield from rows.select(["tree", "key", "doc", "small"]).filter(pa.array(found)).to_batches()
-
-    return run
+    for rows in _by_node(batches):
+        node, found = _Node(rows), np.zeros(rows.num_rows, bool)
+        for i in range(rows.num_rows - 1):
+            partners = node.partners(i, node.label)
+            found[partners] = True
+            found[i] |= len(partners) > 0
+        if found.any():
+            yield from rows.select(["tree", "key", "doc", "small"]).filter(pa.array(found)).to_batches()
 
 
-def _settle(level: int):
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between classes in small nodes, confirmed on full sets; no more than join the classes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("cx", pa.int64()), ("cy", pa.int64())])
-        for rows in _by_node(batches):
-            node = _Node(rows, level)
-            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows["members"]]
-            label, links = node.label.copy(), []
-            for i in range(rows.num_rows - 1):
-                for j in node.partners(i, label):
-                    if label[i] != label[j] and _linked(sets[i], sets[j]):
-                        links.append((label[i], label[j]))
-                        label[label == label[j]] = label[i]
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in zip(*links, strict=True)], schema=schema)
-
-    return run
+    schema = pa.schema([("cx", pa.int64()), ("cy", pa.int64())])
+    for rows in _by_node(batches):
+        node = _Node(rows)
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows["members"]]
+        label, links = node.label.copy(), []
+        for i in range(rows.num_rows - 1):
+            for j in node.partners(i, label):
+                if label[i] != label[j] and _linked(sets[i], sets[j]):
+                    links.append((label[i], label[j]))
+                    label[label == label[j]] = label[i]
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in c], pa.int64()) for c in zip(*links, strict=True)], schema=schema)
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,29 +388,6 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def _left_to_do(compared: DataFrame, linker: Linker, level: int) -> DataFrame:
-    """Members of large nodes that go on to the next level.
-
-    The ends have met all members and stay behind. So do members of an end's class that are
-    so near it that no member outside that class can be linked with them (distances between
-    sets obey the triangle inequality).
-    """
-    rows = linker.with_class(linker.with_class(linker.with_class(compared, "doc", "class"), "first", "c_first"), "last", "c_last")
-    far = lambda end: F.lit(1.0) - F.col(f"m_{end}") / TOKENS
-    outside = [F.min(F.when(F.col("class") != F.col(f"c_{end}"), far(end))).alias(f"gap_{end}") for end in ("first", "last")]
-    gaps = rows.groupBy("key").agg(*outside)
-    settled = F.lit(False)
-    for end in ("first", "last"):
-        near = far(end) + 2 * SLACK < F.coalesce(F.col(f"gap_{end}"), F.lit(9.0)) - (1 - PERCENT / 100)
-        settled = settled | (F.col("doc") == F.col(end)) | ((F.col("class") == F.col(f"c_{end}")) & near)
-    stay = rows.join(gaps, "key").where(~settled).select("tree", "key", "doc", "class")
-    position = F.pmod(_position(F.col("tree"), level), F.lit(TOKENS)) + 1
-    branched = stay.join(linker.active.select("doc", "tokens"), "doc").select(
-        "tree", F.xxhash64("key", F.element_at("tokens", position.cast("int"))).alias("key"), "doc", "class"
-    )
-    return _shared(branched)
-
-
 def near_copies(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id and kept."""
     spark = docs.sparkSession
@@ -506,18 +399,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     nodes = staged(first_nodes(first), "nodes")
     active = first.join(nodes.select("doc").distinct(), "doc", "left_semi")
     linker = Linker(spark, docs, staged(active, "active"))
-    level = 0
-    while not nodes.isEmpty():
-        level += 1
-        compared = linker.meet_ends(nodes)
-        # The first ends settle most nodes; later on, small nodes need no ends.
-        linker.link(_with_ends(compared if level == 1 else compared.where(F.col("size") > SMALL)))
-        rest = staged(linker.undecided(compared), "undecided")
-        linker.settle(rest.where(F.col("size") <= SMALL), level)
-        large = rest.where(F.col("size") > SMALL)
-        if level == 1 and not large.isEmpty():
-            large = linker.settle_large(linker.undecided(large))
-        nodes = staged(_left_to_do(large, linker, level), "nodes")
+    compared = linker.meet_ends(nodes)
+    # The ends settle most nodes.
+    linker.link(_with_ends(compared))
+    rest = staged(linker.undecided(compared), "undecided")
+    linker.settle(rest.where(F.col("size") <= SMALL))
+    large = linker.undecided(rest.where(F.col("size") > SMALL))
+    if not large.isEmpty():
+        linker.settle_large(large)
     found = classes.join(linker.labels, F.col("first") == F.col("doc"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "first").alias("component_id")
     )

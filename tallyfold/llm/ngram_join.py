@@ -29,18 +29,16 @@ other columns cannot clash.
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import staged
-from tallyfold.llm.near_copies import components
 
-SHINGLE = 4
-PERCENT = 85  # 100 * intersection >= 85 * union
 SLOTS = 1 << 20  # hashed counters of shingles
 TILE = 8192  # sets of a block, compared with another one in one task
 FEW = 2_000_000  # ids up to which they are sent to all tasks instead of moving the texts
@@ -51,8 +49,22 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _REMEMBERED = 600_000
 _SIGNED = "doc_id long, n long, a long, b long, prefix array<long>, bits binary"
-# Bands are a little wider than needed, so that rounding cannot part what may link.
-_BAND = math.log(100 / PERCENT) * 1.000001
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the similarity that links: 100 * intersection >= percent * union."""
+
+    words: int = 4
+    percent: int = 85
+
+    @property
+    def band(self) -> float:
+        """Width of a band of sizes; a little more than needed, so that rounding cannot part what may link."""
+        return math.log(100 / self.percent) * 1.000001
+
+
+RULE = Rule()
 
 
 class _WordHashes(dict):
@@ -71,41 +83,45 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, words_each: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a whole text."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
     each = np.frombuffer(b"".join(map(_WORDS.__getitem__, words)), np.uint64)
-    length = min(SHINGLE, len(words))
+    length = min(words_each, len(words))
     rolled = np.full(len(words) - length + 1, length, np.uint64)
     for k in range(length):
         rolled = rolled * _STEP + each[k : len(words) - length + 1 + k]
     return np.unique(_mixed(rolled))
 
 
-def bitmap(found: np.ndarray) -> np.ndarray:
-    """Parity of the shingles per bit, with at least two bits for each shingle."""
-    width = max(64, 1 << (2 * len(found) - 1).bit_length())
+def bitmap(found: np.ndarray, bits_each: int = 2) -> np.ndarray:
+    """Parity of the shingles per bit, with at least so many bits for each shingle."""
+    width = max(64, 1 << (bits_each * len(found) - 1).bit_length())
     places = (found >> np.uint64(24)) & np.uint64(width - 1)
     odd = (np.bincount(places.astype(np.int64), minlength=width) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.uint64)
 
 
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(SLOTS, np.int64)
-    for batch in batches:
-        held, n = [], 0
-        for text in batch["text"]:
-            held.append(shingles(text.as_py()) & np.uint64(SLOTS - 1))
-            n += len(held[-1])
-            if n > SLOTS:
+def _slot_counts(words_each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            held, n = [], 0
+            for text in batch["text"]:
+                held.append(shingles(text.as_py(), words_each) & np.uint64(SLOTS - 1))
+                n += len(held[-1])
+                if n > SLOTS:
+                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=SLOTS)
+                    held, n = [], 0
+            if held:
                 counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=SLOTS)
-                held, n = [], 0
-        if held:
-            counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=SLOTS)
-    blocks = np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32).reshape(-1, _BLOCK)
-    yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks])], ["block", "counts"])
+        blocks = np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32).reshape(-1, _BLOCK)
+        rows = [pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks])]
+        yield pa.RecordBatch.from_arrays(rows, ["block", "counts"])
+
+    return run
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,28 +133,28 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(whole, pa.binary())], ["block", "counts"])
 
 
-def shingle_counts(docs: DataFrame) -> np.ndarray:
+def shingle_counts(docs: DataFrame, words_each: int) -> np.ndarray:
     """How often shingles of each slot occur: SLOTS numbers, however many documents there are."""
     kind = "block int, counts binary"
-    found = docs.select("text").mapInArrow(_slot_counts, kind).repartition("block").mapInArrow(_summed, kind).toArrow()
+    found = docs.select("text").mapInArrow(_slot_counts(words_each), kind).repartition("block").mapInArrow(_summed, kind).toArrow()
     counts = np.zeros(SLOTS, np.uint32)
     for block, each in zip(found["block"].to_pylist(), found["counts"].to_pylist(), strict=True):
         counts[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(each, np.uint32)
     return counts
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Per document the size of its set, a 128-bit hash of the set, its rarest shingles and its bitmap."""
-    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs))
+    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, rule.words))
     names = [c.split()[0] for c in _SIGNED.split(", ")]
 
     def rarest(found: np.ndarray) -> np.ndarray:
-        some = len(found) - (PERCENT * len(found) + 99) // 100 + 1 if len(found) else 0
+        some = len(found) - (rule.percent * len(found) + 99) // 100 + 1 if len(found) else 0
         return found[np.lexsort((found, counts.value[found & np.uint64(SLOTS - 1)]))[:some]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py()) for t in batch["text"]]
+            found = [shingles(t.as_py(), rule.words) for t in batch["text"]]
             sums = np.array([(x.sum(dtype=np.uint64), _mixed(x ^ _STEP).sum(dtype=np.uint64)) for x in found], np.uint64)
             sums = sums.reshape(len(found), 2).view(np.int64)
             first = [rarest(x).view(np.int64) for x in found]
@@ -152,10 +168,13 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SIGNED)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = pa.array([shingles(t.as_py()).tobytes() for t in batch["text"]], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
+def _sets(words_each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([shingles(t.as_py(), words_each).tobytes() for t in batch["text"]], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["doc"], found], ["doc", "members"])
+
+    return run
 
 
 def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -184,65 +203,74 @@ def _stacked(bits: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduce(x.reshape(-1, words), axis=0) for x in bits])
 
 
-def _possible(i: int, others: np.ndarray, marks: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _possible(i: int, others: np.ndarray, marks: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
     """Those of the others whose sizes and bitmaps leave a link with member i possible."""
-    others = others[np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * PERCENT]
+    others = others[np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * percent]
     both = n[others] + n[i]
     overlap = (both - np.bitwise_count(marks[others] ^ marks[i]).sum(axis=1, dtype=np.int64)) // 2
-    return others[(100 + PERCENT) * overlap >= PERCENT * both]
+    return others[(100 + percent) * overlap >= percent * both]
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _groups(percent: int):
     """Members of a tile that a link is possible between, under a name made of all of them."""
-    for rows in _by_key(batches):
-        doc, label, n, side, home = (rows[c].to_numpy() for c in ("doc", "class", "n", "side", "home"))
-        marks = _stacked([np.frombuffer(x.as_buffer(), np.uint64) for x in rows["bits"]])
-        group, found = np.arange(len(doc)), np.zeros(len(doc), bool)
-        crossing = side.min() != side.max()
-        for i in range(len(doc) - 1):
-            later = slice(i + 1, None)
-            # Two sets of the upper band meet in its own tile, two of one block in the block's.
-            open_ = (label[later] != label[i]) & (group[later] != group[i]) & (home[later] | home[i])
-            if crossing:
-                open_ &= side[later] != side[i]
-            for j in _possible(i, np.flatnonzero(open_) + i + 1, marks, n).tolist():
-                found[i] = found[j] = True
-                if group[i] != group[j]:
-                    group[group == group[j]] = group[i]
-        if found.any():
-            doc, group = doc[found], group[found]
-            names = {g: xxhash.xxh3_64_intdigest(np.sort(doc[group == g]).tobytes()) - (1 << 63) for g in np.unique(group).tolist()}
-            keys = pa.array([names[g] for g in group.tolist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(doc)], ["key", "doc"])
-
-
-def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_key(batches):
+            doc, label, n, side, home = (rows[c].to_numpy() for c in ("doc", "class", "n", "side", "home"))
+            marks = _stacked([np.frombuffer(x.as_buffer(), np.uint64) for x in rows["bits"]])
+            group, found = np.arange(len(doc)), np.zeros(len(doc), bool)
+            crossing = side.min() != side.max()
+            for i in range(len(doc) - 1):
+                later = slice(i + 1, None)
+                # Two sets of the upper band meet in its own tile, two of one block in the block's.
+                open_ = (label[later] != label[i]) & (group[later] != group[i]) & (home[later] | home[i])
+                if crossing:
+                    open_ &= side[later] != side[i]
+                for j in _possible(i, np.flatnonzero(open_) + i + 1, marks, n, percent).tolist():
+                    found[i] = found[j] = True
+                    if group[i] != group[j]:
+                        group[group == group[j]] = group[i]
+            if found.any():
+                doc, group = doc[found], group[found]
+                names = {g: xxhash.xxh3_64_intdigest(np.sort(doc[group == g]).tobytes()) - (1 << 63) for g in np.unique(group).tolist()}
+                keys = pa.array([names[g] for g in group.tolist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(doc)], ["key", "doc"])
+
+    return run
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _settled(percent: int):
     """Links between classes, confirmed on full sets; no more of them than join the classes."""
     schema = pa.schema([("cx", pa.int64()), ("cy", pa.int64())])
-    for rows in _by_key(batches):
-        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows["members"]]
-        label, n = rows["class"].to_numpy().copy(), np.array([len(x) for x in sets], np.int64)
-        marks, links = _stacked([bitmap(x) for x in sets]), []
-        for i in range(len(sets) - 1):
-            for j in _possible(i, np.flatnonzero(label[i + 1 :] != label[i]) + i + 1, marks, n).tolist():
-                if label[i] != label[j] and _linked(sets[i], sets[j]):
-                    links.append((int(label[i]), int(label[j])))
-                    label[label == label[j]] = label[i]
-        if links:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_key(batches):
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows["members"]]
+            label, n = rows["class"].to_numpy().copy(), np.array([len(x) for x in sets], np.int64)
+            # Wider here, so that few pairs just below the threshold are left to the sets.
+            marks, links = _stacked([bitmap(x, 16) for x in sets]), []
+            for i in range(len(sets) - 1):
+                for j in _possible(i, np.flatnonzero(label[i + 1 :] != label[i]) + i + 1, marks, n, percent).tolist():
+                    if label[i] != label[j] and _linked(sets[i], sets[j], percent):
+                        links.append((int(label[i]), int(label[j])))
+                        label[label == label[j]] = label[i]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], schema=schema)
+
+    return run
 
 
 class _Join:
     """Classes of sets, named by the smallest doc_id in them, and the full sets read so far."""
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, signatures: DataFrame):
+    def __init__(self, docs: DataFrame, signatures: DataFrame, rule: Rule, labels: DataFrame):
         self.docs, self.signatures = docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), signatures
-        self.labels = spark.createDataFrame([], "doc long, class long")
+        self.rule, self.labels = rule, labels
         self.sets: DataFrame | None = None
 
     def with_class(self, rows: DataFrame) -> DataFrame:
@@ -257,12 +285,14 @@ class _Join:
         n = ids.count()
         if n:
             # The ids travel to the texts as long as they are few; else both are shuffled.
-            texts = self.docs.join(F.broadcast(ids) if n <= FEW else ids, "doc").mapInArrow(_sets, "doc long, members binary")
+            texts = self.docs.join(F.broadcast(ids) if n <= FEW else ids, "doc").mapInArrow(_sets(self.rule.words), "doc long, members binary")
             read = staged(texts, "sets")
             self.sets = read if self.sets is None else self.sets.unionByName(read)
         return self.sets.dropDuplicates(["doc"]) if self.sets is not None else None
 
     def _join_classes(self, links: DataFrame) -> None:
+        from tallyfold.llm.near_copies import components  # which uses this join for its large nodes
+
         if links.isEmpty():
             return
         new = components(links).select(F.col("node").alias("class"), F.col("root").alias("_root"))
@@ -274,15 +304,15 @@ class _Join:
         """Find the links between classes in tiles; with `across`, between the blocks of large ones too."""
         members = self.with_class(members)
         several = members.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-        units = _units(_tiles(members.join(several.select("key"), "key")), across)
+        units = _units(_tiles(members.join(several.select("key"), "key"), self.rule.band), across)
         described = units.join(self.signatures.select("doc", "n", "bits"), "doc")
         dealt = lambda rows: rows.repartition("key").sortWithinPartitions("key", "doc")
         columns = ["key", "doc", "class", "n", "side", "home", "bits"]
-        groups = staged(dealt(described.select(*columns)).mapInArrow(_groups, "key long, doc long").distinct(), "groups")
+        groups = staged(dealt(described.select(*columns)).mapInArrow(_groups(self.rule.percent), "key long, doc long").distinct(), "groups")
         if groups.isEmpty():
             return
         whole = self.with_class(groups).join(self._sets_of(groups.select("doc")), "doc").select("key", "doc", "class", "members")
-        self._join_classes(staged(dealt(whole).mapInArrow(_settled, "cx long, cy long").distinct(), "links"))
+        self._join_classes(staged(dealt(whole).mapInArrow(_settled(self.rule.percent), "cx long, cy long").distinct(), "links"))
 
 
 def _units(tiles: DataFrame, across: bool) -> DataFrame:
@@ -318,18 +348,33 @@ def _units(tiles: DataFrame, across: bool) -> DataFrame:
     return few.unionByName(dealt.join(units, ["tile", "block"]).select("key", "doc", "class", "home", "side"))
 
 
-def _tiles(members: DataFrame) -> DataFrame:
+def _tiles(members: DataFrame, width: float) -> DataFrame:
     """Members by shingle and band: at home in their own band's tile, and as guests in the one below."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(_BAND))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width))
     home = F.explode(F.array(F.lit(True), F.lit(False))).alias("home")
     each = members.select("key", "doc", "class", band.alias("band"), home)
     return each.select(F.xxhash64("key", F.col("band") - (~F.col("home")).cast("int")).alias("tile"), "doc", "class", "home")
 
 
-def linked_components(docs: DataFrame) -> DataFrame:
+def joined_labels(docs: DataFrame, sets: DataFrame, rule: Rule, labels: DataFrame) -> DataFrame:
+    """doc and class (the smallest doc_id reachable) of sets with links; `labels` has links known before.
+
+    `sets` has doc, n, prefix and bits, one row per set, and must not be worked out anew for each use.
+    """
+    rows = sets.select("doc", "n", F.explode("prefix").alias("key"))
+    shared = staged(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "shared")
+    members = staged(rows.join(shared, "key").select("key", "doc", "n"), "members")
+    join = _Join(docs, sets, rule, labels)
+    ends = members.groupBy("doc").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    some = members.join(ends, "doc").where("key = low OR key = high").drop("low", "high")
+    join.settle(some, across=False)
+    join.settle(members, across=True)
+    return join.labels
+
+
+def linked_components(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id."""
-    spark = docs.sparkSession
-    found = staged(signed(docs).withColumn("_row", F.monotonically_increasing_id()), "signatures")
+    found = staged(signed(docs, rule).withColumn("_row", F.monotonically_increasing_id()), "signatures")
     # Of equal sets one row stands for all: that of the smallest doc_id.
     same = found.where("n > 0").groupBy("a", "b", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
     whole = found.where("n > 0").join(same, ["a", "b", "n"])
@@ -337,15 +382,8 @@ def linked_components(docs: DataFrame) -> DataFrame:
     marks = [F.when(stands, F.col(name)).alias(name) for name in ("prefix", "bits")]
     classes = staged(whole.select("doc_id", "n", F.col("first.doc_id").alias("first"), *marks), "classes")
     sets = classes.where("bits IS NOT NULL").select(F.col("doc_id").alias("doc"), "n", "prefix", "bits")
-    rows = sets.select("doc", "n", F.explode("prefix").alias("key"))
-    shared = staged(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "shared")
-    members = staged(rows.join(shared, "key").select("key", "doc", "n"), "members")
-    join = _Join(spark, docs, sets)
-    ends = members.groupBy("doc").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    some = members.join(ends, "doc").where("key = low OR key = high").drop("low", "high")
-    join.settle(some, across=False)
-    join.settle(members, across=True)
-    labels = join.labels.withColumnRenamed("doc", "first")
+    none_yet = docs.sparkSession.createDataFrame([], "doc long, class long")
+    labels = joined_labels(docs, sets, rule, none_yet).withColumnRenamed("doc", "first")
     linked = classes.join(labels, "first", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "first").alias("component_id")
     )
