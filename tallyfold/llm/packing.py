@@ -18,11 +18,10 @@ import math
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress, count, repeat
-from operator import is_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,61 +33,111 @@ END = 1
 PARTNERS = 4  # triples enumerated per length
 SWEEPS = 30
 WASTE = WINDOW // 128  # places a combination of the residual may leave open
-REMEMBERED = 800_000  # words whose ids a worker keeps
+REMEMBERED = 1_500_000  # words whose ids a worker keeps
 _TEXTS = 4 << 20  # characters tokenized at a time
 
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
-_POINTS = b".,;:!?"
+_POINTS = ".,;:!?"
+_MARK = "<|"  # how the strings of special tokens begin
+_WORD_END = "</w>"  # how tokens that end a word are marked
 
 
 class WordIds:
-    """Token ids of words as bytes (little-endian, 32 bits), remembered from text to text.
+    """Token ids of words, remembered from text to text.
 
     The tokenizer reads runs without white space one by one, so a text's ids are those of its
     words in a row, and so are those of a word and the point, comma or mark after a letter.
+    Texts that may hold the string of a special token are read whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings that look like special tokens are ordinary text here.
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        points = {bytes([c]) for c in _POINTS}
-        split = {w for w in words if len(w) > 1 and w[-1:] in points and w[-2:-1].isalpha()}
-        parts = {w[:-1] for w in split} | {w[-1:] for w in split} | (words - split)
-        self._encode([w for w in parts if w not in self.known])
-        for w in split:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
-
-    def _encode(self, new: list[bytes]) -> None:
-        """One call for many words; the places of the ids tell the words apart."""
-        for at in range(0, len(new), 4096):
-            part = [w.decode() for w in new[at : at + 4096]]
-            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
-            starts = np.array([a for a, _ in encoded.offsets], np.int64)
-            firsts = np.cumsum([0] + [len(w) + 1 for w in part])
-            cuts = np.searchsorted(starts, firsts, side="left")
-            for word, a, b in zip(new[at : at + 4096], cuts[:-1], cuts[1:], strict=True):
-                self.known[word] = ids[a:b].tobytes()
-
-    def read(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; words not met before are learnt together."""
+        # The string of a special token parts words that are read together; no word holds one.
+        special = self.tokenizer.get_added_tokens_decoder()
+        self._part, self._parting = next((t.content, i) for i, t in special.items() if t.content.startswith(_MARK))
+        self._last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self._last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(_WORD_END)]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self._ids, self._starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        # An empty word stands where a text begins or ends with white space.
+        self._add([""], self._ids, np.zeros(1, np.int64))
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self._ids = np.concatenate([self._ids, ids])
+        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, found together."""
+        split = [w for w in words if len(w) > 1 and w[-1] in _POINTS and w[-2].isascii() and w[-2].isalpha()]
+        parts = {w[:-1] for w in split} | {w[-1] for w in split} | set(words).difference(split)
+        new = [w for w in parts if w not in self.known]
+        letters, others = [], []
+        for w in new:
+            (letters if w.isalpha() and w == w.lower() else others).append(w)
+        for found, encode in ((letters, self._encode_plain), (others, self._encode)):
+            for at in range(0, len(found), 4096):
+                self._add(found[at : at + 4096], *encode(found[at : at + 4096]))
+        if split:
+            both = np.array([[self.known[w[:-1]], self.known[w[-1]]] for w in split], np.int64)
+            ids, upto = self._gathered(both.ravel())
+            self._add(split, ids, np.diff(upto[::2]))
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many words in a row, and how many each has, by one call."""
+        ids = np.array(self.tokenizer.encode(self._part.join(words), add_special_tokens=False).ids, np.uint32)
+        bounds = np.concatenate([[-1], np.flatnonzero(ids == self._parting), [len(ids)]])
+        return ids[ids != self._parting], np.diff(bounds) - 1
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, which the tokenizer does not part: each has one end of a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(self._last[ids])
+        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self._encode(words)
+
+    def _gathered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words in a row, and the bounds of the words."""
+        firsts = self._starts[words]
+        sizes = self._starts[words + 1] - firsts
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        return self._ids[np.repeat(firsts - upto[:-1], sizes) + np.arange(upto[-1])], upto
+
+    def flat(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids in a row, each text's followed by `end`, and the bounds of the texts."""
+        whole = {k: t for k, t in enumerate(texts) if _MARK in t}
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self._clear()
         # A-Z only; the tokenizer lowers all letters anyway.
-        words = [text.encode().lower().split() for text in texts]
-        found = [list(map(self.known.get, each)) for each in words]
-        gaps = [list(compress(count(), map(is_, ids, repeat(None)))) for ids in found]
-        self._learn({each[k] for each, missing in zip(words, gaps, strict=True) for k in missing})
-        for each, ids, missing in zip(words, found, gaps, strict=True):
-            for k in missing:
-                ids[k] = self.known[each[k]]
-        return [b"".join(ids) for ids in found]
+        lowered = pc.ascii_lower(pa.array(["" if k in whole else t for k, t in enumerate(texts)], pa.string()))
+        words = pc.ascii_split_whitespace(lowered)
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = list(map(self.known.get, distinct))
+        if None in at:
+            self._learn([w for w, i in zip(distinct, at, strict=True) if i is None])
+            at = list(map(self.known.__getitem__, distinct))
+        ids, upto = self._gathered(np.array(at, np.int64)[coded.indices.to_numpy()])
+        counts = np.diff(upto[words.offsets.to_numpy()])
+        if whole:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for k, text in whole.items():
+                parts[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts])
+        extra = 0 if end is None else 1
+        bounds = np.concatenate([[0], np.cumsum(counts + extra)])
+        out = np.full(bounds[-1], 0 if end is None else end, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)) * extra, counts)] = ids
+        return out, bounds
+
+    def read(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text (little-endian, 32 bits); words not met before are learnt together."""
+        ids, bounds = self.flat(texts)
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 _WORKER: dict[str, WordIds] = {}
@@ -96,20 +145,20 @@ _WORKER: dict[str, WordIds] = {}
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """Whole windows and remainders of all documents, with their ids."""
-    last = int(end).to_bytes(4, "little")
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())]
-    )
-
-    def packed_rows(words: WordIds, ids: list[int], texts: list[str]) -> pa.RecordBatch:
-        rows = []
-        for doc_id, found in zip(ids, words.read(texts), strict=True):
-            whole = found + last
-            n = len(whole) // 4
-            for start in range(0, n, window):
-                part = whole[4 * start : 4 * (start + window)]
-                rows.append((doc_id, start, len(part) // 4, n, part))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+
+    def packed_rows(words: WordIds, doc_ids: list[int], texts: list[str]) -> pa.RecordBatch:
+        ids, bounds = words.flat(texts, end)
+        sizes = np.diff(bounds)
+        times = -(-sizes // window)
+        doc = np.repeat(np.arange(len(texts)), times)
+        start = (np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times)) * window
+        length = np.minimum(sizes[doc] - start, window)
+        # The pieces lie end to end in the ids, so they are cut out of one buffer.
+        places = pa.py_buffer(np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32).tobytes())
+        cut = pa.Array.from_buffers(pa.binary(), len(doc), [None, places, pa.py_buffer(ids.astype("<u4").tobytes())])
+        columns = [pa.array(doc_ids, pa.int64()).take(pa.array(doc)), *map(pa.array, (start, length, sizes[doc])), cut]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WORKER.get(tokenizer) or _WORKER.setdefault(tokenizer, WordIds(tokenizer))
@@ -119,7 +168,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
                 ids.append(doc_id.as_py())
                 texts.append(text.as_py() or "")
                 held += len(texts[-1])
-                if held > _TEXTS:
+                if held >= _TEXTS:
                     yield packed_rows(words, ids, texts)
                     ids, texts, held = [], [], 0
             if ids:
