@@ -35,7 +35,7 @@ from tallyfold.llm.common import staged
 
 LANE = 1024  # bytes of text a lane covers
 PAIRS_SENT = 1_500_000  # pairs of ids up to which their counts are sent to all tasks
-_TEXTS = 4 << 20  # characters tokenized at a time
+_TEXTS = 1 << 20  # characters tokenized at a time
 _BITS = 24  # of an id in a pair; vocabularies are smaller by far
 
 # How the byte-level vocabulary splits a text before merging, and the bytes it
