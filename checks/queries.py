@@ -125,8 +125,7 @@ def ingest_statements_shuffled(spark, folder):
 def ingest_from_files(spark, folder):
     """The statement lines written out as files, one per customer, and ingested from there."""
     path = fx.statement_files(spark, folder)
-    named = F.regexp_extract("file", "folder=([^/]+)/", 1)
-    files = statements.list_files(spark, path).select("file", named.alias("file_name"))
+    files = statements.list_files(spark, path).select("file", ing.base_name("file").alias("file_name"))
     accounts = files.join(fx.accounts(spark, folder), "file_name").drop("file_name")
     return ing.ingest_files(spark, path, accounts.withColumnRenamed("file", "file_name"))
 

@@ -21,9 +21,8 @@ from tallyfold.sources.statements import (
     EMPTY,
     NO_ACCOUNT,
     discover_headers,
-    list_files,
     map_columns,
-    read_statement_lines,
+    read_files_and_lines,
     rejected_files,
     statement_rows,
     wide_rows,
@@ -186,8 +185,7 @@ def load_files(
 
     The lines are read once and kept below the shared folder.
     """
-    files = list_files(spark, paths)
-    lines = read_statement_lines(spark, paths, multiline)
+    files, lines = read_files_and_lines(spark, paths, multiline)
     small = fits_broadcast(files.select("file")) and fits_broadcast(accounts)
     return load_lines(lines, accounts, small=small, files=files, **options)
 

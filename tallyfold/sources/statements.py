@@ -4,8 +4,11 @@ Files are read by line and split by Spark as usual, so a very large file is many
 work. All files of a load go through one scan; nothing loops over files.
 """
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,7 @@ DATE_ALIASES = ("date", "trans. date", "transaction date", "post date")
 DESC_ALIASES = ("description", "memo", "details", "transaction description", "name", "payee", "merchant")
 AMT_ALIASES = ("amount", "amt", "value", "transaction amount", "charge")
 HEADER_WINDOW = 25
+OPEN_COST = 65536  # bytes that opening a file counts for; statements are small, so a task reads many
 
 NO_HEADER = "no header row with a date and a description column"
 NO_ROLES = "date or description column not mapped"
@@ -51,8 +55,29 @@ def placed(text: DataFrame, line: Column) -> DataFrame:
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """All files by path, those without any line included: the listing that a read starts from."""
-    found = spark.read.text(paths, recursiveFileLookup=True).inputFiles()
-    return spark.createDataFrame([(uri,) for uri in found], "uri string").select(on_disk("uri").alias("file"))
+    return _listed(spark.read.text(paths, recursiveFileLookup=True))
+
+
+def _listed(text: DataFrame) -> DataFrame:
+    """The files of a read by path. Names come as one text, as URIs hold no line breaks; one by one they take minutes."""
+    spark = text.sparkSession
+    names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", text._jdf.inputFiles())
+    found = pa.table({"uri": pa.array(names.split("\n") if names else [], pa.string())})
+    return spark.createDataFrame(found).select(on_disk("uri").alias("file"))
+
+
+@contextmanager
+def _many_to_a_task(spark: SparkSession) -> Iterator[None]:
+    """Let small files share tasks by their bytes, unless the session says what opening a file costs."""
+    name = "spark.sql.files.openCostInBytes"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, str(OPEN_COST))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
 
 
 def empty_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -70,11 +95,19 @@ def read_statement_lines(spark: SparkSession, paths: str | list[str], multiline:
     `multiline`, a quoted cell may hold line breaks and a `line` is a whole record; files are
     split all the same, at the price of a shuffle of their lines.
     """
-    if multiline:
-        # Split at line feeds only, so that a carriage return inside a cell is kept.
-        text = spark.read.text(paths, recursiveFileLookup=True, lineSep="\n")
-        return kept(spark, records(kept(spark, placed(text, F.col("value")))))
-    return kept(spark, placed(spark.read.text(paths, recursiveFileLookup=True), F.col("value")))
+    return read_files_and_lines(spark, paths, multiline)[1]
+
+
+def read_files_and_lines(
+    spark: SparkSession, paths: str | list[str], multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """`list_files` and `read_statement_lines` from one listing."""
+    # Split at line feeds only, so that a carriage return inside a cell is kept.
+    ends = {"lineSep": "\n"} if multiline else {}
+    text = spark.read.text(paths, recursiveFileLookup=True, **ends)
+    with _many_to_a_task(spark):
+        lines = kept(spark, placed(text, F.col("value")))
+    return _listed(text), kept(spark, records(lines)) if multiline else lines
 
 
 def split_cells(line: Column | str) -> Column:

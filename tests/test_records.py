@@ -100,3 +100,31 @@ def test_files_are_listed_with_empty_ones(spark, tmp_path):
     assert {r.file for r in statements.list_files(spark, str(tmp_path)).collect()} == {one, two}
     assert [r.file for r in statements.empty_files(spark, str(tmp_path)).collect()] == [two]
     assert {r.file for r in statements.read_statement_lines(spark, str(tmp_path)).collect()} == {one}
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for k in range(1200):
+        (tmp_path / f"f{k}.csv").write_text(f"Date,Description,Amount\n2024-01-01,shop {k},-1.00\n")
+    (tmp_path / "none.csv").write_text("")
+    files, lines = statements.read_files_and_lines(spark, str(tmp_path))
+    assert lines.count() == 2400
+    # Each file counted for 4 MB before, so that there was a task for every 32 of them.
+    assert len(lines.inputFiles()) <= spark.sparkContext.defaultParallelism + 1
+    assert files.count() == 1201
+    assert spark.conf.get("spark.sql.files.openCostInBytes", None) is None
+
+
+def test_statement_files_are_named_like_customers(spark, tmp_path):
+    from checks import fixtures as fx
+
+    customers = [(None if k == 7 else k, f"c{k}") for k in range(1200, 1230)] + [(7, "c7"), (None, "nobody")]
+    spark.createDataFrame(customers, "c_custkey long, c_name string").write.parquet(str(tmp_path / "customer.parquet"))
+    orders = "SELECT id AS o_orderkey, IF(id = 5, NULL, 1200 + id % 30) AS o_custkey, 'F' AS o_orderstatus, "
+    orders += "1.5D AS o_totalprice, TIMESTAMP'2000-01-01' AS o_orderdate FROM range(90)"
+    spark.sql(orders).write.parquet(str(tmp_path / "orders.parquet"))
+    found = [r.file for r in statements.list_files(spark, fx.statement_files(spark, str(tmp_path))).collect()]
+    # One file per customer, and one for those without a key; not a folder for each.
+    assert sorted(f.rsplit("/", 1)[1] for f in found) == sorted([*[f"cust_{k}.csv" for k in [*range(1200, 1230), 7]], "unnamed.csv"])
+    assert {f.rsplit("/", 2)[1] for f in found} == {"cust_120", "cust_121", "cust_122", "cust_7.c", "unnamed."}
+    lines = fx.statement_lines(spark, str(tmp_path)).count()
+    assert spark.read.text(found).where("value <> ''").count() == lines
