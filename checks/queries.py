@@ -18,7 +18,7 @@ from tallyfold.operators import reports as rep
 from tallyfold.operators import tables as tab
 from tallyfold.operators.skew import fits_broadcast
 from tallyfold.schemas import P2P, RAW_TRANSACTIONS
-from tallyfold.session import scratch_path, tune
+from tallyfold.session import kept, scratch_path, tune
 from tallyfold.sources import sidecars, statements
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -451,13 +451,14 @@ def stored_ledger(spark, folder):
     """Insert-if-absent, relabelling and deletion on a stored, month-partitioned ledger."""
     path = scratch_path(spark, "ledger")
     arrived = _raw_of(spark, folder, "F", "O")
-    filled = cl.classify(arrived.drop(*ing.ARRIVAL))
+    # Four changes take the batch, so it is classified once and kept.
+    filled = kept(spark, cl.classify(arrived.drop(*ing.ARRIVAL)), "filled")
     placed = filled.withColumn("pos", F.lit(0))
     tab.create_monthly(spark, path)
     tab.append_monthly(spark, path, filled.where(F.col("direction") == "Expense"))
-    tab.append_absent(spark, path, placed, ["pos"])
-    tab.append_absent(spark, path, placed, ["pos"])
-    tab.rewrite_labels(spark, path, filled.withColumn("channel", F.upper("channel")))
+    tab.append_absent(spark, path, placed, ["pos"], stored=True)
+    tab.append_absent(spark, path, placed, ["pos"], stored=True)
+    tab.rewrite_labels(spark, path, filled.withColumn("channel", F.upper("channel")), stored=True)
     tab.delete_rows(spark, path, F.col("account_name") == "acct_3")
     return tab.read_monthly(spark, path)
 

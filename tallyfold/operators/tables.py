@@ -7,6 +7,7 @@ kept in versions (see versions.py): a change is seen as a whole or not at all.
 
 import uuid
 from collections.abc import Callable, Iterable
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,10 +84,10 @@ _SCHEMA = "_schema"  # an empty file with the table's columns; readers of the ta
 
 
 def _stamped(df: DataFrame, date: str) -> DataFrame:
-    """Range-partitioned by month, so a busy month is spread over several tasks and a quiet one
-    does not become many small files."""
-    order = ["month", *[name for name in (KEY,) if name in df.columns]]
-    return df.withColumn("month", _month(date)).repartitionByRange(*order)
+    """Dealt by month and evened out by what arrived, so a busy month is spread over several tasks
+    and a quiet one does not become many small files. Unlike a range, it takes no sample first,
+    for which the whole frame would be worked out once more."""
+    return df.withColumn("month", _month(date)).hint("rebalance", "month")
 
 
 def _month(date: str) -> Column:
@@ -174,37 +175,41 @@ def months_in(df: DataFrame, date: str = "transaction_date") -> list[str]:
     return sorted(row.month for row in found)
 
 
-def _kept(spark: SparkSession, df: DataFrame) -> Scratch:
-    """The frame written below the shared folder: a lazy batch is worked out once, not at every use."""
-    return Scratch(spark, df, "batch")
+def _kept(spark: SparkSession, df: DataFrame, stored: bool):
+    """The frame written below the shared folder: a lazy batch is worked out once, not at every use.
+    One that its caller has stored already is read from there."""
+    return nullcontext(df) if stored else Scratch(spark, df, "batch")
 
 
-def append_absent(spark: SparkSession, path: str, batch: DataFrame, order: Iterable[str]) -> None:
+def append_absent(
+    spark: SparkSession, path: str, batch: DataFrame, order: Iterable[str], *, stored: bool = False
+) -> None:
     """Insert-if-absent into a stored table. Running it again adds nothing.
 
     The key covers the date text, so equal keys share a month. The batch's keys are probed
     against the filters of its months; keys are read again only from the runs that may hold
-    one of them. Columns that serve `order` only need not be stored.
+    one of them. Columns that serve `order` only need not be in the table. `stored` says that the
+    batch is on disk, so that it is not written once more.
     """
     order = list(order)
-    with _kept(spark, batch) as batch:
+    with _kept(spark, batch, stored) as batch:
         keys = batch.select(KEY, _month("transaction_date").alias("month"))
 
         def step(base: versions.Version):
             maybe = versions.may_hold(spark, path, base, keys, KEY)
             # At most one row per run and month, as in the version's file.
             places = [f"run={r.run}/month={r.month}" for r in maybe.select("run", "month").distinct().collect()]
-            stored = versions.read_runs(spark, path, stored_schema(spark, path), sorted(places)).drop("month")
-            fresh = new_rows(stored, batch, order=order)
+            there = versions.read_runs(spark, path, stored_schema(spark, path), sorted(places)).drop("month")
+            fresh = new_rows(there, batch, order=order)
             run = versions.write_run(spark, path, _stamped(_checked(spark, path, fresh), "transaction_date"), KEY)
             return (run, set()) if run else None
 
         versions.change(spark, path, step)
 
 
-def rewrite_labels(spark: SparkSession, path: str, batch: DataFrame) -> None:
-    """Upsert labels in a stored ledger; only months of the batch are rewritten."""
-    with _kept(spark, batch) as batch:
+def rewrite_labels(spark: SparkSession, path: str, batch: DataFrame, *, stored: bool = False) -> None:
+    """Upsert labels in a stored ledger; only months of the batch are rewritten. `stored` as in `append_absent`."""
+    with _kept(spark, batch, stored) as batch:
         months = months_in(batch)
         _replace_months(spark, path, lambda base: (upsert_labels(_read(spark, path, base, months), batch), months))
 

@@ -18,6 +18,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,11 +203,10 @@ def read_runs(spark: SparkSession, path: str, schema: StructType, folders: list[
     return spark.read.schema(whole).option("basePath", path).parquet(*paths).drop("run")
 
 
-def _bits(key: Column, bitmaps: Column) -> tuple[Column, Column]:
+def _bits(key: Column, bitmaps: Column) -> tuple[Column, list[Column]]:
     """Which bitmap of so many a key belongs to, and its bits there."""
-    whole = F.xxhash64(key)
-    places = F.transform(F.sequence(F.lit(1), F.lit(PROBES)), lambda k: F.pmod(F.xxhash64(key, k), F.lit(BITMAP_BITS)))
-    return F.pmod(whole, bitmaps), places
+    places = [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(BITMAP_BITS)) for k in range(1, PROBES + 1)]
+    return F.pmod(F.xxhash64(key), bitmaps), places
 
 
 def _write_filter(spark: SparkSession, path: str, run: str, schema: StructType, key: str) -> dict[str, int]:
@@ -217,7 +217,7 @@ def _write_filter(spark: SparkSession, path: str, run: str, schema: StructType,
     counts = {r["month"]: r["n"] for r in keys.groupBy("month").agg(F.count("*").alias("n")).collect()}
     sizes = {month: -(-n // KEYS_PER_BITMAP) for month, n in counts.items()}
     bitmap, places = _bits(F.col(key), F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("month")))
-    bits = keys.select("month", bitmap.alias("bitmap"), F.explode(places).alias("place"))
+    bits = keys.select("month", bitmap.alias("bitmap"), F.explode(F.array(*places)).alias("place"))
     whole = bits.groupBy("month", "bitmap").agg(F.bitmap_construct_agg("place").alias("bits"))
     whole.write.parquet(f"{path}/{_FILTERS}/run={run}")
     return sizes
@@ -234,12 +234,13 @@ def may_hold(spark: SparkSession, path: str, version: Version, keys: DataFrame,
     if filtered:
         # One row per run and month, as in the version's file.
         sizes = spark.createDataFrame(filtered, "run string, month string, bitmaps int")
-        place, bits = _bits(F.col(key), F.col("bitmaps"))
-        probes = keys.select(key, "month").join(F.broadcast(sizes), "month").select("*", place.alias("bitmap"), bits.alias("places"))
+        place, places = _bits(F.col(key), F.col("bitmaps"))
+        probes = keys.select(key, "month").join(F.broadcast(sizes), "month").select("*", place.alias("bitmap"))
         kind = "month string, bitmap long, bits binary, run string"
         folders = [f"{path}/{_FILTERS}/run={run}" for run in sorted({run for run, _, _ in filtered})]
         stored = spark.read.schema(kind).option("basePath", f"{path}/{_FILTERS}").parquet(*folders)
-        known = F.forall("places", lambda p: F.getbit(_byte_of(p), p % 8) == 1)
+        # One condition per bit, in turn: most keys that are not there fail the first, and none is interpreted.
+        known = reduce(Column.__and__, [F.getbit(_byte_of(p), p % 8) == 1 for p in places])
         found = probes.join(stored, ["run", "month", "bitmap"]).where(known).select(key, "month", "run")
     if plain:
         others = spark.createDataFrame(plain, "run string, month string")

@@ -161,3 +161,48 @@ def test_runs_without_filters_are_read(spark, tmp_path):
     versions.change(spark, path, lambda base: (run, set()))
     tables.append_absent(spark, path, ledger(spark, range(55, 75)), ["transaction_id"])
     assert bag(tables.read_monthly(spark, path)) == bag(ledger(spark, [*range(30), *range(55, 75)]))
+
+
+def test_a_batch_is_worked_out_once(spark, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = {"transaction_id": "md5(CAST(id AS STRING))", "transaction_date": "DATE_ADD(DATE'2020-01-01', CAST(id % 90 AS INT))"}
+    columns = [f"CAST({made.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in LEDGER.fields]
+    rows = spark.range(4000).selectExpr(*columns)
+    batch = rows.mapInArrow(counted, rows.schema)
+    path = str(tmp_path / "ledger")
+    tables.create_monthly(spark, path)
+    tables.append_monthly(spark, path, batch)
+    # The rows were worked out a second time before, for a sample of their range.
+    assert seen.value == 4000
+    # A batch that lies on disk is not written again.
+    place = str(tmp_path / "batch")
+    rows.write.parquet(place)
+    monkeypatch.setattr(tables, "Scratch", None)
+    tables.append_absent(spark, path, spark.read.parquet(place).withColumn("pos", F.lit(0)), ["pos"], stored=True)
+    tables.rewrite_labels(spark, path, spark.read.parquet(place).withColumn("channel", F.lit("x")), stored=True)
+    found = tables.read_monthly(spark, path)
+    assert found.count() == 4000 and found.where("channel = 'x'").count() == 4000
+
+
+def test_a_busy_month_is_written_by_several_tasks(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    path = str(tmp_path / "raw")
+    rows = spark.range(200_000, numPartitions=8).selectExpr(
+        "md5(CAST(id AS STRING)) AS transaction_id", "IF(id % 100 = 0, DATE'2020-02-02', DATE'2020-01-01') AS transaction_date"
+    )
+    tables.create_monthly(spark, path, rows.schema)
+    spark.conf.set(name, "500000")
+    try:
+        tables.append_monthly(spark, path, rows)
+    finally:
+        spark.conf.unset(name)
+    files = tables.read_monthly(spark, path).inputFiles()
+    assert len([f for f in files if "month=2020-01" in f]) > 2
+    assert len([f for f in files if "month=2020-02" in f]) == 1
+    assert tables.read_monthly(spark, path).count() == 200_000
