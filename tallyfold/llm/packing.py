@@ -18,6 +18,7 @@ import math
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,11 @@ class WordIds:
         self._part, self._parting = next((t.content, i) for i, t in special.items() if t.content.startswith(_MARK))
         self._last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self._last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(_WORD_END)]] = True
+        # A model that takes words of a-z as the tokenizer hands them on is asked directly.
+        self._model = self.tokenizer.model
+        sample = [t.removesuffix(_WORD_END) for t in sorted(self.tokenizer.get_vocab())]
+        sample = [w for w in sample if w.isascii() and w.isalpha() and w.islower()][::97]
+        self._direct = all(np.array_equal(a, b) for a, b in zip(self._encode_letters(sample), self._encode(sample), strict=True))
         self._clear()
 
     def _clear(self) -> None:
@@ -77,10 +83,11 @@ class WordIds:
         split = [w for w in words if len(w) > 1 and w[-1] in _POINTS and w[-2].isascii() and w[-2].isalpha()]
         parts = {w[:-1] for w in split} | {w[-1] for w in split} | set(words).difference(split)
         new = [w for w in parts if w not in self.known]
-        letters, others = [], []
+        plain, letters, others = [], [], []
         for w in new:
-            (letters if w.isalpha() and w == w.lower() else others).append(w)
-        for found, encode in ((letters, self._encode_plain), (others, self._encode)):
+            kind = others if not w.isalpha() or w != w.lower() else plain if self._direct and w.isascii() else letters
+            kind.append(w)
+        for found, encode in ((plain, self._encode_letters), (letters, self._encode_plain), (others, self._encode)):
             for at in range(0, len(found), 4096):
                 self._add(found[at : at + 4096], *encode(found[at : at + 4096]))
         if split:
@@ -100,6 +107,12 @@ class WordIds:
         ends = np.flatnonzero(self._last[ids])
         return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self._encode(words)
 
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of a-z, which stay as they are on their way to the model: no alignments are kept for them."""
+        found = [[token.id for token in self._model.tokenize(w)] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), sizes
+
     def _gathered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of known words in a row, and the bounds of the words."""
         firsts = self._starts[words]
@@ -143,8 +156,8 @@ class WordIds:
 _WORKER: dict[str, WordIds] = {}
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
-    """Whole windows and remainders of all documents, with their ids."""
+def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, width: int = 4) -> DataFrame:
+    """Whole windows and remainders of all documents, with their ids of `width` bytes each (little-endian)."""
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def packed_rows(words: WordIds, doc_ids: list[int], texts: list[str]) -> pa.RecordBatch:
@@ -155,8 +168,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
         start = (np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times)) * window
         length = np.minimum(sizes[doc] - start, window)
         # The pieces lie end to end in the ids, so they are cut out of one buffer.
-        places = pa.py_buffer(np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32).tobytes())
-        cut = pa.Array.from_buffers(pa.binary(), len(doc), [None, places, pa.py_buffer(ids.astype("<u4").tobytes())])
+        places = pa.py_buffer(np.concatenate([[0], np.cumsum(width * length)]).astype(np.int32).tobytes())
+        cut = pa.Array.from_buffers(pa.binary(), len(doc), [None, places, pa.py_buffer(ids.astype(f"<u{width}").tobytes())])
         columns = [pa.array(doc_ids, pa.int64()).take(pa.array(doc)), *map(pa.array, (start, length, sizes[doc])), cut]
         return pa.RecordBatch.from_arrays(columns, names)
 
@@ -288,9 +301,32 @@ _PLACE = T.StructType(
 )
 
 
+def _width(tokenizer: str, end: int) -> int:
+    """Bytes that any id of a tokenizer and the end id need, 2 or 4."""
+    from tokenizers import Tokenizer
+
+    most = max(end, *Tokenizer.from_file(tokenizer).get_vocab().values())
+    return 2 if most < 1 << 16 else 4
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of two bytes to ids of four, a few pieces at a time."""
+    for batch in (whole.slice(at, 2048) for whole in batches for at in range(0, whole.num_rows, 2048)):
+        k = batch.schema.get_field_index("ids")
+        cut = batch.column(k).cast(pa.binary())
+        _, places, held = cut.buffers()
+        places = np.frombuffer(places, np.int32)[cut.offset : cut.offset + len(cut) + 1]
+        ids = np.frombuffer(held or b"", "<u2")[places[0] // 2 : places[-1] // 2].astype("<u4")
+        starts = (2 * (places - places[0])).astype(np.int32)
+        wide = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(starts.tobytes()), pa.py_buffer(ids.tobytes())])
+        yield batch.set_column(k, batch.schema.field(k).with_type(pa.binary()), wide)
+
+
 def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """Per piece: doc_id, start, length, doc_tokens, ids (32 bits each, little-endian), sequence_id, offset."""
-    cut = staged(pieces(docs, tokenizer, window, end), "pieces")
+    # Ids travel in two bytes where they fit, and get their four at the end.
+    width = _width(tokenizer, end)
+    cut = staged(pieces(docs, tokenizer, window, end, width), "pieces")
     # At most one row per length.
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     places = plan(histogram, window)
@@ -317,12 +353,13 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
     )
     parts = stands.withColumn("_part", F.explode(F.filter(both, lambda x: x["length"] > 0)))
     place = F.col("_at") + F.col("_part.skip")
-    return parts.select(
+    laid = parts.select(
         "doc_id",
         (F.col("start") + F.col("_part.skip")).alias("start"),
         F.col("_part.length").alias("length"),
         "doc_tokens",
-        F.expr("substring(ids, CAST(4 * _part.skip + 1 AS INT), CAST(4 * _part.length AS INT))").alias("ids"),
+        F.expr(f"substring(ids, CAST({width} * _part.skip + 1 AS INT), CAST({width} * _part.length AS INT))").alias("ids"),
         F.floor(place / window).cast("long").alias("sequence_id"),
         (place % window).cast("long").alias("offset"),
     )
+    return laid.mapInArrow(_widened, laid.schema) if width == 2 else laid

@@ -278,3 +278,32 @@ def test_top_k_beyond_doubles(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = topk.top_k(vectors, F.col("vec_id") == 0).collect()
     assert [r["vec_id"] for r in found] == [3, 1, 2] and found[1]["score"] - found[2]["score"] == 64 * 64
+
+
+def test_letters_go_to_the_model(monkeypatch):
+    """Words of a-z are looked up in the model itself; before, all went through the whole tokenizer."""
+    words = packing.WordIds(tokenizer_path())
+    whole = words.tokenizer
+    asked = []
+    monkeypatch.setattr(words, "_encode", lambda found: asked.extend(found) or packing.WordIds._encode(words, found))
+    monkeypatch.setattr(words, "_encode_plain", lambda found: asked.extend(found) or packing.WordIds._encode_plain(words, found))
+    texts = ["brond flimsel ok. zzzzqqx", "Brond CAPS x1 né don't", "q" * 3000, ""]
+    found = [np.frombuffer(x, "<u4").tolist() for x in words.read(texts)]
+    assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(set(asked)) == sorted({".", "x1", "né", "don't"})
+
+
+def test_ids_travel_in_two_bytes(spark, odd_docs):
+    docs = odd_docs.where("doc_id > 0").dropDuplicates(["doc_id"])
+    wide, narrow = (
+        {(r.doc_id, r.start): r.ids for r in packing.pieces(docs, tokenizer_path(), width=w).collect()} for w in (4, 2)
+    )
+    assert packing._width(tokenizer_path(), packing.END) == 2 and packing._width(tokenizer_path(), 1 << 16) == 4
+    assert {k: np.frombuffer(v, "<u2").tolist() for k, v in narrow.items()} == {k: np.frombuffer(v, "<u4").tolist() for k, v in wide.items()}
+    read = {}
+    for r in packing.packed(docs, tokenizer_path()).orderBy("doc_id", "start").collect():
+        read[r.doc_id] = read.get(r.doc_id, b"") + r.ids
+    whole = {}
+    for (doc_id, _), ids in sorted(wide.items()):
+        whole[doc_id] = whole.get(doc_id, b"") + ids
+    assert read == whole
