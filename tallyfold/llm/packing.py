@@ -41,6 +41,10 @@ _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 _POINTS = ".,;:!?"
 _MARK = "<|"  # how the strings of special tokens begin
 _WORD_END = "</w>"  # how tokens that end a word are marked
+_BEYOND = "\u0250"  # Latin letters below it stay as they are in any normal form that composes
+# How byte-level vocabularies write bytes: visible ones as themselves, others from 256 on.
+_HIDDEN = [*range(33), *range(127, 161), 173]
+_SPELT = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 
 
 class WordIds:
@@ -60,10 +64,11 @@ class WordIds:
         self._part, self._parting = next((t.content, i) for i, t in special.items() if t.content.startswith(_MARK))
         self._last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self._last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(_WORD_END)]] = True
-        # A model that takes words of a-z as the tokenizer hands them on is asked directly.
+        # A model that takes words of small Latin letters as the tokenizer hands them on is asked directly.
         self._model = self.tokenizer.model
         sample = [t.removesuffix(_WORD_END) for t in sorted(self.tokenizer.get_vocab())]
         sample = [w for w in sample if w.isascii() and w.isalpha() and w.islower()][::97]
+        sample += [f"be{c}r" for c in map(chr, range(128, ord(_BEYOND))) if c.isalpha() and c == c.lower()]
         self._direct = all(np.array_equal(a, b) for a, b in zip(self._encode_letters(sample), self._encode(sample), strict=True))
         self._clear()
 
@@ -85,11 +90,13 @@ class WordIds:
         new = [w for w in parts if w not in self.known]
         plain, letters, others = [], [], []
         for w in new:
-            kind = others if not w.isalpha() or w != w.lower() else plain if self._direct and w.isascii() else letters
+            kind = others if not w.isalpha() or w != w.lower() else plain if self._direct and max(w) < _BEYOND else letters
             kind.append(w)
         for found, encode in ((plain, self._encode_letters), (letters, self._encode_plain), (others, self._encode)):
-            for at in range(0, len(found), 4096):
-                self._add(found[at : at + 4096], *encode(found[at : at + 4096]))
+            # Added at once, as each addition copies what is known.
+            parts = [encode(found[at : at + 4096]) for at in range(0, len(found), 4096)]
+            if parts:
+                self._add(found, *map(np.concatenate, zip(*parts, strict=True)))
         if split:
             both = np.array([[self.known[w[:-1]], self.known[w[-1]]] for w in split], np.int64)
             ids, upto = self._gathered(both.ravel())
@@ -108,8 +115,10 @@ class WordIds:
         return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self._encode(words)
 
     def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words of a-z, which stay as they are on their way to the model: no alignments are kept for them."""
-        found = [[token.id for token in self._model.tokenize(w)] for w in words]
+        """The same for words of small Latin letters, of which only the bytes are spelt out on the way to the model."""
+        ask = self._model.tokenize
+        spelt = [w if w.isascii() else w.encode().decode("latin-1").translate(_SPELT) for w in words]
+        found = [[token.id for token in ask(w)] for w in spelt]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum()), sizes
 

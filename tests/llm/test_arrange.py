@@ -281,7 +281,7 @@ def test_top_k_beyond_doubles(spark):
 
 
 def test_letters_go_to_the_model(monkeypatch):
-    """Words of a-z are looked up in the model itself; before, all went through the whole tokenizer."""
+    """Words of small Latin letters are looked up in the model itself; before, all went through the whole tokenizer."""
     words = packing.WordIds(tokenizer_path())
     whole = words.tokenizer
     asked = []
@@ -290,7 +290,7 @@ def test_letters_go_to_the_model(monkeypatch):
     texts = ["brond flimsel ok. zzzzqqx", "Brond CAPS x1 né don't", "q" * 3000, ""]
     found = [np.frombuffer(x, "<u4").tolist() for x in words.read(texts)]
     assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
-    assert sorted(set(asked)) == sorted({".", "x1", "né", "don't"})
+    assert sorted(set(asked)) == sorted({".", "x1", "don't"})
 
 
 def test_ids_travel_in_two_bytes(spark, odd_docs):
