@@ -3,7 +3,7 @@
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +97,14 @@ def kept(spark: SparkSession, df: DataFrame, label: str = "lines") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_in_turn(spark: SparkSession, frames: Iterable[DataFrame], label: str) -> DataFrame:
+    """Frames of one schema, written below the shared folder one after the other and read back as one."""
+    path = scratch_path(spark, label)
+    for df in frames:
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Scratch:
     """A frame written below the shared folder, for as long as a `with` block lasts.
 

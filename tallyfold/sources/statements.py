@@ -4,8 +4,10 @@ Files are read by line and split by Spark as usual, so a very large file is many
 work. All files of a load go through one scan; nothing loops over files.
 """
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -15,14 +17,21 @@ from pyspark.sql import functions as F
 from tallyfold.functions.columns import as_column, computed_once
 from tallyfold.operators.skew import dimension_join, fits_broadcast
 from tallyfold.sources.records import records
-from tallyfold.session import kept
+from tallyfold.session import kept, kept_in_turn, scratch_path
 
 # Header names that mark a column's role.
 DATE_ALIASES = ("date", "trans. date", "transaction date", "post date")
 DESC_ALIASES = ("description", "memo", "details", "transaction description", "name", "payee", "merchant")
 AMT_ALIASES = ("amount", "amt", "value", "transaction amount", "charge")
 HEADER_WINDOW = 25
-OPEN_COST = 65536  # bytes that opening a file counts for; statements are small, so a task reads many
+FILES_AT_ONCE = 10_000  # files of one read
+# Opening a file counts for few bytes, as statements are small and a task reads many. A task looks up many
+# names, too, where files are named one by one. Listings are not remembered: they would stay on the driver.
+_FOR_MANY_FILES = {
+    "spark.sql.files.openCostInBytes": "65536",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
+}
 
 NO_HEADER = "no header row with a date and a description column"
 NO_ROLES = "date or description column not mapped"
@@ -54,8 +63,14 @@ def placed(text: DataFrame, line: Column) -> DataFrame:
 
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All files by path, those without any line included: the listing that a read starts from."""
-    return _listed(spark.read.text(paths, recursiveFileLookup=True))
+    """All files by path, those without any line included: the listing that a read starts from.
+
+    More files than one read takes are kept below the shared folder.
+    """
+    with _many_files(spark):
+        reads = (_listed(text) for text in _reads(spark, paths))
+        first, second = next(reads), next(reads, None)
+        return first if second is None else kept_in_turn(spark, chain([first, second], reads), "files")
 
 
 def _listed(text: DataFrame) -> DataFrame:
@@ -67,17 +82,96 @@ def _listed(text: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def _many_to_a_task(spark: SparkSession) -> Iterator[None]:
-    """Let small files share tasks by their bytes, unless the session says what opening a file costs."""
-    name = "spark.sql.files.openCostInBytes"
-    if spark.conf.get(name, None) is not None:
-        yield
-        return
-    spark.conf.set(name, str(OPEN_COST))
+def _many_files(spark: SparkSession) -> Iterator[None]:
+    """Settings for reads of many small files, each unless the session gives its own."""
+    own = {name: value for name, value in _FOR_MANY_FILES.items() if spark.conf.get(name, None) is None}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name)
+        for name in own:
+            spark.conf.unset(name)
+
+
+def _reads(spark: SparkSession, paths: str | list[str], **options) -> Iterator[DataFrame]:
+    """Reads that give each file of `paths` once, of FILES_AT_ONCE files at most.
+
+    Spark's driver holds a few kilobytes per file of a read, so it cannot take any number of files in one.
+    """
+    share, size = [], 0
+    for path, files in _pieces(spark, [paths] if isinstance(paths, str) else paths):
+        if share and size + files > FILES_AT_ONCE:
+            yield spark.read.text(share, recursiveFileLookup=True, **options)
+            share, size = [], 0
+        share.append(path)
+        size += files
+    yield spark.read.text(share, recursiveFileLookup=True, **options)
+
+
+def _pieces(spark: SparkSession, paths: list[str]) -> Iterator[tuple[str, int]]:
+    """Paths that hold the files of `paths` between them, with the number of files in each.
+
+    A folder of few files stays whole, and its read lists it; others are taken apart. The driver holds the
+    names of one folder at a time.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsparkSession.sessionState().newHadoopConf()
+
+    def below(system, folder) -> Iterator[tuple[str, int]]:
+        total = system.getContentSummary(folder)
+        if total.getFileCount() <= FILES_AT_ONCE:
+            yield _literal(folder.toString()), total.getFileCount()
+            return
+        if total.getDirectoryCount() == 1:
+            # Nothing but files, whose names come as one text per read; asked one by one they take minutes.
+            places = spark._jvm.scala.Predef.genericWrapArray(hadoop.fs.FileUtil.stat2Paths(system.listStatus(folder)))
+            for start in range(0, places.size(), FILES_AT_ONCE):
+                names = places.slice(start, start + FILES_AT_ONCE).mkString("\0")
+                yield from ((_literal(name), 1) for name in names.split("\0") if not _hidden(name))
+            return
+        for status in system.listStatus(folder):
+            inside = status.getPath()
+            if _hidden(inside.toString()):
+                continue
+            if status.isDirectory():
+                yield from below(system, inside)
+            else:
+                yield _literal(inside.toString()), 1
+
+    roots = {}
+    for path in paths:
+        system = hadoop.fs.Path(path).getFileSystem(conf)
+        found = system.globStatus(hadoop.fs.Path(path))
+        if not found:
+            yield path, 0  # its read says that there is none
+        for status in found or []:
+            roots[status.getPath().toString().rstrip("/")] = system, status
+    for path, (system, status) in roots.items():
+        if any(folder in roots for folder in _listed_by(path)):
+            continue
+        if status.isDirectory():
+            yield from below(system, status.getPath())
+        else:
+            yield _literal(path), 1
+
+
+def _hidden(path: str) -> bool:
+    """Whether listings pass over a file or folder, as Spark's do."""
+    name = path.rpartition("/")[2]
+    marked = name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+    return marked and not name.startswith(("_metadata", "_common_metadata"))
+
+
+def _listed_by(path: str) -> Iterator[str]:
+    """The folders above a path whose listings hold it: none above a hidden one."""
+    while "/" in path and not _hidden(path):
+        path = path.rpartition("/")[0]
+        yield path
+
+
+def _literal(path: str) -> str:
+    """A path whose brackets and stars are no pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def empty_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -104,10 +198,14 @@ def read_files_and_lines(
     """`list_files` and `read_statement_lines` from one listing."""
     # Split at line feeds only, so that a carriage return inside a cell is kept.
     ends = {"lineSep": "\n"} if multiline else {}
-    text = spark.read.text(paths, recursiveFileLookup=True, **ends)
-    with _many_to_a_task(spark):
-        lines = kept(spark, placed(text, F.col("value")))
-    return _listed(text), kept(spark, records(lines)) if multiline else lines
+    names, rows = scratch_path(spark, "files"), scratch_path(spark, "lines")
+    with _many_files(spark):
+        for text in _reads(spark, paths, **ends):
+            files, lines = _listed(text), placed(text, F.col("value"))
+            files.coalesce(1).write.mode("append").parquet(names)
+            lines.write.mode("append").parquet(rows)
+    files, lines = (spark.read.schema(df.schema).parquet(at) for df, at in ((files, names), (lines, rows)))
+    return files, kept(spark, records(lines)) if multiline else lines
 
 
 def split_cells(line: Column | str) -> Column:

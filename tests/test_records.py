@@ -5,6 +5,8 @@ import io
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallyfold.operators.ingest import ingest_files
 from tallyfold.sources import statements
@@ -128,3 +130,79 @@ def test_statement_files_are_named_like_customers(spark, tmp_path):
     assert {f.rsplit("/", 2)[1] for f in found} == {"cust_120", "cust_121", "cust_122", "cust_7.c", "unnamed."}
     lines = fx.statement_lines(spark, str(tmp_path)).count()
     assert spark.read.text(found).where("value <> ''").count() == lines
+
+
+ODD_NAMES = ["a.csv", "b[1]*.csv", "b1x.csv", "{c,d}.csv", "c.csv", "e\\f.csv", "g h%20+.csv", "_part.csv", ".i.csv", "_k=v.csv", "_metadata", "j._COPYING_"]
+
+
+def _folders(top):
+    """Folders of files and folders, with names that look like patterns and names that listings pass over."""
+    for folder in ("", "one", "one/deep", "two[x]*", "two", "_kept=1", "_left", ".left", "flat?"):
+        (top / folder).mkdir(exist_ok=True)
+        for name in ODD_NAMES:
+            (top / folder / name).write_text(f"Date,Description,Amount\n2024-01-01,{folder} {name},-1.00\n")
+    (top / "one" / "none.csv").write_text("")
+    return str(top)
+
+
+def _whole(spark, paths):
+    """Files and lines of one read of everything."""
+    text = spark.read.text(paths, recursiveFileLookup=True)
+    lines = statements.placed(text, F.col("value")).select("file", "line").collect()
+    return sorted(r.file for r in statements._listed(text).collect()), sorted(lines)
+
+
+def test_many_files_take_several_reads(spark, tmp_path, monkeypatch):
+    top = _folders(tmp_path)
+    pattern = "/two\\[x\\]\\*"
+    asked = [top, [top], [f"{top}/one", top, f"{top}/one/deep/a.csv", top], [f"{top}/_left", top], [f"{top}/*.csv", f"{top}/tw*"], f"{top}{pattern}"]
+    asked += [f"{top}/_left/_part.csv", [f"{top}/one/a.csv", f"{top}/one/c.csv", f"{top}/two", f"{top}/.left/a.csv", f"{top}/*/.i.csv"]]
+    whole = [_whole(spark, paths) for paths in asked]
+    # Names that are passed over and those beside them.
+    assert {f.rsplit("/", 1)[1] for f in whole[0][0]} >= {"a.csv", "_k=v.csv", "_metadata", "none.csv", "b[1]*.csv", "e\\f.csv"}
+    assert not any("_left" in f or "_part" in f or "/." in f or "_COPYING_" in f for f in whole[0][0])
+    for most in (1, 4, 15, 1000):
+        monkeypatch.setattr(statements, "FILES_AT_ONCE", most)
+        for paths, (names, rows) in zip(asked, whole, strict=True):
+            reads = [len(text.inputFiles()) for text in statements._reads(spark, paths)]
+            assert sum(reads) == len(names) and max(reads) <= most
+            if most == 15:
+                files, lines = statements.read_files_and_lines(spark, paths)
+                assert sorted(r.file for r in files.collect()) == names
+                assert sorted(lines.select("file", "line").collect()) == rows
+                assert sorted(r.file for r in statements.list_files(spark, paths).collect()) == names
+    for name in statements._FOR_MANY_FILES:
+        assert spark.conf.get(name, None) is None
+
+
+def test_several_reads_keep_the_places_of_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(statements, "FILES_AT_ONCE", 2)
+    texts = {f"f{k}.csv": [f"Date,Description {k}", *[f"line {k} {n}" for n in range(400)], f'"open\n{k}"'] for k in range(5)}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        plain = statements.read_statement_lines(spark, str(tmp_path)).orderBy("file", "block", "pos").collect()
+        records = statements.read_statement_lines(spark, str(tmp_path), multiline=True).orderBy("file", "block", "pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({(r.file, r.block) for r in plain}) > 5
+    assert [r.line for r in plain] == [part for name in sorted(texts) for line in texts[name] for part in line.split("\n")]
+    assert [r.line for r in records] == [line for name in sorted(texts) for line in texts[name]]
+
+
+def test_a_path_without_files_is_an_error_as_before(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\n")
+    for paths in (f"{tmp_path}/none", [str(tmp_path), f"{tmp_path}/none"], f"{tmp_path}/n*"):
+        for call in (statements.list_files, statements.read_statement_lines):
+            with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+                call(spark, paths)
+    (tmp_path / "bare").mkdir()
+    files, lines = statements.read_files_and_lines(spark, f"{tmp_path}/bare")
+    assert files.count() == lines.count() == 0
+
+
+def test_hidden_names_are_those_of_spark(spark):
+    as_spark = spark._jvm.org.apache.spark.util.HadoopFSUtils.shouldFilterOutPathName
+    names = [*ODD_NAMES, "_", ".", "_a=", "._metadata", "_common_metadata.crc", "_metadata._COPYING_", "a._COPYING_", "_x=1._COPYING_", "a_"]
+    assert [statements._hidden(f"file:/_t/{name}") for name in names] == [as_spark(name) for name in names]
