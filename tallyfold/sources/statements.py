@@ -1,7 +1,7 @@
 """Statement files: lines, cells, header discovery and column roles.
 
 Files are read by line and split by Spark as usual, so a very large file is many tasks'
-work. All files of a load go through one scan; nothing loops over files.
+work. Files of a load go through scans of ten thousand; nothing loops over files.
 """
 
 import re
